@@ -1,0 +1,101 @@
+"""Joins and fan-outs that hold when one key has a large share of all rows.
+
+The idea in each: find the heavy keys with a pre-aggregated count, keep only the
+``max_keys`` heaviest (so the table that is broadcast is bounded by construction, and a
+key that is left out has at most ``1 / max_keys`` of the rows), and cut those keys into
+slices. Every row is kept; only the partition it travels to changes.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# About 100 MB of narrow rows per slice.
+ROWS_PER_SLICE = 4_000_000
+MAX_HEAVY_KEYS = 10_000
+
+SLICE = "_slice"
+_SLICES = "_slices"
+
+
+def heavy_keys(
+    df: DataFrame,
+    keys: list[str],
+    rows_per_slice: int = ROWS_PER_SLICE,
+    max_keys: int = MAX_HEAVY_KEYS,
+) -> DataFrame:
+    """Keys with more than ``rows_per_slice`` rows, with their number of slices.
+
+    The count combines on the map side, so what is shuffled is one row per key and
+    input partition, not the rows themselves.
+    """
+    sized = (
+        df.select(*keys)
+        .dropna(subset=keys)
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .filter(F.col("_rows") > rows_per_slice)
+    )
+    heaviest = sized.orderBy(F.desc("_rows"), *keys).limit(max_keys)
+    slices = F.ceil(F.col("_rows") / rows_per_slice).cast("int")
+    return heaviest.select(*keys, slices.alias(_SLICES))
+
+
+def slice_rows(df: DataFrame, heavy: DataFrame, keys: list[str]) -> DataFrame:
+    """Tag each row with the slice of its key that it belongs to.
+
+    The slice follows from the input partition: copies of one row spread as well as
+    distinct rows do, and a task that is run again tags its rows the same way.
+    """
+    slice_no = F.pmod(F.spark_partition_id(), F.col(_SLICES))
+    return (
+        df.join(F.broadcast(heavy), keys, "left")
+        .withColumn(SLICE, F.coalesce(slice_no, F.lit(0)))
+        .drop(_SLICES)
+    )
+
+
+def copy_to_slices(df: DataFrame, heavy: DataFrame, keys: list[str]) -> DataFrame:
+    """Repeat each row once per slice of its key (once where the key is not heavy)."""
+    last = F.coalesce(F.col(_SLICES), F.lit(1)) - 1
+    return (
+        df.join(F.broadcast(heavy), keys, "left")
+        .withColumn(SLICE, F.explode(F.sequence(F.lit(0), last)))
+        .drop(_SLICES)
+    )
+
+
+def repeat_rows(
+    df: DataFrame, times: Column, spread_by: list[str], block: int = 1_000_000
+) -> DataFrame:
+    """Repeat each row ``times`` times; rows with a count below one disappear.
+
+    A large count is first cut into blocks, and the blocks are shuffled apart before
+    they are unrolled, so neither one array nor one task holds a whole group. The
+    partition count is given explicitly: left to adaptive coalescing it would be chosen
+    from the size before the fan-out.
+    """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (
+        df.withColumn("_times", times.cast("bigint"))
+        .filter(F.col("_times") >= 1)
+        .withColumn(
+            "_block",
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_times - 1) div {block}"))),
+        )
+        .repartition(partitions, *spread_by, "_block")
+        .withColumn(
+            "_copy",
+            F.explode(
+                F.sequence(
+                    F.lit(1).cast("bigint"),
+                    F.least(
+                        F.lit(block).cast("bigint"),
+                        F.col("_times") - F.col("_block") * block,
+                    ),
+                )
+            ),
+        )
+        .drop("_times", "_block", "_copy")
+    )
