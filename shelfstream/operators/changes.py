@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfstream.operators.ranking import first_per_key
 from shelfstream.schemas import EVENT
 
 CHANGE_KEY = ["trans_id", "item_id"]
@@ -52,7 +53,7 @@ def dedup_changes(
     """One change per (trans_id, item_id).
 
     On a batch the change with the least (date_time, quantity) is kept, dated ones first.
-    Copies combine before the shuffle.
+    Copies are dropped before the shuffle.
 
     On a stream rows later than ``delay`` are dropped. ``mode="bounded"`` lets go of a key
     once its time has passed and takes dated changes only (see :func:`malformed_changes`);
@@ -71,12 +72,8 @@ def dedup_changes(
 def _least_per_key(changes: DataFrame) -> DataFrame:
     rank = ["date_time", "quantity"]
     rest = [c for c in changes.columns if c not in (*CHANGE_KEY, *rank)]
-    undated = F.col("date_time").isNull().alias("_undated")
-    least = changes.groupBy(*CHANGE_KEY).agg(
-        F.min(F.struct(undated, *rank, *rest)).alias("kept")
-    )
-    kept = {c: F.col(f"kept.{c}") for c in (*rank, *rest)}
-    return least.select(*[kept.get(c, F.col(c)).alias(c) for c in changes.columns])
+    order = [F.asc_nulls_last("date_time"), *[F.asc(c) for c in ("quantity", *rest)]]
+    return first_per_key(changes, CHANGE_KEY, order)
 
 
 def effective_changes(

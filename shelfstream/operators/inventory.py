@@ -6,14 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfstream.functions import or_zero, store_label
-from shelfstream.operators.skew import (
-    ROWS_PER_SLICE,
-    SLICE,
-    copy_to_slices,
-    heavy_keys,
-    repeat_rows,
-    slice_rows,
-)
+from shelfstream.operators.fanout import repeat_rows
 
 STOCK_KEY = ["store_id", "item_id"]
 
@@ -32,40 +25,35 @@ def recent_changes(changes: DataFrame, latest: DataFrame) -> DataFrame:
     return recent
 
 
-def _movements(
-    latest: DataFrame, effective: DataFrame, rows_per_slice: int
-) -> DataFrame:
+def _movements(latest: DataFrame, effective: DataFrame) -> DataFrame:
     """Per (store, item): what moved at or after its latest count.
 
     The latest count is unique per key, so the changes can be summed before they meet the
-    outer join. A key with many changes is cut into slices; each is joined and summed on
-    its own, and only the sums meet.
+    outer join. A small table of counts is broadcast and the changes are summed where they
+    are read. Beyond that both sides are shuffled, and a key with a large share of the
+    changes is split by adaptive skew handling. Spark only does so where the join's
+    partitioning is not needed afterwards, hence the sums are grouped by a key of their
+    own: each split sums its part, and only the sums are shuffled to their key.
     """
-    heavy = heavy_keys(effective, STOCK_KEY, rows_per_slice)
-    moved = slice_rows(effective, heavy, STOCK_KEY)
-    counted = copy_to_slices(
-        latest.select(*STOCK_KEY, F.col("date_time").alias("counted_at")), heavy, STOCK_KEY
-    )
+    counted = latest.select(*STOCK_KEY, F.col("date_time").alias("counted_at"))
+    stock = F.struct(*STOCK_KEY).alias("stock")
     return (
-        moved.join(counted, [*STOCK_KEY, SLICE])
+        effective.join(counted, STOCK_KEY)
         .filter(F.col("date_time") >= F.col("counted_at"))
-        .groupBy(*STOCK_KEY)
+        .groupBy(stock)
         .agg(F.sum("quantity").alias("moved"), F.max("date_time").alias("moved_at"))
+        .select("stock.*", "moved", "moved_at")
     )
 
 
-def current_inventory(
-    latest: DataFrame, effective: DataFrame, rows_per_slice: int = ROWS_PER_SLICE
-) -> DataFrame:
+def current_inventory(latest: DataFrame, effective: DataFrame) -> DataFrame:
     """Stock per (store, item): the latest count plus what moved at or after it.
 
     ``latest`` has one row per key. A key that was never counted has no row; one without
     a change keeps its count and the time of the count.
     """
     change = or_zero("moved")
-    return latest.join(
-        _movements(latest, effective, rows_per_slice), STOCK_KEY, "left"
-    ).select(
+    return latest.join(_movements(latest, effective), STOCK_KEY, "left").select(
         *STOCK_KEY,
         F.col("quantity").alias("snapshot_quantity"),
         change.alias("change_quantity"),
@@ -79,12 +67,10 @@ def newest_first(current: DataFrame) -> DataFrame:
     return current.orderBy(F.desc("date_time"))
 
 
-def current_inventory_by_quantity(
-    latest: DataFrame, effective: DataFrame, rows_per_slice: int = ROWS_PER_SLICE
-) -> DataFrame:
+def current_inventory_by_quantity(latest: DataFrame, effective: DataFrame) -> DataFrame:
     """Current inventory with the stock named ``current_quantity``, least stock first."""
     return (
-        current_inventory(latest, effective, rows_per_slice)
+        current_inventory(latest, effective)
         .withColumnRenamed("current_inventory", "current_quantity")
         .orderBy("current_quantity")
     )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfstream.operators.ranking import first_per_key
+
 SNAPSHOT_KEY = ["store_id", "item_id"]
 SEQUENCE = "date_time"
 # Counts of one moment: the larger quantity, then the larger employee id, is kept.
@@ -17,14 +19,11 @@ def latest_by_key(
     """The row with the greatest ``sequence_by`` per key.
 
     Equal values are decided by ``tie_break``, then by the other columns, so reruns
-    agree. A NULL never replaces a value. One aggregate: rows combine before the shuffle,
-    and no key's history is sorted or gathered.
+    agree. A NULL never replaces a value.
     """
     first = [sequence_by, *(tie_break or [])]
     rest = [c for c in df.columns if c not in (*keys, *first)]
-    greatest = df.groupBy(*keys).agg(F.max(F.struct(*first, *rest)).alias("kept"))
-    kept = {c: F.col(f"kept.{c}") for c in (*first, *rest)}
-    return greatest.select(*[kept.get(c, F.col(c)).alias(c) for c in df.columns])
+    return first_per_key(df, keys, [F.desc_nulls_last(c) for c in (*first, *rest)])
 
 
 def latest_snapshot(snapshots: DataFrame) -> DataFrame:

@@ -1,9 +1,10 @@
 """Ordering questions over all stores at once, without one global window.
 
-Rows are first reduced to distinct times. Those are looked at second by second: a second
-holds at most a million distinct microseconds, a day at most 86,400 seconds and all
-history a few thousand days, so every window below has a fixed size bound whatever the
-share of rows that fall on one moment.
+Rows are first reduced to distinct times, before any shuffle. Those are looked at minute
+by minute, and one more window runs over one row per minute. A minute of times to the
+second has 60 rows (to the microsecond, 60 million at the very most), ten years have five
+million minutes: each window has a fixed size bound, whatever the share of rows that fall
+on one moment.
 """
 
 from __future__ import annotations
@@ -20,41 +21,31 @@ def _nearest(points: DataFrame, by: list[str], forward: bool) -> DataFrame:
     """For distinct times: the nearest ``hit`` before the time, or (forward) not before it.
 
     ``points`` has the columns ``by``, ``time`` and ``hit``; ``hit`` is ``time`` or NULL.
-    Both directions run as frames that grow from the start, which Spark evaluates in one
-    pass.
+    The answer is added as ``nearest``. Both directions run as frames that grow from the
+    start, which Spark evaluates in one pass.
     """
     pick = F.min if forward else F.max
     order = F.desc if forward else F.asc
-
-    in_second = (
-        Window.partitionBy(*by, "second")
+    in_minute = (
+        Window.partitionBy(*by, "minute")
         .orderBy(order("time"))
         .rowsBetween(_FROM_START, 0 if forward else -1)
     )
-    in_day = (
-        Window.partitionBy(*by, "day").orderBy(order("second")).rowsBetween(_FROM_START, -1)
-    )
-    over_days = Window.partitionBy(*by).orderBy(order("day")).rowsBetween(_FROM_START, -1)
-
-    rows = points.withColumn("second", F.date_trunc("second", "time")).withColumn(
-        "near", pick("hit").over(in_second)
+    over_minutes = (
+        Window.partitionBy(*by).orderBy(order("minute")).rowsBetween(_FROM_START, -1)
     )
-    seconds = (
-        rows.groupBy(*by, "second")
-        .agg(pick("hit").alias("hit"))
-        .withColumn("day", F.to_date("second"))
-        .withColumn("near", pick("hit").over(in_day))
+    rows = points.withColumn("minute", F.date_trunc("minute", "time")).withColumn(
+        "within", pick("hit").over(in_minute)
     )
-    days = (
-        seconds.groupBy(*by, "day")
+    minutes = (
+        rows.groupBy(*by, "minute")
         .agg(pick("hit").alias("hit"))
-        .withColumn("far", pick("hit").over(over_days))
+        .select(*by, "minute", pick("hit").over(over_minutes).alias("beyond"))
     )
-    carried = seconds.join(days.select(*by, "day", "far"), [*by, "day"]).select(
-        *by, "second", F.coalesce("near", "far").alias("carried")
-    )
-    return rows.join(carried, [*by, "second"]).select(
-        *by, "time", F.coalesce("near", "carried").alias("nearest")
+    return (
+        rows.join(minutes, [*by, "minute"])
+        .withColumn("nearest", F.coalesce("within", "beyond"))
+        .drop("minute", "within", "beyond")
     )
 
 
@@ -74,9 +65,9 @@ def event_gaps(txns: DataFrame, speed: int = 10, by_store: bool = False) -> Data
         .agg(F.min(F.struct("trans_id")).alias("first"))
         .withColumnsRenamed({"date_time": "time"})
     )
-    before = _nearest(moments.select(*by, "time", F.col("time").alias("hit")), by, forward=False)
+    before = _nearest(moments.withColumn("hit", F.col("time")), by, forward=False)
     whole_seconds = F.coalesce(F.timestamp_diff("SECOND", "nearest", "time"), F.lit(0))
-    gaps = moments.join(before, [*by, "time"]).select(
+    gaps = before.select(
         *by,
         F.col("time").alias("date_time"),
         "first.trans_id",
@@ -128,8 +119,9 @@ def snapshot_release(
         .groupBy(*by, "time")
         .agg(F.max("hit").alias("hit"))
     )
-    after = _nearest(points, by, forward=True)
-    return (
-        counts.join(after.withColumnRenamed("time", "date_time"), [*by, "date_time"], "left")
-        .select("store_id", "date_time", F.col("nearest").alias("release_time"))
+    after = _nearest(points, by, forward=True).select(
+        *by, F.col("time").alias("date_time"), F.col("nearest").alias("release_time")
+    )
+    return counts.join(after, [*by, "date_time"], "left").select(
+        "store_id", "date_time", "release_time"
     )

@@ -71,6 +71,8 @@ def _gather(lines: DataFrame, max_octets: int) -> DataFrame:
     return (
         lines.join(F.broadcast(set_apart), same_txn, "left")
         .withColumn("_part", F.pmod(where, parts))
+        # Lists do not get smaller by combining them early: shuffle plain lines.
+        .repartition(*TXN, "_part")
         .groupBy(*TXN, "_part")
         .agg(
             F.min(F.coalesce("_store_id", "store_id")).alias("store_id"),

@@ -377,11 +377,10 @@ def _land(snapshots: DataFrame, path: str) -> None:
 def stream_change_dedup(spark, sf_dir):
     root = work_dir(spark, "change-stream")
     raw, out, checkpoint = f"{root}/raw", f"{root}/changes", f"{root}/checkpoint"
-    for lines in _halves(_lines(spark, sf_dir)):
-        documents = tx.to_documents(tx.assemble_transactions(lines))
-        _send(documents, raw)
+    tx.to_documents(_transactions(spark, sf_dir)).write.parquet(f"{root}/documents")
+    for documents in _halves(spark.read.parquet(f"{root}/documents")):
         # Sales are sent twice.
-        _send(documents.filter("change_type_id = 1"), raw)
+        _send(documents.unionByName(documents.filter("change_type_id = 1")), raw)
         stream = change_stream(read_change_stream(spark, "parquet", {"path": raw}))
         append_stream(stream, out, checkpoint).awaitTermination()
     return spark.read.parquet(out).select(*ch.CHANGE_COLUMNS)

@@ -6,28 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfstream.functions import as_second_text
-from shelfstream.operators.skew import ROWS_PER_SLICE, SLICE, heavy_keys, slice_rows
 
 _TAKEN = ["store_id", "date_time"]
 # monotonically_increasing_id keeps the position within its task in the low 33 bits.
 _POSITION = (1 << 33) - 1
 
 
-def write_snapshot_files(
-    snapshots: DataFrame, path: str, rows_per_slice: int = ROWS_PER_SLICE
-) -> None:
+def write_snapshot_files(snapshots: DataFrame, path: str) -> None:
     """Write counts as CSV, one folder per (store, time), replacing what is there.
 
-    One Spark write makes all the files. Rows of a folder are brought together, a large
-    count in several files. Files have a header and, as first column, a row index that
-    readers drop; store and time stay in the files besides naming the folders.
+    One Spark write makes all the files. Rows of a folder are brought together; a count
+    much larger than the others is rebalanced over several tasks and so has several files.
+    Files have a header and, as first column, a row index that readers drop; store and
+    time stay in the files besides naming the folders.
     """
-    heavy = heavy_keys(snapshots, _TAKEN, rows_per_slice)
-    placed = (
-        slice_rows(snapshots, heavy, _TAKEN)
-        .repartition(*_TAKEN, SLICE)
-        .sortWithinPartitions(*_TAKEN)
-    )
+    placed = snapshots.hint("rebalance", *_TAKEN)
     position = F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION))
     taken = as_second_text("date_time")
     (
