@@ -24,9 +24,9 @@ from shelfstream.operators.snapshots import (
 )
 from shelfstream.operators.timeline import event_gaps, snapshot_release, snapshot_times
 from shelfstream.operators.transactions import (
+    assemble_first_transactions,
     assemble_transactions,
     first_transactions,
-    lines_of_first_transactions,
     split_documents,
     strip_braces,
     to_documents,
@@ -35,6 +35,7 @@ from shelfstream.sinks import publish, save_dataset, write_snapshot_files
 from shelfstream.streaming import upsert_latest
 
 __all__ = [
+    "assemble_first_transactions",
     "assemble_transactions",
     "changes_of",
     "current_inventory",
@@ -48,7 +49,6 @@ __all__ = [
     "inventory_for_bi",
     "latest_by_key",
     "latest_snapshot",
-    "lines_of_first_transactions",
     "malformed_changes",
     "newest_first",
     "parse_events",

@@ -20,9 +20,9 @@ _FROM_START = Window.unboundedPreceding
 def _nearest(points: DataFrame, by: list[str], forward: bool) -> DataFrame:
     """For distinct times: the nearest ``hit`` before the time, or (forward) not before it.
 
-    ``points`` has the columns ``by``, ``time`` and ``hit``; ``hit`` is ``time`` or NULL.
-    The answer is added as ``nearest``. Both directions run as frames that grow from the
-    start, which Spark evaluates in one pass.
+    ``points`` has the columns ``by``, ``time``, ``hit`` (``time`` or NULL) and ``asked``:
+    whether an answer is wanted. It is added as ``nearest``. Both directions run as frames
+    that grow from the start, which Spark evaluates in one pass.
     """
     pick = F.min if forward else F.max
     order = F.desc if forward else F.asc
@@ -43,9 +43,10 @@ def _nearest(points: DataFrame, by: list[str], forward: bool) -> DataFrame:
         .select(*by, "minute", pick("hit").over(over_minutes).alias("beyond"))
     )
     return (
-        rows.join(minutes, [*by, "minute"])
+        rows.filter("asked")
+        .join(minutes, [*by, "minute"])
         .withColumn("nearest", F.coalesce("within", "beyond"))
-        .drop("minute", "within", "beyond")
+        .drop("minute", "within", "beyond", "asked")
     )
 
 
@@ -65,7 +66,8 @@ def event_gaps(txns: DataFrame, speed: int = 10, by_store: bool = False) -> Data
         .agg(F.min(F.struct("trans_id")).alias("first"))
         .withColumnsRenamed({"date_time": "time"})
     )
-    before = _nearest(moments.withColumn("hit", F.col("time")), by, forward=False)
+    points = moments.withColumns({"hit": F.col("time"), "asked": F.lit(True)})
+    before = _nearest(points, by, forward=False)
     whole_seconds = F.coalesce(F.timestamp_diff("SECOND", "nearest", "time"), F.lit(0))
     gaps = before.select(
         *by,
@@ -107,17 +109,14 @@ def snapshot_release(
     """
     by = ["store_id"] if by_store else []
     counts = snapshots.select("store_id", "date_time").distinct()
-    marks = counts.select(
-        *by, F.col("date_time").alias("time"), F.lit(None).cast("timestamp").alias("hit")
-    )
-    hits = changes.select(
-        *by, F.col("date_time").alias("time"), F.col("date_time").alias("hit")
-    )
+    time = F.col("date_time")
+    hits = changes.select(*by, time.alias("time"), time.alias("hit"), F.lit(False).alias("asked"))
+    marks = counts.select(*by, time.alias("time"), F.lit(True).alias("asked"))
     points = (
-        hits.filter(F.col("time").isNotNull())
-        .unionByName(marks.filter(F.col("time").isNotNull()))
+        hits.unionByName(marks, allowMissingColumns=True)
+        .filter(F.col("time").isNotNull())
         .groupBy(*by, "time")
-        .agg(F.max("hit").alias("hit"))
+        .agg(F.max("hit").alias("hit"), F.max("asked").alias("asked"))
     )
     after = _nearest(points, by, forward=True).select(
         *by, F.col("time").alias("date_time"), F.col("nearest").alias("release_time")

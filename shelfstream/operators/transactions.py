@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfstream.functions import item_struct, strip_braces as strip_braces_of
@@ -13,8 +13,14 @@ MAX_OCTETS = 256 * 1024
 TXN = ["date_time", "trans_id"]
 HEADER = ["date_time", "trans_id", "store_id", "change_type_id"]
 
-# An item takes three octets or more in a document: "{}" and a comma.
+# An item takes three octets or more in a document, "{}" and a comma, and at most 48:
+# {"item_id":-2147483648,"quantity":-2147483648},
 _LEAST_ITEM_OCTETS = 3
+_MOST_ITEM_OCTETS = 48
+# The rest of a document, but for the transaction id.
+_MOST_HEADER_OCTETS = 250
+# A character of the id takes at most six: \u0000
+_MOST_ID_OCTETS = 6
 # With this many oversized transactions set apart, no other holds more than a
 # millionth of the lines.
 _MAX_SET_APART = 1_000_000
@@ -38,39 +44,77 @@ def assemble_transactions(lines: DataFrame, max_octets: int = MAX_OCTETS) -> Dat
     length can hold is recognised by a pre-aggregated count and never gathered in one
     place.
     """
-    parts = _gather(lines, max_octets)
-    octets = F.octet_length(F.to_json(F.struct(*HEADER, "items")))
-    return _unroll(parts, F.col("_apart") | (octets > max_octets))
+    oversized = (
+        _count_lines(lines)
+        .filter(F.col("_lines") > _surely_over(max_octets))
+        .orderBy(F.desc("_lines"), *_TXN_COPY)
+        .limit(_MAX_SET_APART)
+    )
+    marked = lines.join(F.broadcast(oversized), _same_txn(), "left")
+    return _gather(marked, max_octets)
+
+
+def assemble_first_transactions(
+    lines: DataFrame, n: int = 100, max_octets: int = MAX_OCTETS
+) -> DataFrame:
+    """As :func:`assemble_transactions`, for the first ``n`` transactions only.
+
+    Their keys are found first, so the lists of all the others are not built.
+    """
+    first = _count_lines(lines).orderBy(*_TXN_COPY).limit(n)
+    if n <= _MAX_SET_APART:
+        first = F.broadcast(first)
+    return _gather(lines.join(first, _same_txn()), max_octets).orderBy(*TXN)
 
 
 def split_documents(txns: DataFrame, max_octets: int = MAX_OCTETS) -> DataFrame:
     """Cut each transaction with a document over ``max_octets`` into one-item ones."""
+    return _unroll(txns, _too_long(max_octets))
+
+
+def _surely_over(max_octets: int) -> int:
+    """With more lines than this, no document can be short enough."""
+    return max_octets // _LEAST_ITEM_OCTETS
+
+
+def _too_long(max_octets: int) -> Column:
+    # Most documents are far too short, which is seen without writing them.
+    id_octets = F.coalesce(F.octet_length("trans_id"), F.lit(0)) * _MOST_ID_OCTETS
+    at_most = F.size("items") * _MOST_ITEM_OCTETS + id_octets + _MOST_HEADER_OCTETS
     octets = F.octet_length(F.to_json(F.struct(*HEADER, "items")))
-    return _unroll(txns.withColumn("_apart", F.lit(False)), octets > max_octets)
+    return (at_most > max_octets) & (octets > max_octets)
+
+
+_TXN_COPY = [f"_{c}" for c in TXN]
 
 
-def _gather(lines: DataFrame, max_octets: int) -> DataFrame:
-    surely_over = max_octets // _LEAST_ITEM_OCTETS
+def _count_lines(lines: DataFrame) -> DataFrame:
     counted = lines.groupBy(*TXN).agg(
         F.count(F.lit(1)).alias("_lines"),
         F.min("store_id").alias("_store_id"),
         F.min("change_type_id").alias("_change_type_id"),
     )
-    set_apart = (
-        counted.filter(F.col("_lines") > surely_over)
-        .orderBy(F.desc("_lines"), *TXN)
-        .limit(_MAX_SET_APART)
-        .withColumnsRenamed({"date_time": "_date_time", "trans_id": "_trans_id"})
-    )
+    return counted.withColumnsRenamed(dict(zip(TXN, _TXN_COPY, strict=True)))
+
+
+def _same_txn() -> list[Column]:
+    return [F.col(c).eqNullSafe(F.col(copy)) for c, copy in zip(TXN, _TXN_COPY, strict=True)]
+
+
+def _gather(marked: DataFrame, max_octets: int) -> DataFrame:
+    """Lists of lines that carry the line count of their transaction, where it is known.
+
+    Lines of an oversized transaction are gathered in parts of about ``_LINES_PER_PART``;
+    its header comes from the count.
+    """
+    surely_over = _surely_over(max_octets)
     per_part = min(_LINES_PER_PART, surely_over + 1)
     parts = F.ceil(F.col("_lines") / per_part)
+    # The input partition keeps copies of one line from all going to one part.
     where = F.xxhash64("item_id", "quantity", F.spark_partition_id())
-    same_txn = F.col("date_time").eqNullSafe(F.col("_date_time")) & F.col(
-        "trans_id"
-    ).eqNullSafe(F.col("_trans_id"))
-    return (
-        lines.join(F.broadcast(set_apart), same_txn, "left")
-        .withColumn("_part", F.pmod(where, parts))
+    part = F.when(F.col("_lines") > surely_over, F.pmod(where, parts))
+    gathered = (
+        marked.withColumn("_part", part)
         # Lists do not get smaller by combining them early: shuffle plain lines.
         .repartition(*TXN, "_part")
         .groupBy(*TXN, "_part")
@@ -79,11 +123,11 @@ def _gather(lines: DataFrame, max_octets: int) -> DataFrame:
             F.min(F.coalesce("_change_type_id", "change_type_id")).alias("change_type_id"),
             F.sort_array(F.collect_list(item_struct("item_id", "quantity"))).alias("items"),
         )
-        .select(*HEADER, "items", F.col("_part").isNotNull().alias("_apart"))
     )
+    return _unroll(gathered, F.col("_part").isNotNull() | _too_long(max_octets))
 
 
-def _unroll(txns: DataFrame, one_by_one) -> DataFrame:
+def _unroll(txns: DataFrame, one_by_one: Column) -> DataFrame:
     singles = F.transform("items", lambda item: F.array(item))
     pieces = F.when(one_by_one, singles).otherwise(F.array("items"))
     return txns.select(*HEADER, F.explode(pieces).alias("items"))
@@ -102,19 +146,3 @@ def to_documents(txns: DataFrame, timestamp_format: str | None = None) -> DataFr
 def first_transactions(txns: DataFrame, n: int = 100) -> DataFrame:
     """The first ``n`` transactions in (date_time, trans_id) order."""
     return txns.orderBy(*TXN).limit(n)
-
-
-def lines_of_first_transactions(lines: DataFrame, n: int = 100) -> DataFrame:
-    """The lines of the first ``n`` transactions.
-
-    The keys alone decide which they are, so the item lists of all the other
-    transactions need not be built: at most ``n`` keys are joined back.
-    """
-    keys = lines.select(*TXN).distinct().orderBy(*TXN).limit(n)
-    first = keys.withColumnsRenamed({"date_time": "_date_time", "trans_id": "_trans_id"})
-    if n <= _MAX_SET_APART:
-        first = F.broadcast(first)
-    same_txn = F.col("date_time").eqNullSafe(F.col("_date_time")) & F.col(
-        "trans_id"
-    ).eqNullSafe(F.col("_trans_id"))
-    return lines.join(first, same_txn, "left_semi")

@@ -171,8 +171,7 @@ def txn_split(spark, sf_dir):
 
 @_query
 def first_n_txns(spark, sf_dir):
-    few = tx.lines_of_first_transactions(_lines(spark, sf_dir), FIRST_N)
-    return tx.first_transactions(tx.assemble_transactions(few), FIRST_N).select(
+    return tx.assemble_first_transactions(_lines(spark, sf_dir), FIRST_N).select(
         *tx.HEADER, _items_text("items").alias("items")
     )
 
