@@ -1,0 +1,145 @@
+import json
+import random
+
+import pytest
+from conftest import at, rows
+from pyspark.sql import functions as F
+
+from shelfstream import (
+    assemble_first_transactions,
+    assemble_transactions,
+    dedup_changes,
+    first_transactions,
+    flatten_events,
+    parse_events,
+    schemas,
+    split_documents,
+    strip_braces,
+    to_documents,
+)
+from shelfstream.operators.changes import CHANGE_COLUMNS
+from shelfstream.sinks import to_envelope
+
+T1, T2 = at("00:00:15"), at("00:00:20")
+
+
+def lines(spark, data):
+    return spark.createDataFrame(data, schemas.CHANGE_LINE)
+
+
+def plain(txns):
+    return [
+        (r.date_time, r.trans_id, r.store_id, r.change_type_id, [tuple(i) for i in r["items"]])
+        for r in txns.collect()
+    ]
+
+
+def test_lines_become_transactions(spark):
+    data = [("{A}", 2, 1, T1, -3, 1), ("{A}", 1, 1, T1, -1, 1), ("{B}", 1, 0, T2, 5, 3)]
+    got = assemble_transactions(strip_braces(lines(spark, data)))
+    assert sorted(plain(got)) == [
+        (T1, "A", 1, 1, [(1, -1), (2, -3)]),
+        (T2, "B", 0, 3, [(1, 5)]),
+    ]
+
+
+def test_same_id_at_two_times_is_two_transactions(spark):
+    data = [("A", 1, 1, T1, -1, 1), ("A", 1, 1, T2, -1, 1)]
+    assert assemble_transactions(lines(spark, data)).count() == 2
+
+
+def test_document_text(spark):
+    got = to_documents(assemble_transactions(lines(spark, [("A", 1, 1, T1, -1, 1)])))
+    assert got.first().document == (
+        '{"date_time":"2021-01-01T00:00:15.000Z","trans_id":"A","store_id":1,'
+        '"change_type_id":1,"items":[{"item_id":1,"quantity":-1}]}'
+    )
+
+
+def test_null_fields_are_left_out_and_times_cut_to_milliseconds(spark):
+    data = [("A", 1, None, at("00:00:07.179575"), None, 1)]
+    txns = assemble_transactions(lines(spark, data))
+    document = json.loads(to_documents(txns).first().document)
+    assert document == {"date_time": "2021-01-01T00:00:07.179Z", "trans_id": "A",
+                        "change_type_id": 1, "items": [{"item_id": 1}]}
+    micros = to_documents(txns, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").first().document
+    assert json.loads(micros)["date_time"] == "2021-01-01T00:00:07.179575Z"
+
+
+def _random_lines(rng, n):
+    ids = ["A", "B", "C", "D", "E", "€é", None]
+    return [
+        (rng.choice(ids) if rng.random() < 0.6 else "HOT", rng.choice([1, 22, 333, None]),
+         rng.choice([0, 1, None]), rng.choice([T1, T2, None]),
+         rng.choice([-1, 10, None]), rng.choice([1, 3]))
+        for _ in range(n)
+    ]
+
+
+def _brute_force(spark, data, limit):
+    groups = {}
+    for trans_id, item, store, when, quantity, kind in data:
+        groups.setdefault((when, trans_id), []).append((item, store, quantity, kind))
+    out = []
+    for (when, trans_id), members in groups.items():
+        least = lambda i: min((m[i] for m in members if m[i] is not None), default=None)
+        items = [(m[0], m[2]) for m in members]
+        header = {"date_time": when and when.strftime("%Y-%m-%dT%H:%M:%S.000Z"),
+                  "trans_id": trans_id, "store_id": least(1), "change_type_id": least(3)}
+        entries = [{k: v for k, v in zip(("item_id", "quantity"), i, strict=True) if v is not None}
+                   for i in items]
+        document = {k: v for k, v in header.items() if v is not None} | {"items": entries}
+        text = json.dumps(document, separators=(",", ":"), ensure_ascii=False)
+        whole = len(text.encode()) <= limit
+        for part in [items] if whole else [[i] for i in items]:
+            ordered = sorted(part, key=lambda i: [(v is not None, v or 0) for v in i])
+            out.append((when, trans_id, least(1), least(3), ordered))
+    return out
+
+
+def _sorted(txns):
+    return sorted(txns, key=repr)
+
+
+@pytest.mark.parametrize("limit", [30, 60, 150, 400, 3000, 262144])
+def test_random_lines_with_any_limit(spark, limit):
+    """From every transaction set apart by its count, to none split at all."""
+    data = _random_lines(random.Random(limit), 600)
+    df = lines(spark, data).repartition(5)
+    want = _sorted(_brute_force(spark, data, limit))
+    assert _sorted(plain(assemble_transactions(df, limit))) == want
+    whole = assemble_transactions(df)
+    assert _sorted(plain(split_documents(whole, limit))) == want
+
+
+def test_copies_of_one_line_are_spread_and_kept(spark):
+    copies = spark.range(20_000, numPartitions=7).select(
+        F.lit("A").alias("trans_id"), F.lit(1).alias("item_id"), F.lit(1).alias("store_id"),
+        F.lit(T1).alias("date_time"), F.lit(-1).alias("quantity"),
+        F.lit(1).alias("change_type_id"),
+    )
+    got = assemble_transactions(copies, 300)
+    assert got.count() == 20_000
+    assert got.select(F.max(F.size("items"))).first()[0] == 1
+
+
+def test_first_transactions(spark):
+    data = [(f"T{n:03}", 1, 1, T2 if n % 2 else T1, n, 1) for n in range(40)] * 2
+    df = lines(spark, data)
+    want = [(T1, f"T{n:03}") for n in range(0, 20, 2)]
+    some = first_transactions(assemble_transactions(df), 10)
+    assert [(r.date_time, r.trans_id) for r in some.collect()] == want
+    direct = assemble_first_transactions(df, 10)
+    assert plain(direct) == plain(some)
+
+
+def test_round_trip_through_messages(spark):
+    data = [(f"T{n % 9}", n, 1, T1, -n, 1) for n in range(60)]
+    df = lines(spark, data)
+    messages = to_envelope(to_documents(assemble_transactions(df, 200)))
+    assert [f.simpleString() for f in messages.schema] == [
+        f.simpleString() for f in schemas.struct_type(schemas.ENVELOPE)
+    ]
+    assert messages.select("partition", "offset").distinct().count() == messages.count()
+    got = dedup_changes(flatten_events(parse_events(messages)))
+    assert rows(got) == rows(df.select(*CHANGE_COLUMNS))
