@@ -63,8 +63,11 @@ def current_inventory(latest: DataFrame, effective: DataFrame) -> DataFrame:
 
 
 def newest_first(current: DataFrame) -> DataFrame:
-    """Presentation order; a stored table is not sorted."""
-    return current.orderBy(F.desc("date_time"))
+    """Presentation order; a stored table is not sorted.
+
+    The key decides between equal times, so that many equal ones spread over the sort.
+    """
+    return current.orderBy(F.desc("date_time"), *STOCK_KEY)
 
 
 def current_inventory_by_quantity(latest: DataFrame, effective: DataFrame) -> DataFrame:
@@ -72,7 +75,7 @@ def current_inventory_by_quantity(latest: DataFrame, effective: DataFrame) -> Da
     return (
         current_inventory(latest, effective)
         .withColumnRenamed("current_inventory", "current_quantity")
-        .orderBy("current_quantity")
+        .orderBy("current_quantity", *STOCK_KEY)
     )
 
 

@@ -96,7 +96,7 @@ def event_gaps(txns: DataFrame, speed: int = 10, by_store: bool = False) -> Data
 
 def snapshot_times(snapshots: DataFrame) -> DataFrame:
     """The distinct (date_time, store_id) at which counts were taken, in time order."""
-    return snapshots.select("date_time", "store_id").distinct().orderBy("date_time")
+    return snapshots.select("date_time", "store_id").distinct().orderBy("date_time", "store_id")
 
 
 def snapshot_release(

@@ -8,6 +8,9 @@ from shelfstream.plans.retail import (
     refresh_dimensions,
     refresh_gold,
     silver_changes,
+    start_change_streams,
+    start_refreshes,
+    start_snapshot_streams,
     start_streams,
 )
 
@@ -19,5 +22,8 @@ __all__ = [
     "refresh_dimensions",
     "refresh_gold",
     "silver_changes",
+    "start_change_streams",
+    "start_refreshes",
+    "start_snapshot_streams",
     "start_streams",
 ]

@@ -25,6 +25,7 @@ from shelfstream.operators.snapshots import SEQUENCE, SNAPSHOT_KEY, TIE_BREAK
 from shelfstream.sinks.tables import save_dataset
 from shelfstream.sources.files import read_change_type, read_item, read_store
 from shelfstream.streaming.changes import append_stream
+from shelfstream.streaming.refresh import refresh_every
 from shelfstream.streaming.snapshots import read_latest, upsert_latest
 
 # Dataset names, comments and quality levels.
@@ -114,27 +115,40 @@ def _dated(changes: DataFrame) -> DataFrame:
     return changes.withColumn("event_date", F.to_date("date_time"))
 
 
-def start_streams(
-    raw: DataFrame,
-    snapshots: DataFrame,
-    layout: Layout,
-    interval: str | None = None,
+def start_change_streams(
+    raw: DataFrame, layout: Layout, interval: str | None = None
 ) -> list[StreamingQuery]:
-    """Start the silver streams; with no ``interval`` they stop when all is read.
+    """Deduplicated changes, and messages without a usable time in a table of their own.
 
     The change table is partitioned by event date, so that a refresh of current inventory
-    reads from the oldest latest count on. Counts are kept twice: all of them, and the
-    latest per (store, item). Messages without a usable time go to a table of their own.
+    reads from the oldest latest count on.
     """
     flat = flatten_events(parse_events(raw))
+    return [
+        append_stream(
+            _dated(dedup_changes(flat)),
+            layout.changes,
+            layout.checkpoint("inventory_change"),
+            interval,
+            ["event_date"],
+        ),
+        append_stream(
+            malformed_changes(flat),
+            layout.malformed,
+            layout.checkpoint("inventory_change_malformed"),
+            interval,
+        ),
+    ]
 
-    def append(stream: DataFrame, path: str, dataset: str, by: list[str] | None = None):
-        return append_stream(stream, path, layout.checkpoint(dataset), interval, by)
 
+def start_snapshot_streams(
+    snapshots: DataFrame, layout: Layout, interval: str | None = None
+) -> list[StreamingQuery]:
+    """Counts, kept twice: all of them, and the latest per (store, item)."""
     return [
-        append(_dated(dedup_changes(flat)), layout.changes, "inventory_change", ["event_date"]),
-        append(malformed_changes(flat), layout.malformed, "inventory_change_malformed"),
-        append(snapshots, layout.snapshots, "inventory_snapshot"),
+        append_stream(
+            snapshots, layout.snapshots, layout.checkpoint("inventory_snapshot"), interval
+        ),
         upsert_latest(
             snapshots,
             layout.latest,
@@ -147,6 +161,44 @@ def start_streams(
     ]
 
 
+def start_streams(
+    raw: DataFrame, snapshots: DataFrame, layout: Layout, interval: str | None = None
+) -> list[StreamingQuery]:
+    """Start the silver streams; with no ``interval`` they stop when all is read."""
+    return [
+        *start_change_streams(raw, layout, interval),
+        *start_snapshot_streams(snapshots, layout, interval),
+    ]
+
+
+def start_refreshes(
+    spark: SparkSession,
+    database: str,
+    layout: Layout,
+    stores: str,
+    items: str,
+    change_types: str,
+    dimension_interval: str = DIMENSION_INTERVAL,
+    gold_interval: str = GOLD_INTERVAL,
+) -> list[StreamingQuery]:
+    """Keep the dimension and the gold tables up to date until the queries are stopped.
+
+    The dimensions are read once before, since gold needs them.
+    """
+
+    def dimensions() -> None:
+        refresh_dimensions(spark, database, stores, items, change_types)
+
+    def gold() -> None:
+        refresh_gold(spark, database, layout)
+
+    dimensions()
+    return [
+        refresh_every(spark, dimensions, layout.checkpoint("dimensions"), dimension_interval),
+        refresh_every(spark, gold, layout.checkpoint("gold"), gold_interval),
+    ]
+
+
 def read_silver_changes(spark: SparkSession, layout: Layout) -> DataFrame:
     return spark.read.parquet(layout.changes)
 

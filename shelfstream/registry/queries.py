@@ -22,6 +22,7 @@ from shelfstream.plans.retail import (
     Layout,
     gold_datasets,
     read_silver_changes,
+    start_snapshot_streams,
     start_streams,
 )
 from shelfstream.sinks import (
@@ -420,7 +421,12 @@ def _run_streams(spark: SparkSession, sf_dir: str) -> Layout:
 
 @_query
 def stream_snapshot_history(spark, sf_dir):
-    layout = _run_streams(spark, sf_dir)
+    root = work_dir(spark, "count-history")
+    layout, landed = Layout(f"{root}/silver"), f"{root}/landed"
+    for counts in _halves(fixtures.snapshots(spark, sf_dir)):
+        _land(counts, landed)
+        for query in start_snapshot_streams(read_snapshot_stream(spark, landed), layout):
+            query.awaitTermination()
     return spark.read.parquet(layout.snapshots)
 
 

@@ -1,7 +1,7 @@
 """Structured Streaming forms of the operators."""
 
 from shelfstream.streaming.changes import append_stream, change_stream
-from shelfstream.streaming.refresh import refresh_with
+from shelfstream.streaming.refresh import refresh_every, refresh_with
 from shelfstream.streaming.snapshots import (
     compact_latest,
     read_latest,
@@ -13,6 +13,7 @@ __all__ = [
     "change_stream",
     "compact_latest",
     "read_latest",
+    "refresh_every",
     "refresh_with",
     "upsert_latest",
 ]

@@ -1,10 +1,10 @@
-"""Gold tables that follow a stream."""
+"""Tables that are recomputed from time to time."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfstream.streaming.changes import triggered
@@ -27,3 +27,11 @@ def refresh_with(
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return triggered(writer, interval).start()
+
+
+def refresh_every(
+    spark: SparkSession, recompute: Callable[[], None], checkpoint: str, interval: str
+) -> StreamingQuery:
+    """Call ``recompute`` every ``interval``, whatever else happens."""
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    return refresh_with(ticks, recompute, checkpoint, interval)

@@ -23,6 +23,7 @@ from shelfstream.plans import (
     read_silver_changes,
     refresh_dimensions,
     refresh_gold,
+    start_refreshes,
     start_streams,
 )
 from shelfstream.sinks import create_database, drop_database
@@ -274,6 +275,37 @@ def test_whole_flow_with_recomputed_gold(spark, tmp_path, database):
     assert rows(gold) == rows(plain) == second
 
 
+def test_tables_are_refreshed_by_the_clock(spark, tmp_path, database):
+    (tmp_path / "store").write_text("store_id,name\n1,store_001\n")
+    (tmp_path / "type").write_text("change_type_id,change_type\n1,sale\n")
+    (tmp_path / "item").write_text("item_id,name,supplier_id,safety_stock_quantity\n1,nut,1,2\n")
+    dims = [str(tmp_path / n) for n in ("store", "item", "type")]
+    layout = Layout(str(tmp_path / "silver"))
+    (tmp_path / "landed").mkdir(), (tmp_path / "raw").mkdir()
+    land(spark, tmp_path / "landed", [(1, 5, 1, at("02:00:00"), 20)])
+    send(spark, tmp_path / "raw", document("A", 3, (1, -9)))
+    started = start_streams(
+        read_change_stream(spark, "parquet", {"path": str(tmp_path / "raw")}),
+        read_snapshot_stream(spark, str(tmp_path / "landed")),
+        layout,
+    )
+    for query in started:
+        query.awaitTermination()
+    running = start_refreshes(spark, database, layout, *dims, gold_interval="1 second")
+    name = f"{database}.inventory_current_transformed"
+    try:
+        deadline = time.time() + 60
+        while not spark.catalog.tableExists(name) and time.time() < deadline:
+            time.sleep(0.5)
+        assert all(query.isActive for query in running)
+    finally:
+        for query in running:
+            query.stop()
+    assert rows(spark.table(f"{database}.inventory_current")) == [
+        (1, 1, 20, -9, 11, at("03:00:00"))
+    ]
+
+
 def test_refresh_follows_a_stream_of_a_table(spark, tmp_path, database):
     name = f"{database}.ticks"
     spark.range(3).write.saveAsTable(name)
