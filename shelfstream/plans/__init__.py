@@ -4,11 +4,13 @@ from shelfstream.plans.retail import (
     DATASETS,
     Layout,
     gold_datasets,
+    read_raw_stream,
     read_silver_changes,
     refresh_dimensions,
     refresh_gold,
     silver_changes,
     start_change_streams,
+    start_raw_stream,
     start_refreshes,
     start_snapshot_streams,
     start_streams,
@@ -18,11 +20,13 @@ __all__ = [
     "DATASETS",
     "Layout",
     "gold_datasets",
+    "read_raw_stream",
     "read_silver_changes",
     "refresh_dimensions",
     "refresh_gold",
     "silver_changes",
     "start_change_streams",
+    "start_raw_stream",
     "start_refreshes",
     "start_snapshot_streams",
     "start_streams",

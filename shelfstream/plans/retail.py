@@ -24,38 +24,23 @@ from shelfstream.operators.inventory import (
 from shelfstream.operators.snapshots import SEQUENCE, SNAPSHOT_KEY, TIE_BREAK
 from shelfstream.sinks.tables import save_dataset
 from shelfstream.sources.files import read_change_type, read_item, read_store
+from shelfstream.sources.messages import read_change_stream
+from shelfstream.storage import make_dir
 from shelfstream.streaming.changes import append_stream
 from shelfstream.streaming.refresh import refresh_every
 from shelfstream.streaming.snapshots import read_latest, upsert_latest
 
-# Dataset names, comments and quality levels.
+# Dataset names and quality levels. The comments are ours.
 DATASETS = {
-    "store": ("data associated with individual store locations", "silver"),
-    "item": ("data associated with individual items", "silver"),
-    "inventory_change_type": (
-        "data mapping change type id values to descriptive strings",
-        "silver",
-    ),
-    "raw_inventory_change": (
-        "data representing raw (untransformed) inventory-relevant events originating "
-        "from the POS",
-        "bronze",
-    ),
-    "inventory_change": (
-        "data representing item-level inventory changes originating from the POS",
-        "silver",
-    ),
-    "inventory_snapshot": ("data representing periodic counts of items in inventory", "silver"),
-    "latest_inventory_snapshot": ("latest count per store and item", "silver"),
-    "inventory_current": (
-        "calculate current inventory given the latest inventory snapshots and "
-        "inventory-relevant events",
-        "gold",
-    ),
-    "inventory_current_transformed": (
-        "Changing some formats for making visualisation easy on Power BI",
-        "gold",
-    ),
+    "store": ("stores, the online store among them", "silver"),
+    "item": ("items and their safety stock", "silver"),
+    "inventory_change_type": ("what the change type ids stand for", "silver"),
+    "raw_inventory_change": ("change messages as they arrived", "bronze"),
+    "inventory_change": ("changes per item, each once", "silver"),
+    "inventory_snapshot": ("all counts", "silver"),
+    "latest_inventory_snapshot": ("the latest count per store and item", "silver"),
+    "inventory_current": ("the latest count and what moved since", "gold"),
+    "inventory_current_transformed": ("current inventory in the form of the report", "gold"),
 }
 # How often datasets are refreshed.
 DIMENSION_INTERVAL = "24 hours"
@@ -115,15 +100,32 @@ def _dated(changes: DataFrame) -> DataFrame:
     return changes.withColumn("event_date", F.to_date("date_time"))
 
 
-def start_change_streams(
+def start_raw_stream(
     raw: DataFrame, layout: Layout, interval: str | None = None
+) -> StreamingQuery:
+    """Messages as they arrived, so that the source is read once."""
+    checkpoint = layout.checkpoint("raw_inventory_change")
+    return append_stream(raw, layout.raw, checkpoint, interval)
+
+
+def read_raw_stream(spark: SparkSession, layout: Layout) -> DataFrame:
+    make_dir(spark, layout.raw)
+    return read_change_stream(spark, "parquet", {"path": layout.raw})
+
+
+def start_change_streams(
+    raw: DataFrame,
+    layout: Layout,
+    interval: str | None = None,
+    keep_event: bool = False,
+    write_tasks: int | None = None,
 ) -> list[StreamingQuery]:
     """Deduplicated changes, and messages without a usable time in a table of their own.
 
     The change table is partitioned by event date, so that a refresh of current inventory
     reads from the oldest latest count on.
     """
-    flat = flatten_events(parse_events(raw))
+    flat = flatten_events(parse_events(raw), keep_event)
     return [
         append_stream(
             _dated(dedup_changes(flat)),
@@ -131,6 +133,7 @@ def start_change_streams(
             layout.checkpoint("inventory_change"),
             interval,
             ["event_date"],
+            write_tasks,
         ),
         append_stream(
             malformed_changes(flat),
@@ -162,11 +165,26 @@ def start_snapshot_streams(
 
 
 def start_streams(
-    raw: DataFrame, snapshots: DataFrame, layout: Layout, interval: str | None = None
+    raw: DataFrame,
+    snapshots: DataFrame,
+    layout: Layout,
+    interval: str | None = None,
+    keep_event: bool = False,
+    write_tasks: int | None = None,
 ) -> list[StreamingQuery]:
-    """Start the silver streams; with no ``interval`` they stop when all is read."""
+    """Start the bronze and silver streams.
+
+    With no ``interval`` they stop when all is read; the messages are then stored before
+    the streams that read them start. ``keep_event`` adds the whole event to each change.
+    ``write_tasks`` is for short intervals: fewer, larger files of changes.
+    """
+    messages = start_raw_stream(raw, layout, interval)
+    if interval is None:
+        messages.awaitTermination()
+    stored = read_raw_stream(raw.sparkSession, layout)
     return [
-        *start_change_streams(raw, layout, interval),
+        messages,
+        *start_change_streams(stored, layout, interval, keep_event, write_tasks),
         *start_snapshot_streams(snapshots, layout, interval),
     ]
 
@@ -180,6 +198,7 @@ def start_refreshes(
     change_types: str,
     dimension_interval: str = DIMENSION_INTERVAL,
     gold_interval: str = GOLD_INTERVAL,
+    compact: bool = False,
 ) -> list[StreamingQuery]:
     """Keep the dimension and the gold tables up to date until the queries are stopped.
 
@@ -190,7 +209,7 @@ def start_refreshes(
         refresh_dimensions(spark, database, stores, items, change_types)
 
     def gold() -> None:
-        refresh_gold(spark, database, layout)
+        refresh_gold(spark, database, layout, compact)
 
     dimensions()
     return [
@@ -219,11 +238,14 @@ def gold_datasets(
     }
 
 
-def refresh_gold(spark: SparkSession, database: str, layout: Layout) -> None:
+def refresh_gold(
+    spark: SparkSession, database: str, layout: Layout, compact: bool = False
+) -> None:
     """Rewrite the gold tables from silver (every minute).
 
     Current inventory is stored first and the report reads the stored table, so it is
-    computed once.
+    computed once. The report grows with the number of changes; ``compact`` stores a count
+    in place of repeated rows.
     """
     changes = read_silver_changes(spark, layout)
     latest = read_latest(
@@ -236,5 +258,5 @@ def refresh_gold(spark: SparkSession, database: str, layout: Layout) -> None:
     gold = gold_datasets(changes, latest, stores, change_types)
     _save(gold["inventory_current"], database, "inventory_current")
     current = spark.table(f"{database}.inventory_current")
-    report = inventory_for_bi(current, changes, change_types)
+    report = inventory_for_bi(current, changes, change_types, compact)
     _save(report, database, "inventory_current_transformed")

@@ -253,5 +253,10 @@ ORACLE_SQL: dict[str, str] = {
     "stream_change_dedup": _DEDUP,
     "stream_latest_snapshot": _LATEST,
     "stream_snapshot_history": _with("SELECT * FROM snap", "snap"),
+    "stream_raw_changes": _documents(
+        MAX_OCTETS,
+        """SELECT trans_id AS key, document AS value, 'inventory_change' AS topic,
+          date_time AS "timestamp", 0 AS "timestampType", true AS no_headers FROM sent""",
+    ),
     "stream_inventory_current": _CURRENT,
 }

@@ -22,6 +22,7 @@ from shelfstream.plans.retail import (
     Layout,
     gold_datasets,
     read_silver_changes,
+    start_raw_stream,
     start_snapshot_streams,
     start_streams,
 )
@@ -400,17 +401,17 @@ def stream_latest_snapshot(spark, sf_dir):
 
 
 def _run_streams(spark: SparkSession, sf_dir: str) -> Layout:
-    """All silver streams over changes and counts, in two runs on one checkpoint."""
+    """All streams over changes and counts, in two runs on one checkpoint."""
     root = work_dir(spark, "retail")
     layout = Layout(f"{root}/silver")
-    landed = f"{root}/landed"
+    sent, landed = f"{root}/sent", f"{root}/landed"
     changes = fixtures.changes(spark, sf_dir)
     counts = fixtures.snapshots(spark, sf_dir)
     for some_changes, some_counts in zip(_halves(changes), _halves(counts), strict=True):
-        _send(tx.to_documents(tx.assemble_transactions(some_changes), _MICROS), layout.raw)
+        _send(tx.to_documents(tx.assemble_transactions(some_changes), _MICROS), sent)
         _land(some_counts, landed)
         started = start_streams(
-            read_change_stream(spark, "parquet", {"path": layout.raw}),
+            read_change_stream(spark, "parquet", {"path": sent}),
             read_snapshot_stream(spark, landed),
             layout,
         )
@@ -430,6 +431,22 @@ def stream_snapshot_history(spark, sf_dir):
     return spark.read.parquet(layout.snapshots)
 
 
+@_query
+def stream_raw_changes(spark, sf_dir):
+    root = work_dir(spark, "messages")
+    layout, sent = Layout(f"{root}/silver"), f"{root}/sent"
+    documents = tx.to_documents(_transactions(spark, sf_dir))
+    _send(documents, sent)
+    stream = read_change_stream(spark, "parquet", {"path": sent})
+    start_raw_stream(stream, layout).awaitTermination()
+    return spark.read.parquet(layout.raw).select(
+        F.col("key").cast("string").alias("key"),
+        F.col("value").cast("string").alias("value"),
+        "topic", "timestamp", "timestampType",
+        F.col("headers").isNull().alias("no_headers"),
+    )
+
+
 @_query
 def stream_inventory_current(spark, sf_dir):
     layout = _run_streams(spark, sf_dir)

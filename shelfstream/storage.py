@@ -45,6 +45,11 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(hadoop_path))
 
 
+def make_dir(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _file_system(spark, path)
+    fs.mkdirs(hadoop_path)
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _file_system(spark, path)
     fs.delete(hadoop_path, True)

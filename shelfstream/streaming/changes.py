@@ -26,8 +26,15 @@ def append_stream(
     checkpoint: str,
     interval: str | None = None,
     partition_by: list[str] | None = None,
+    write_tasks: int | None = None,
 ) -> StreamingQuery:
-    """Append a stream to Parquet files, each row once."""
+    """Append a stream to Parquet files, each row once.
+
+    A stateful stream writes a file per state partition and micro-batch. Where these get
+    small, ``write_tasks`` says how many tasks write.
+    """
+    if write_tasks:
+        stream = stream.repartition(write_tasks)
     writer = (
         stream.writeStream.format("parquet")
         .outputMode("append")

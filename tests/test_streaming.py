@@ -242,6 +242,8 @@ def test_whole_flow_with_recomputed_gold(spark, tmp_path, database):
             read_change_stream(spark, "parquet", options),
             read_snapshot_stream(spark, str(landed)),
             layout,
+            keep_event=True,
+            write_tasks=1,
         )
         for query in started:
             query.awaitTermination()
@@ -266,6 +268,11 @@ def test_whole_flow_with_recomputed_gold(spark, tmp_path, database):
     assert spark.table(f"{database}.inventory_current_transformed").count() == 8
     assert spark.read.parquet(layout.snapshots).count() == 3
     assert spark.read.parquet(layout.malformed).count() == 1
+    assert spark.read.parquet(layout.raw).count() == 6
+    kept = spark.read.parquet(layout.changes)
+    assert kept.filter("event.trans_id = trans_id").count() == kept.count() == 4
+    one_file_per_day_and_run = list((tmp_path / "silver/inventory_change").rglob("*.parquet"))
+    assert len(one_file_per_day_and_run) == 2
 
     changes = read_silver_changes(spark, layout)
     stores, types = (spark.table(f"{database}.{n}") for n in ("store", "inventory_change_type"))
