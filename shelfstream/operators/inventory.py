@@ -30,19 +30,18 @@ def _movements(latest: DataFrame, effective: DataFrame) -> DataFrame:
 
     The latest count is unique per key, so the changes can be summed before they meet the
     outer join. A small table of counts is broadcast and the changes are summed where they
-    are read. Beyond that both sides are shuffled, and a key with a large share of the
-    changes is split by adaptive skew handling. Spark only does so where the join's
-    partitioning is not needed afterwards, hence the sums are grouped by a key of their
-    own: each split sums its part, and only the sums are shuffled to their key.
+    are read. Beyond that both sides are shuffled by the key, the sums and the outer join
+    reuse that partitioning, and a key with a large share of the changes is split by
+    adaptive skew handling: an inner join may split either side, and
+    ``spark.sql.adaptive.forceOptimizeSkewedJoin`` (see :mod:`shelfstream.session`) lets it
+    do so although the sums of the splits then need a shuffle.
     """
     counted = latest.select(*STOCK_KEY, F.col("date_time").alias("counted_at"))
-    stock = F.struct(*STOCK_KEY).alias("stock")
     return (
         effective.join(counted, STOCK_KEY)
         .filter(F.col("date_time") >= F.col("counted_at"))
-        .groupBy(stock)
+        .groupBy(*STOCK_KEY)
         .agg(F.sum("quantity").alias("moved"), F.max("date_time").alias("moved_at"))
-        .select("stock.*", "moved", "moved_at")
     )
 
 

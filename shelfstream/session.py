@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Sums over a join reuse its partitioning; split a hot key there all the same.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Dedup state is keyed by (transaction, item): keep it off the heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
