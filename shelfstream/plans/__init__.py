@@ -4,6 +4,7 @@ from shelfstream.plans.retail import (
     DATASETS,
     Layout,
     gold_datasets,
+    name_streamed_datasets,
     read_raw_stream,
     read_silver_changes,
     refresh_dimensions,
@@ -20,6 +21,7 @@ __all__ = [
     "DATASETS",
     "Layout",
     "gold_datasets",
+    "name_streamed_datasets",
     "read_raw_stream",
     "read_silver_changes",
     "refresh_dimensions",

@@ -22,10 +22,10 @@ from shelfstream.operators.inventory import (
     recent_changes,
 )
 from shelfstream.operators.snapshots import SEQUENCE, SNAPSHOT_KEY, TIE_BREAK
-from shelfstream.sinks.tables import save_dataset
+from shelfstream.sinks.tables import save_dataset, save_view
 from shelfstream.sources.files import read_change_type, read_item, read_store
 from shelfstream.sources.messages import read_change_stream
-from shelfstream.storage import make_dir
+from shelfstream.storage import child_names, make_dir
 from shelfstream.streaming.changes import append_stream
 from shelfstream.streaming.refresh import refresh_every
 from shelfstream.streaming.snapshots import read_latest, upsert_latest
@@ -218,6 +218,19 @@ def start_refreshes(
     ]
 
 
+def name_streamed_datasets(spark: SparkSession, database: str, layout: Layout) -> None:
+    """Make the streamed datasets that have rows readable by name."""
+    folders = {
+        "raw_inventory_change": layout.raw,
+        "inventory_change": layout.changes,
+        "inventory_snapshot": layout.snapshots,
+    }
+    for dataset, path in folders.items():
+        if any(not name.startswith("_") for name in child_names(spark, path)):
+            comment, quality = DATASETS[dataset]
+            save_view(spark, path, f"{database}.{dataset}", comment, {"quality": quality})
+
+
 def read_silver_changes(spark: SparkSession, layout: Layout) -> DataFrame:
     return spark.read.parquet(layout.changes)
 
@@ -247,6 +260,7 @@ def refresh_gold(
     computed once. The report grows with the number of changes; ``compact`` stores a count
     in place of repeated rows.
     """
+    name_streamed_datasets(spark, database, layout)
     changes = read_silver_changes(spark, layout)
     latest = read_latest(
         spark, layout.latest, schemas.SNAPSHOT, SNAPSHOT_KEY, SEQUENCE, TIE_BREAK

@@ -6,6 +6,7 @@ from shelfstream.sinks.tables import (
     create_database,
     drop_database,
     save_dataset,
+    save_view,
     use_database,
 )
 
@@ -14,6 +15,7 @@ __all__ = [
     "drop_database",
     "publish",
     "save_dataset",
+    "save_view",
     "to_envelope",
     "use_database",
     "write_snapshot_files",

@@ -77,6 +77,18 @@ def save_dataset(
             remove_dir(spark, f"{base}/{old}")
 
 
+def save_view(
+    spark: SparkSession, path: str, name: str, comment: str, properties: dict[str, str]
+) -> None:
+    """Give the Parquet files that a stream keeps adding to under ``path`` a name."""
+    settings = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in properties.items())
+    spark.sql(
+        f"CREATE OR REPLACE VIEW {name} COMMENT {_quoted(comment)}"
+        + (f" TBLPROPERTIES ({settings})" if settings else "")
+        + f" AS SELECT * FROM parquet.`{path}`"
+    )
+
+
 def _folder_of(spark: SparkSession, name: str) -> str | None:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
     found = [row.data_type.rstrip("/").rsplit("/", 1)[-1] for row in rows.collect()]

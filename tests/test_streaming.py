@@ -18,6 +18,7 @@ from shelfstream import (
 from shelfstream.operators.changes import CHANGE_COLUMNS
 from shelfstream.operators.snapshots import SEQUENCE, SNAPSHOT_KEY, TIE_BREAK
 from shelfstream.plans import (
+    DATASETS,
     Layout,
     gold_datasets,
     read_silver_changes,
@@ -274,6 +275,19 @@ def test_whole_flow_with_recomputed_gold(spark, tmp_path, database):
     one_file_per_day_and_run = list((tmp_path / "silver/inventory_change").rglob("*.parquet"))
     assert len(one_file_per_day_and_run) == 2
 
+    # Every dataset can be read by its name, with what later runs have added.
+    sizes = {name: spark.table(f"{database}.{name}").count() for name in DATASETS}
+    assert sizes == {
+        "store": 2, "item": 1, "inventory_change_type": 3, "raw_inventory_change": 6,
+        "inventory_change": 4, "inventory_snapshot": 3, "latest_inventory_snapshot": 2,
+        "inventory_current": 2, "inventory_current_transformed": 8,
+    }
+    sale = spark.sql(f"SELECT quantity FROM {database}.inventory_change WHERE trans_id = 'D'")
+    assert rows(sale) == [(-1,)]
+    for name, (_, quality) in DATASETS.items():
+        found = spark.sql(f"SHOW TBLPROPERTIES {database}.{name}").collect()
+        assert ("quality", quality) in [(r.key, r.value) for r in found]
+
     changes = read_silver_changes(spark, layout)
     stores, types = (spark.table(f"{database}.{n}") for n in ("store", "inventory_change_type"))
     latest = spark.table(f"{database}.latest_inventory_snapshot")
