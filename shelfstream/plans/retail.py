@@ -28,7 +28,7 @@ from shelfstream.sources.messages import read_change_stream
 from shelfstream.storage import child_names, make_dir
 from shelfstream.streaming.changes import append_stream
 from shelfstream.streaming.refresh import refresh_every
-from shelfstream.streaming.snapshots import read_latest, upsert_latest
+from shelfstream.streaming.snapshots import compact_latest, read_latest, upsert_latest
 
 # Dataset names and quality levels. The comments are ours.
 DATASETS = {
@@ -45,6 +45,8 @@ DATASETS = {
 # How often datasets are refreshed.
 DIMENSION_INTERVAL = "24 hours"
 GOLD_INTERVAL = "1 minute"
+# Ours: how often the folders of the latest counts are folded.
+COMPACTION_INTERVAL = "1 hour"
 
 
 @dataclass(frozen=True)
@@ -198,10 +200,13 @@ def start_refreshes(
     change_types: str,
     dimension_interval: str = DIMENSION_INTERVAL,
     gold_interval: str = GOLD_INTERVAL,
+    compaction_interval: str = COMPACTION_INTERVAL,
     compact: bool = False,
 ) -> list[StreamingQuery]:
     """Keep the dimension and the gold tables up to date until the queries are stopped.
 
+    The folders of the latest counts are compacted from time to time.
+
     The dimensions are read once before, since gold needs them.
     """
 
@@ -211,10 +216,18 @@ def start_refreshes(
     def gold() -> None:
         refresh_gold(spark, database, layout, compact)
 
+    def compaction() -> None:
+        compact_latest(
+            spark, layout.latest, schemas.SNAPSHOT, SNAPSHOT_KEY, SEQUENCE, TIE_BREAK
+        )
+
     dimensions()
     return [
         refresh_every(spark, dimensions, layout.checkpoint("dimensions"), dimension_interval),
         refresh_every(spark, gold, layout.checkpoint("gold"), gold_interval),
+        refresh_every(
+            spark, compaction, layout.checkpoint("compaction"), compaction_interval
+        ),
     ]
 
 

@@ -281,6 +281,14 @@ def fn_document_time(spark, sf_dir):
     )
 
 
+@_query
+def fn_timestamp(spark, sf_dir):
+    text = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return fixtures.table(spark, sf_dir, "events").select(
+        "event_id", text.cast("timestamp").alias("date_time")
+    )
+
+
 # -- files and tables ---------------------------------------------------------
 
 
@@ -387,6 +395,18 @@ def stream_change_dedup(spark, sf_dir):
     return spark.read.parquet(out).select(*ch.CHANGE_COLUMNS)
 
 
+@_query
+def stream_late_changes(spark, sf_dir):
+    root = work_dir(spark, "late-changes")
+    raw, out, checkpoint = f"{root}/raw", f"{root}/changes", f"{root}/checkpoint"
+    # The earlier part is sent last, hours behind the watermark.
+    for changes in reversed(_halves(fixtures.changes(spark, sf_dir))):
+        _send(tx.to_documents(tx.assemble_transactions(changes), _MICROS), raw)
+        stream = change_stream(read_change_stream(spark, "parquet", {"path": raw}))
+        append_stream(stream, out, checkpoint).awaitTermination()
+    return spark.read.parquet(out).select(*ch.CHANGE_COLUMNS)
+
+
 @_query
 def stream_latest_snapshot(spark, sf_dir):
     root = work_dir(spark, "count-stream")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,10 +23,19 @@ def use_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"USE {name}")
 
 
+# Folders of one table, in the order of their writing.
+_RUN = "run="
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _settings(properties: dict[str, str]) -> str:
+    pairs = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in properties.items())
+    return f"TBLPROPERTIES ({pairs})" if pairs else ""
+
+
 def save_dataset(
     df: DataFrame,
     name: str,
@@ -33,68 +43,56 @@ def save_dataset(
     properties: dict[str, str],
     location: str | None = None,
     partition_by: list[str] | None = None,
+    keep: int = 3,
 ) -> None:
     """Write ``df`` as the table ``name``, replacing its rows.
 
     Rows go to a new folder under ``location`` first and the table is pointed at it when
     they are complete: a write that fails, or a query that reads the table meanwhile,
-    finds the rows from before. The folder in use before stays for such readers, older
-    ones are removed.
+    finds the rows from before. The last ``keep`` folders stay, for queries that began
+    before a refresh; older ones are removed.
     """
     spark = df.sparkSession
     warehouse = spark.conf.get("spark.sql.warehouse.dir")
     base = location or f"{warehouse}/datasets/{name}"
-    run = f"run={uuid.uuid4().hex}"
-    folder = f"{base}/{run}"
+    folder = f"{base}/{_RUN}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     writer = df.write.mode("errorifexists").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(folder)
 
-    settings = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in properties.items())
-    before = None
+    settings = _settings(properties)
+    if spark.catalog.tableExists(name) and not _same_columns(spark, name, df):
+        spark.sql(f"DROP TABLE {name}")
     if spark.catalog.tableExists(name):
-        before = _folder_of(spark, name)
-        if _same_columns(spark, name, df):
-            spark.sql(f"ALTER TABLE {name} SET LOCATION {_quoted(folder)}")
-            spark.sql(f"COMMENT ON TABLE {name} IS {_quoted(comment)}")
-            if settings:
-                spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({settings})")
-        else:
-            spark.sql(f"DROP TABLE {name}")
-    if not spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION {_quoted(folder)}")
+        spark.sql(f"COMMENT ON TABLE {name} IS {_quoted(comment)}")
+        if settings:
+            spark.sql(f"ALTER TABLE {name} SET {settings}")
+    else:
         spark.sql(
             f"CREATE TABLE {name} USING parquet LOCATION {_quoted(folder)} "
-            f"COMMENT {_quoted(comment)}"
-            + (f" TBLPROPERTIES ({settings})" if settings else "")
+            f"COMMENT {_quoted(comment)} {settings}"
         )
     if partition_by:
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     spark.catalog.refreshTable(name)
 
-    for old in child_names(spark, base):
-        if old.startswith("run=") and old != run and old != before:
-            remove_dir(spark, f"{base}/{old}")
+    runs = [child for child in child_names(spark, base) if child.startswith(_RUN)]
+    for old in runs[:-keep]:
+        remove_dir(spark, f"{base}/{old}")
 
 
 def save_view(
     spark: SparkSession, path: str, name: str, comment: str, properties: dict[str, str]
 ) -> None:
     """Give the Parquet files that a stream keeps adding to under ``path`` a name."""
-    settings = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in properties.items())
     spark.sql(
-        f"CREATE OR REPLACE VIEW {name} COMMENT {_quoted(comment)}"
-        + (f" TBLPROPERTIES ({settings})" if settings else "")
-        + f" AS SELECT * FROM parquet.`{path}`"
+        f"CREATE OR REPLACE VIEW {name} COMMENT {_quoted(comment)} {_settings(properties)} "
+        f"AS SELECT * FROM parquet.`{path}`"
     )
 
 
-def _folder_of(spark: SparkSession, name: str) -> str | None:
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
-    found = [row.data_type.rstrip("/").rsplit("/", 1)[-1] for row in rows.collect()]
-    return found[0] if found else None
-
-
 def _same_columns(spark: SparkSession, name: str, df: DataFrame) -> bool:
     def columns(schema):
         return sorted((f.name, f.dataType.simpleString()) for f in schema.fields)

@@ -2,9 +2,12 @@
 
 Each micro-batch is reduced to one row per key and written to a folder of its own, named
 by its batch id, so a batch that is run again after a crash overwrites itself. A reader
-reduces all folders once more. Because "the greatest per key" gives the same answer when
-a row is seen twice, compaction only has to write its result before it removes what it
-folded; a crash in between costs space, not rows.
+reduces all folders once more.
+
+Compaction writes one folder for many, then marks those as folded; readers leave marked
+folders out, and the next compaction removes them. "The greatest per key" gives the same
+answer when a row is seen twice, so a crash anywhere costs space, not rows, and a reader
+that began before a compaction has until the next one to finish.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfstream.operators.snapshots import latest_by_key
-from shelfstream.storage import child_names, remove_dir
+from shelfstream.storage import child_names, make_dir, remove_dir
 from shelfstream.streaming.changes import triggered
 
 _PART = re.compile(r"part=(?P<run>[0-9a-f-]+)_(?P<kind>batch|base)_(?P<id>\d+)$")
@@ -47,9 +50,14 @@ def upsert_latest(
     return triggered(writer, interval).start()
 
 
+def _marks(path: str) -> str:
+    return f"{path}/_folded"
+
+
 def _parts(spark: SparkSession, path: str) -> list[re.Match]:
-    found = [_PART.fullmatch(name) for name in child_names(spark, path)]
-    return [m for m in found if m]
+    folded = set(child_names(spark, _marks(path)))
+    names = [name for name in child_names(spark, path) if name not in folded]
+    return [m for m in map(_PART.fullmatch, names) if m]
 
 
 def read_latest(
@@ -78,23 +86,24 @@ def compact_latest(
 ) -> None:
     """Fold the folders written so far into one.
 
-    Run it between micro-batches or beside them: only folders that were there at the start
-    are folded. The newest batch is left, since it may still be run again.
+    Run it between micro-batches or beside them, one at a time. The newest batch is left,
+    since it may still be run again.
     """
-    newest: dict[str, int] = {}
+    for name in child_names(spark, _marks(path)):
+        remove_dir(spark, f"{path}/{name}")
+        remove_dir(spark, f"{_marks(path)}/{name}")
     parts = _parts(spark, path)
+    newest: dict[str, int] = {}
     for m in parts:
         if m["kind"] == "batch":
             newest[m["run"]] = max(newest.get(m["run"], -1), int(m["id"]))
-    settled = [
-        m for m in parts if m["kind"] == "base" or int(m["id"]) < newest[m["run"]]
-    ]
+    settled = [m for m in parts if m["kind"] == "base" or int(m["id"]) < newest[m["run"]]]
     if len(settled) < 2:
         return
-    folded = spark.read.schema(schema).parquet(*[f"{path}/{m.string}" for m in settled])
+    rows = spark.read.schema(schema).parquet(*[f"{path}/{m.string}" for m in settled])
     next_id = 1 + max([int(m["id"]) for m in parts if m["kind"] == "base"], default=-1)
-    latest_by_key(folded, keys, sequence_by, tie_break).write.mode("overwrite").parquet(
+    latest_by_key(rows, keys, sequence_by, tie_break).write.mode("overwrite").parquet(
         f"{path}/part=0_base_{next_id}"
     )
     for m in settled:
-        remove_dir(spark, f"{path}/{m.string}")
+        make_dir(spark, f"{_marks(path)}/{m.string}")

@@ -122,11 +122,14 @@ def test_saved_dataset(spark, database, tmp_path):
     assert _details(spark, name)["Comment"] == "second"
     assert len(storage.child_names(spark, base)) == 2
 
-    # Other columns make another table; only the folder before it is kept.
+    # Other columns make another table; folders before it are kept for running queries.
+    running = spark.table(name)
     other = spark.createDataFrame([("x", 2.0)], "a string, b double")
-    save_dataset(other, name, "third", {}, base, partition_by=["a"])
-    assert rows(spark.table(name).select("a", "b")) == [("x", 2.0)]
-    assert len(storage.child_names(spark, base)) == 2
+    for n in (1, 2):
+        save_dataset(other, name, "third", {}, base, partition_by=["a"])
+        assert rows(spark.table(name).select("a", "b")) == [("x", 2.0)]
+        assert len(storage.child_names(spark, base)) == 3
+        assert rows(running) == [(1, "a")] * 2
 
 
 def test_failed_refresh_keeps_the_rows_before(spark, database, tmp_path):
