@@ -114,13 +114,20 @@ def _gather(marked: DataFrame, max_octets: int) -> DataFrame:
     where = F.xxhash64("item_id", "quantity", F.spark_partition_id())
     part = F.when(F.col("_lines") > surely_over, F.pmod(where, parts))
     gathered = (
-        marked.withColumn("_part", part)
+        marked.select(
+            *TXN,
+            part.alias("_part"),
+            F.coalesce("_store_id", "store_id").alias("store_id"),
+            F.coalesce("_change_type_id", "change_type_id").alias("change_type_id"),
+            "item_id",
+            "quantity",
+        )
         # Lists do not get smaller by combining them early: shuffle plain lines.
         .repartition(*TXN, "_part")
         .groupBy(*TXN, "_part")
         .agg(
-            F.min(F.coalesce("_store_id", "store_id")).alias("store_id"),
-            F.min(F.coalesce("_change_type_id", "change_type_id")).alias("change_type_id"),
+            F.min("store_id").alias("store_id"),
+            F.min("change_type_id").alias("change_type_id"),
             F.sort_array(F.collect_list(item_struct("item_id", "quantity"))).alias("items"),
         )
     )

@@ -8,6 +8,10 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# The temporary folder of a local session that names none.
+_SCRATCH = "spark.shelfstream.scratch"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees, as named by ``spark.checkpoint.dir``.
 
@@ -15,20 +19,19 @@ def shared_dir(spark: SparkSession) -> str:
     mode and names none; on a cluster a missing setting is an error, since a folder
     of one machine does not survive the loss of that machine.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_SCRATCH, None)
     if named:
         return named.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        made = tempfile.mkdtemp(prefix="shelfstream-")
-        spark.conf.set("spark.shelfstream.scratch", made)
-        return made
-    raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    made = tempfile.mkdtemp(prefix="shelfstream-")
+    spark.conf.set(_SCRATCH, made)
+    return made
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
     """A new, unused folder name under :func:`shared_dir`."""
-    scratch = spark.conf.get("spark.shelfstream.scratch", None)
-    return f"{scratch or shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def _file_system(spark: SparkSession, path: str):
