@@ -344,7 +344,7 @@ def snk_inventory_table(spark, sf_dir):
     root = work_dir(spark, "tables")
     database = "shelfstream_check"
     name = f"{database}.inventory_current_{root[-32:]}"
-    create_database(spark, database)
+    create_database(spark, database, f"{root}/database")
     save_dataset(
         _current(spark, sf_dir), name, "current inventory", {"quality": "gold"}, root
     )

@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfstream.storage import child_names, remove_dir
 
 
-def create_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    place = f" LOCATION {_quoted(location)}" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")
 
 
 def drop_database(spark: SparkSession, name: str) -> None:

@@ -293,6 +293,10 @@ def test_whole_flow_with_recomputed_gold(spark, tmp_path, database):
         found = spark.sql(f"SHOW TBLPROPERTIES {database}.{name}").collect()
         assert ("quality", quality) in [(r.key, r.value) for r in found]
 
+    refresh_gold(spark, database, layout, compact=True)
+    compact = spark.table(f"{database}.inventory_current_transformed")
+    assert compact.select(F.sum("n")).first()[0] == 8
+
     changes = read_silver_changes(spark, layout)
     stores, types = (spark.table(f"{database}.{n}") for n in ("store", "inventory_change_type"))
     latest = spark.table(f"{database}.latest_inventory_snapshot")
