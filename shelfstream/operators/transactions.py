@@ -59,12 +59,13 @@ def assemble_first_transactions(
 ) -> DataFrame:
     """As :func:`assemble_transactions`, for the first ``n`` transactions only.
 
-    Their keys are found first, so the lists of all the others are not built.
+    Their keys are found first, so the lists of all the others are not built. Rows come in
+    no order, since one oversized transaction may have many.
     """
     first = _count_lines(lines).orderBy(*_TXN_COPY).limit(n)
     if n <= _MAX_SET_APART:
         first = F.broadcast(first)
-    return _gather(lines.join(first, _same_txn()), max_octets).orderBy(*TXN)
+    return _gather(lines.join(first, _same_txn()), max_octets)
 
 
 def split_documents(txns: DataFrame, max_octets: int = MAX_OCTETS) -> DataFrame:
@@ -151,5 +152,8 @@ def to_documents(txns: DataFrame, timestamp_format: str | None = None) -> DataFr
 
 
 def first_transactions(txns: DataFrame, n: int = 100) -> DataFrame:
-    """The first ``n`` transactions in (date_time, trans_id) order."""
+    """The first ``n`` rows in (date_time, trans_id) order, one row being one transaction.
+
+    Where some are oversized, use :func:`assemble_first_transactions`.
+    """
     return txns.orderBy(*TXN).limit(n)
