@@ -1,0 +1,8 @@
+"""The smallest of the given tables."""
+
+import pytest
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return "/root/testdata/sf0.001"
