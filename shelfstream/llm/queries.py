@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfstream.llm.byte_bpe import op3_byte_bpe
 from shelfstream.llm.simhash import op2_simhash
 from shelfstream.llm.token_store import op1_token_output
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": op1_token_output,
     "op2_simhash": op2_simhash,
+    "op3_byte_bpe": op3_byte_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {}
