@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfstream.llm.byte_bpe import op3_byte_bpe
 from shelfstream.llm.simhash import op2_simhash
 from shelfstream.llm.token_store import op1_token_output
+from shelfstream.llm.warc import OP4_SQL, op4_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_output": op1_token_output,
     "op2_simhash": op2_simhash,
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_warc": op4_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_warc": OP4_SQL}
