@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfstream.llm.byte_bpe import op3_byte_bpe
+from shelfstream.llm.language import op8_language
 from shelfstream.llm.quality import op5_quality
 from shelfstream.llm.simhash import op2_simhash
 from shelfstream.llm.token_store import op1_token_output
@@ -18,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_warc": op4_warc,
     "op5_quality": op5_quality,
+    "op8_language": op8_language,
 }
 
 ORACLE_SQL: dict[str, str] = {"op4_warc": OP4_SQL}
