@@ -11,6 +11,8 @@ from shelfstream.llm.language import op8_language
 from shelfstream.llm.quality import op5_quality
 from shelfstream.llm.simhash import op2_simhash
 from shelfstream.llm.token_store import op1_token_output
+from shelfstream.llm.vector_dedup import op6_embedding_dedup
+from shelfstream.llm.vector_search import op9_vector_search
 from shelfstream.llm.warc import OP4_SQL, op4_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -19,7 +21,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_warc": op4_warc,
     "op5_quality": op5_quality,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op8_language": op8_language,
+    "op9_vector_search": op9_vector_search,
 }
 
 ORACLE_SQL: dict[str, str] = {"op4_warc": OP4_SQL}
