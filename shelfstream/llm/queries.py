@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfstream.llm.byte_bpe import op3_byte_bpe
 from shelfstream.llm.language import op8_language
+from shelfstream.llm.privacy import op7_pii
 from shelfstream.llm.quality import op5_quality
 from shelfstream.llm.simhash import op2_simhash
 from shelfstream.llm.token_store import op1_token_output
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": op4_warc,
     "op5_quality": op5_quality,
     "op6_embedding_dedup": op6_embedding_dedup,
+    "op7_pii": op7_pii,
     "op8_language": op8_language,
     "op9_vector_search": op9_vector_search,
 }
