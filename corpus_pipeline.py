@@ -5,12 +5,56 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfstream.llm.common import keep, read_table
+from shelfstream.llm.language import documents_in, fit_language
+from shelfstream.llm.packing import pack_documents
+from shelfstream.llm.privacy import pseudonymize
+from shelfstream.llm.quality import fit_quality, good_documents
+from shelfstream.llm.simhash import one_per_group
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+#: A document whose best language has a smaller mean probability is in none of them.
+MIN_LANGUAGE_SCORE = 0.35
+#: Replaced by a secret of the user's own; pseudonyms made with it can be turned back.
+PSEUDONYM_KEY = "corpus pipeline"
 
-# The stages hash, learn and search; no SQL gives their rows.
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents the classifier scores below its threshold."""
+    return good_documents(docs, fit_quality(docs, read_table(spark, sf_dir, "labels")))
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents in none of the languages known."""
+    return documents_in(docs, fit_language(docs), MIN_LANGUAGE_SCORE)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group."""
+    return one_per_group(docs)
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal data by pseudonyms."""
+    replaced = pseudonymize(docs, PSEUDONYM_KEY).select(*docs.columns)
+    return replaced.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packs what is left into sequences."""
+    return pack_documents(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", quality),
+    ("language", language),
+    ("near_duplicates", near_duplicates),
+    ("pii", pii),
+    ("packing", packing),
+]
+
+# The stages learn, hash and search; no SQL gives their rows.
 ORACLE_SQL = None
 
 

@@ -292,6 +292,33 @@ def fit_language(docs: DataFrame, per_language: int = FIT_DOCS) -> Network:
     return train(_sample(docs, per_language))
 
 
+def _predict(network: Network, texts: list[str]) -> tuple[list[str], np.ndarray]:
+    """The language of each text and its mean probability."""
+    langs, best = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+    known = [i for i, t in enumerate(texts) if any(map(str.isalpha, t))]
+    if known and network.languages:
+        for i, row in zip(known, network.pool([texts[i] for i in known]), strict=True):
+            c = int(row.argmax())
+            langs[i], best[i] = network.languages[c], min(1.0, row[c])
+    return langs, best
+
+
+def documents_in(docs: DataFrame, network: Network, min_score: float) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose language is clear.
+
+    Rejected are texts without a letter and those whose best language has a mean probability
+    under ``min_score``.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, 500):
+            langs, best = _predict(network, texts_of(batch, "text"))
+            fine = [lang != UNDETERMINED for lang in langs]
+            yield batch.filter(pa.array(np.array(fine) & (best >= min_score)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def language_scores(docs: DataFrame, network: Network) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score (its mean probability).
 
@@ -302,14 +329,7 @@ def language_scores(docs: DataFrame, network: Network) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 500):
-            texts = texts_of(batch, "text")
-            langs, best = [UNDETERMINED] * len(texts), np.zeros(len(texts))
-            known = [i for i, t in enumerate(texts) if any(map(str.isalpha, t))]
-            if known and network.languages:
-                means = network.pool([texts[i] for i in known])
-                for i, row in zip(known, means, strict=True):
-                    c = int(row.argmax())
-                    langs[i], best[i] = network.languages[c], min(1.0, row[c])
+            langs, best = _predict(network, texts_of(batch, "text"))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(langs), pa.array(best)],
                 ["doc_id", "lang_pred", "score"],

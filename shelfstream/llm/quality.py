@@ -277,6 +277,23 @@ def quality_scores(
     )
 
 
+def fit_quality(docs: DataFrame, labels: DataFrame, max_fit_rows: int = MAX_FIT_ROWS) -> Model:
+    """A model learned as in :func:`quality_scores`, to score rows of any table with."""
+    stats = keep(document_statistics(docs), "statistics")
+    return fit(keep(_labelled(stats, labels, max_fit_rows), "labelled"))
+
+
+def good_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose text scores ``threshold`` or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, 500):
+            x = np.array([statistics_of(t) for t in texts_of(batch, "text")], dtype=float)
+            yield batch.filter(pa.array(model.score(x) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality score of every document."""
     return quality_scores(

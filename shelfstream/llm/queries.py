@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfstream.llm.byte_bpe import op3_byte_bpe
 from shelfstream.llm.language import op8_language
+from shelfstream.llm.packing import op10_packing
 from shelfstream.llm.privacy import op7_pii
 from shelfstream.llm.quality import op5_quality
 from shelfstream.llm.simhash import op2_simhash
@@ -26,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_pii": op7_pii,
     "op8_language": op8_language,
     "op9_vector_search": op9_vector_search,
+    "op10_packing": op10_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {"op4_warc": OP4_SQL}

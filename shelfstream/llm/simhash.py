@@ -305,6 +305,30 @@ def simhash_groups(
     )
 
 
+def one_per_group(
+    docs: DataFrame, words_per_shingle: int = WORDS_PER_SHINGLE, max_bits: int = MAX_BITS
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stand for their group.
+
+    Of each group the row with the smallest ``doc_id`` stays, one of several with that id, and
+    one with a NULL id only if there is no other. ``docs`` must be read from files, so that its
+    rows come in the same order whenever they are read.
+    """
+    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    marks = keep(
+        fingerprints(rows.select(F.col("_row").alias("doc_id"), "text"), words_per_shingle), "marks"
+    )
+    groups = fingerprint_groups(marks, max_bits)
+    ids = rows.select("_row", F.col("doc_id").alias("_id"))
+    order = F.struct(F.col("_id").isNull(), "_id", "_row")
+    first = (
+        marks.join(groups, "fp").withColumnRenamed("doc_id", "_row").join(ids, "_row")
+        .groupBy("component_id").agg(F.min(order).alias("first"))
+        .select(F.col("first._row").alias("_row"))
+    )
+    return rows.join(first, "_row", "left_semi").select(*docs.columns)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its fingerprint and group."""
     return simhash_groups(read_table(spark, sf_dir, "documents"))

@@ -1,0 +1,86 @@
+"""The pipeline's stages against what each operator says of the same input."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import corpus_pipeline
+import pytest
+from test_simhash import _slow_fingerprint, _slow_groups
+
+import __spark_entry__ as contract
+from shelfstream.llm.common import keep
+from shelfstream.llm.language import fit_language, language_scores
+from shelfstream.llm.privacy import pseudonymize
+from shelfstream.llm.quality import quality_scores
+
+
+@pytest.fixture(scope="module")
+def steps(spark):
+    """Each stage's input and the final result, as the pipeline makes them."""
+    sf_dir = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    made = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        made.append(keep(stage(spark, made[-1], sf_dir), name))
+    return made
+
+
+def _ids(df):
+    return Counter(r.doc_id for r in df.select("doc_id").collect())
+
+
+def test_stages_keep_the_columns(steps):
+    assert all(s.dtypes == steps[0].dtypes for s in steps[1:5])
+
+
+def test_quality_rejects_what_the_classifier_rejects(spark, steps, sf_dir):
+    scored = quality_scores(steps[0], spark.read.parquet(f"{sf_dir}/labels.parquet")).collect()
+    assert _ids(steps[1]) == Counter(r.doc_id for r in scored if r.predicted)
+    assert 0 < steps[1].count() < steps[0].count()
+
+
+def test_language_rejects_what_has_none(steps):
+    scored = language_scores(steps[1], fit_language(steps[1])).collect()
+    least = corpus_pipeline.MIN_LANGUAGE_SCORE
+    assert _ids(steps[2]) == Counter(r.doc_id for r in scored if r.lang_pred != "und" and r.score >= least)
+
+
+def test_one_document_of_each_group_stays(steps):
+    rows = [(r.doc_id, _slow_fingerprint(r.text)) for r in steps[2].collect()]
+    assert _ids(steps[3]) == Counter(set(_slow_groups(rows, 4)))
+
+
+def test_personal_data_is_replaced(steps):
+    want = pseudonymize(steps[3], corpus_pipeline.PSEUDONYM_KEY)
+    assert sorted((r.doc_id, r.text) for r in steps[4].collect()) == sorted(
+        (r.doc_id, r.text) for r in want.collect()
+    )
+    assert all(r.n_chars == len(r.text) for r in steps[4].collect())
+
+
+def test_all_that_is_left_is_packed(steps):
+    sizes = Counter()
+    for r in steps[5].collect():
+        sizes[r.doc_id] += r.length
+    assert dict(sizes) == {r.doc_id: len(r.text.encode()) for r in steps[4].collect()}
+
+
+def test_run_is_the_stages_in_a_row(spark, steps, sf_dir):
+    got = contract.queries()["pipeline"](spark, sf_dir)
+    assert sorted(map(str, got.collect())) == sorted(map(str, steps[5].collect()))
+
+
+def test_strange_documents(spark, sf_dir):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _row int, score int"
+    rows = [(1, None, None, None, None, 1, 1), (None, "", "en", "s", 0, 1, 1), (2, "12 34", "en", "s", 5, 1, 1),
+            (3, "the same words again and here", "en", "s", 9, 1, 1), (3, "the same words again and here", "en", "s", 9, 1, 1),
+            (None, "the same words again and here", None, "s", 9, 2, 2)]
+    docs = keep(spark.createDataFrame(rows, schema), "odd")
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        assert stage(spark, docs, sf_dir).count() <= len(rows), name
+        assert stage(spark, docs.limit(0), sf_dir).collect() == [], name
+    docs = keep(docs.drop("_row"), "odd")
+    left = corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect()
+    assert Counter(r.doc_id for r in left if r.text and r.text.startswith("the")) == Counter([3])
+    assert corpus_pipeline.packing(spark, docs, sf_dir).count() == len(rows)
