@@ -32,6 +32,18 @@ def crc32_of_id(column: str):
     return F.crc32(F.col(column).cast("string").cast("binary"))
 
 
+_PLACES = 1 << 30
+
+
+def share_by_hash(columns: list[str], most: int, n: int):
+    """A condition that about ``most`` of ``n`` rows meet, the same rows at each run.
+
+    Unlike the first rows of an order, it leaves each partition with its share only.
+    """
+    bound = min(_PLACES, int(most / max(1, n) * _PLACES) + 1)
+    return F.pmod(F.xxhash64(*columns), F.lit(_PLACES)) < bound
+
+
 def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
     """A text column as Python strings, NULL as the empty text."""
     return [t or "" for t in batch.column(column).to_pylist()]

@@ -25,7 +25,7 @@ from shelfstream.llm.vectors import matrix, packed_vectors, sample_vectors, unit
 
 MIN_COSINE = 0.95
 TREES = 5
-#: The trees are built on this many vectors at most.
+#: The trees are built on about this many vectors, twice that at the very most.
 SAMPLE = 8_192
 #: Vectors of a leaf, about, before spill; the trees grow deeper with the table.
 LEAF_ROWS = 400

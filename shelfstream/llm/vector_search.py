@@ -17,15 +17,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfstream.llm.common import keep, read_table
+from shelfstream.llm.common import keep, read_table, share_by_hash
 from shelfstream.llm.vectors import matrix, packed_vectors, sample_vectors, vector_kind
 
 NEIGHBOURS = 20
 #: Wanted share of true neighbours among the calibration queries.
 RECALL = 0.97
-#: At most this many queries calibrate.
+#: About this many queries calibrate, twice that at the very most.
 CALIBRATE = 200
-#: The tree is fitted on this many vectors at most.
+#: The tree is fitted on about this many vectors, twice that at the very most.
 SAMPLE = 16_384
 BRANCHES = 8
 #: Vectors per leaf, about, and the largest number of leaves.
@@ -180,8 +180,8 @@ def calibrated_visits(
     recall: float = RECALL, most: int = CALIBRATE,
 ) -> int:
     """The number of leaves to visit, widened until the sample finds ``recall`` of its neighbours."""
-    sample = [(r.vec_id, bytes(r.v)) for r in queries.orderBy(F.xxhash64("vec_id"), "vec_id", "key")
-              .limit(most).select("vec_id", "v").collect()]
+    chosen = queries.filter(share_by_hash(["vec_id"], most, queries.count())).limit(2 * most)
+    sample = sorted((r.vec_id, bytes(r.v)) for r in chosen.select("vec_id", "v").collect())
     if not sample:
         return 1
     truth = exact_neighbours(packed, sample, k, kind).select("query_id", "v").collect()

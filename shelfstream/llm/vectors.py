@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfstream.llm.common import share_by_hash
+
 
 def packed_vectors(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(vec_id, key, v) per row of ``table``.
@@ -72,6 +74,8 @@ def unit(rows: np.ndarray) -> np.ndarray:
 
 
 def sample_vectors(packed: DataFrame, most: int, kind: str) -> np.ndarray:
-    """At most ``most`` different vectors, those of least digest: the same at each run."""
-    rows = packed.filter("key is not null").groupBy("key").agg(F.first("v").alias("v"))
-    return matrix([r.v for r in rows.orderBy("key").limit(most).collect()], kind)
+    """About ``most`` different vectors, twice that at the very most, chosen by their digest."""
+    n = packed.count()
+    few = packed.filter(F.col("key").isNotNull() & share_by_hash(["key"], most, n))
+    rows = few.groupBy("key").agg(F.first("v").alias("v")).limit(2 * most).collect()
+    return matrix([r.v for r in sorted(rows, key=lambda r: r.key)], kind)
