@@ -13,18 +13,11 @@ MAX_OCTETS = 256 * 1024
 TXN = ["date_time", "trans_id"]
 HEADER = ["date_time", "trans_id", "store_id", "change_type_id"]
 
-# An item takes three octets or more in a document, "{}" and a comma, and at most 48:
-# {"item_id":-2147483648,"quantity":-2147483648},
-_LEAST_ITEM_OCTETS = 3
+# Upper bounds that spare writing most documents: an item with its comma, the rest of a
+# document but for its id and time, and a character of the id (\u0000).
 _MOST_ITEM_OCTETS = 48
-# The rest of a document, but for the transaction id.
 _MOST_HEADER_OCTETS = 250
-# A character of the id takes at most six: \u0000
 _MOST_ID_OCTETS = 6
-# With this many oversized transactions set apart, no other holds more than a
-# millionth of the lines.
-_MAX_SET_APART = 1_000_000
-_LINES_PER_PART = 10_000
 
 
 def strip_braces(df: DataFrame, col: str = "trans_id") -> DataFrame:
@@ -32,128 +25,71 @@ def strip_braces(df: DataFrame, col: str = "trans_id") -> DataFrame:
     return df.withColumn(col, strip_braces_of(col))
 
 
-def assemble_transactions(lines: DataFrame, max_octets: int = MAX_OCTETS) -> DataFrame:
+def assemble_transactions(lines: DataFrame) -> DataFrame:
     """One row per transaction: the header and the list of its items, sorted.
 
     The key is (date_time, trans_id); the header takes the least store and change type,
-    so a rerun gives the same rows.
-
-    A transaction that could not be sent whole, because its document is longer than
-    ``max_octets``, comes as one row per item with the same header. That is also what
-    keeps this safe to run: a transaction with more lines than any document of that
-    length can hold is recognised by a pre-aggregated count and never gathered in one
-    place.
+    so a rerun gives the same rows. Lines are shuffled once. A transaction is one row, so
+    its list has to fit in one.
     """
-    oversized = (
-        _count_lines(lines)
-        .filter(F.col("_lines") > _surely_over(max_octets))
-        .orderBy(F.desc("_lines"), *_TXN_COPY)
-        .limit(_MAX_SET_APART)
+    return (
+        lines.select(*HEADER, "item_id", "quantity")
+        # Lists do not get smaller by combining them early: shuffle plain lines.
+        .repartition(*TXN)
+        .groupBy(*TXN)
+        .agg(
+            F.min("store_id").alias("store_id"),
+            F.min("change_type_id").alias("change_type_id"),
+            F.sort_array(F.collect_list(item_struct("item_id", "quantity"))).alias("items"),
+        )
+        .select(*HEADER, "items")
     )
-    marked = lines.join(F.broadcast(oversized), _same_txn(), "left")
-    return _gather(marked, max_octets)
 
 
-def assemble_first_transactions(
-    lines: DataFrame, n: int = 100, max_octets: int = MAX_OCTETS
-) -> DataFrame:
-    """As :func:`assemble_transactions`, for the first ``n`` transactions only.
+def assemble_first_transactions(lines: DataFrame, n: int = 100) -> DataFrame:
+    """As :func:`assemble_transactions`, for the first ``n`` transactions, in their order.
 
-    Their keys are found first, so the lists of all the others are not built. Rows come in
-    no order, since one oversized transaction may have many.
+    Their keys are found first, so the lists of all the others are not built. Whether those
+    keys are broadcast is left to Spark.
     """
-    first = _count_lines(lines).orderBy(*_TXN_COPY).limit(n)
-    if n <= _MAX_SET_APART:
-        first = F.broadcast(first)
-    return _gather(lines.join(first, _same_txn()), max_octets)
-
-
-def split_documents(txns: DataFrame, max_octets: int = MAX_OCTETS) -> DataFrame:
-    """Cut each transaction with a document over ``max_octets`` into one-item ones."""
-    return _unroll(txns, _too_long(max_octets))
-
-
-def _surely_over(max_octets: int) -> int:
-    """With more lines than this, no document can be short enough."""
-    return max_octets // _LEAST_ITEM_OCTETS
-
-
-def _too_long(max_octets: int) -> Column:
-    # Most documents are far too short, which is seen without writing them.
-    id_octets = F.coalesce(F.octet_length("trans_id"), F.lit(0)) * _MOST_ID_OCTETS
-    at_most = F.size("items") * _MOST_ITEM_OCTETS + id_octets + _MOST_HEADER_OCTETS
-    octets = F.octet_length(F.to_json(F.struct(*HEADER, "items")))
-    return (at_most > max_octets) & (octets > max_octets)
-
-
-_TXN_COPY = [f"_{c}" for c in TXN]
-
-
-def _count_lines(lines: DataFrame) -> DataFrame:
-    counted = lines.groupBy(*TXN).agg(
-        F.count(F.lit(1)).alias("_lines"),
-        F.min("store_id").alias("_store_id"),
-        F.min("change_type_id").alias("_change_type_id"),
+    copies = {c: f"_{c}" for c in TXN}
+    first = (
+        lines.select(*TXN).distinct().orderBy(*TXN).limit(n).withColumnsRenamed(copies)
     )
-    return counted.withColumnsRenamed(dict(zip(TXN, _TXN_COPY, strict=True)))
-
+    same = [F.col(c).eqNullSafe(F.col(copy)) for c, copy in copies.items()]
+    return assemble_transactions(lines.join(first, same)).orderBy(*TXN)
 
-def _same_txn() -> list[Column]:
-    return [F.col(c).eqNullSafe(F.col(copy)) for c, copy in zip(TXN, _TXN_COPY, strict=True)]
 
+def split_documents(
+    txns: DataFrame, max_octets: int = MAX_OCTETS, timestamp_format: str | None = None
+) -> DataFrame:
+    """Cut each transaction with a document over ``max_octets`` into one-item ones.
 
-def _gather(marked: DataFrame, max_octets: int) -> DataFrame:
-    """Lists of lines that carry the line count of their transaction, where it is known.
-
-    Lines of an oversized transaction are gathered in parts of about ``_LINES_PER_PART``;
-    its header comes from the count.
+    The document measured is the one :func:`to_documents` writes with the same
+    ``timestamp_format``.
     """
-    surely_over = _surely_over(max_octets)
-    per_part = min(_LINES_PER_PART, surely_over + 1)
-    parts = F.ceil(F.col("_lines") / per_part)
-    # The input partition keeps copies of one line from all going to one part.
-    where = F.xxhash64("item_id", "quantity", F.spark_partition_id())
-    part = F.when(F.col("_lines") > surely_over, F.pmod(where, parts))
-    gathered = (
-        marked.select(
-            *TXN,
-            part.alias("_part"),
-            F.coalesce("_store_id", "store_id").alias("store_id"),
-            F.coalesce("_change_type_id", "change_type_id").alias("change_type_id"),
-            "item_id",
-            "quantity",
-        )
-        # Lists do not get smaller by combining them early: shuffle plain lines.
-        .repartition(*TXN, "_part")
-        .groupBy(*TXN, "_part")
-        .agg(
-            F.min("store_id").alias("store_id"),
-            F.min("change_type_id").alias("change_type_id"),
-            F.sort_array(F.collect_list(item_struct("item_id", "quantity"))).alias("items"),
-        )
-    )
-    return _unroll(gathered, F.col("_part").isNotNull() | _too_long(max_octets))
-
-
-def _unroll(txns: DataFrame, one_by_one: Column) -> DataFrame:
+    header = _MOST_HEADER_OCTETS + 3 * len(timestamp_format or "")
+    id_octets = F.coalesce(F.octet_length("trans_id"), F.lit(0)) * _MOST_ID_OCTETS
+    at_most = F.size("items") * _MOST_ITEM_OCTETS + id_octets + header
+    too_long = (at_most > max_octets) & (F.octet_length(_document(timestamp_format)) > max_octets)
     singles = F.transform("items", lambda item: F.array(item))
-    pieces = F.when(one_by_one, singles).otherwise(F.array("items"))
+    pieces = F.when(too_long, singles).otherwise(F.array("items"))
     return txns.select(*HEADER, F.explode(pieces).alias("items"))
 
 
+def _document(timestamp_format: str | None) -> Column:
+    options = {"timestampFormat": timestamp_format} if timestamp_format else {}
+    return F.to_json(F.struct(*HEADER, "items"), options)
+
+
 def to_documents(txns: DataFrame, timestamp_format: str | None = None) -> DataFrame:
     """One JSON document per transaction, in column ``document``, next to its header.
 
     Spark writes times to the millisecond unless ``timestamp_format`` says otherwise.
     """
-    options = {"timestampFormat": timestamp_format} if timestamp_format else {}
-    document = F.to_json(F.struct(*HEADER, "items"), options)
-    return txns.select(*HEADER, document.alias("document"))
+    return txns.select(*HEADER, _document(timestamp_format).alias("document"))
 
 
 def first_transactions(txns: DataFrame, n: int = 100) -> DataFrame:
-    """The first ``n`` rows in (date_time, trans_id) order, one row being one transaction.
-
-    Where some are oversized, use :func:`assemble_first_transactions`.
-    """
+    """The first ``n`` transactions in (date_time, trans_id) order."""
     return txns.orderBy(*TXN).limit(n)

@@ -126,7 +126,7 @@ def _with(select: str, *tables: str) -> str:
     return f"WITH {ctes}\n{select}"
 
 
-def _documents(limit: int, select: str) -> str:
+def _documents(limit: int, select: str, fraction: str = ".000Z") -> str:
     """``select`` over ``sent``: transactions, those over ``limit`` octets line by line."""
     sent = f"""sent AS (
         SELECT date_time, trans_id, store_id, change_type_id, n_items, items,
@@ -139,14 +139,12 @@ def _documents(limit: int, select: str) -> str:
         FROM documents_head h JOIN lines l
           ON h.date_time = l.date_time AND h.trans_id = l.trans_id
         WHERE strlen(concat(head, body, ']}}')) > {limit})"""
-    ctes = _with("", "documents_head").rstrip()
+    ctes = _with("", "documents_head").rstrip().replace(".000Z", fraction)
     return f"{ctes},\n{sent}\n{select}"
 
 
 _TXN_COLUMNS = "date_time, trans_id, store_id, change_type_id"
-_TXN = _documents(
-    MAX_OCTETS, f"SELECT {_TXN_COLUMNS}, cast(n_items AS int) AS n_items, items FROM sent"
-)
+_TXN = _with(f"SELECT {_TXN_COLUMNS}, cast(n_items AS int) AS n_items, items FROM txn", "txn")
 _CURRENT = _with("SELECT * FROM current_stock", "current_stock")
 _LATEST = _with("SELECT * FROM latest", "latest")
 _LINES = _with("SELECT * FROM lines", "lines")
@@ -189,18 +187,21 @@ ORACLE_SQL: dict[str, str] = {
     "txn_assemble": _TXN,
     "txn_json_roundtrip": _TXN,
     "txn_split": _documents(SPLIT_OCTETS, f"SELECT {_TXN_COLUMNS}, document FROM sent"),
+    "txn_split_micros": _documents(
+        SPLIT_OCTETS, f"SELECT {_TXN_COLUMNS}, document FROM sent", ".000000Z"
+    ),
     "first_n_txns": _with(
         f"""SELECT {_TXN_COLUMNS}, items FROM txn
         ORDER BY date_time, trans_id LIMIT {FIRST_N}""",
         "txn",
     ),
-    "change_flatten": _documents(
-        MAX_OCTETS,
+    "change_flatten": _with(
         """SELECT trans_id, store_id, date_time, change_type_id,
           cast(split_part(entry, ':', 1) AS int) AS item_id,
           cast(split_part(entry, ':', 2) AS int) AS quantity, event_items
         FROM (SELECT *, cast(n_items AS int) AS event_items,
-          unnest(string_split(items, ',')) AS entry FROM sent)""",
+          unnest(string_split(items, ',')) AS entry FROM txn)""",
+        "txn",
     ),
     "change_dedup": _DEDUP,
     "change_lookup": _with(

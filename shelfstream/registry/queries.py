@@ -168,7 +168,13 @@ def txn_json_roundtrip(spark, sf_dir):
 
 @_query
 def txn_split(spark, sf_dir):
-    return tx.to_documents(tx.assemble_transactions(_lines(spark, sf_dir), SPLIT_OCTETS))
+    return tx.to_documents(tx.split_documents(_transactions(spark, sf_dir), SPLIT_OCTETS))
+
+
+@_query
+def txn_split_micros(spark, sf_dir):
+    cut = tx.split_documents(_transactions(spark, sf_dir), SPLIT_OCTETS, _MICROS)
+    return tx.to_documents(cut, _MICROS)
 
 
 @_query

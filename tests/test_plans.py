@@ -18,7 +18,11 @@ from shelfstream import (
     snapshot_release,
     write_snapshot_files,
 )
-from shelfstream.operators.transactions import assemble_first_transactions
+from shelfstream.operators.transactions import (
+    assemble_first_transactions,
+    assemble_transactions,
+    split_documents,
+)
 from shelfstream.sources import read_change_type, read_landed_snapshots, read_store
 
 
@@ -139,7 +143,13 @@ def test_first_transactions_are_found_by_their_keys(data):
     plan = plan_of(assemble_first_transactions(data["changes"], 5), final=False)
     assert "TakeOrderedAndProject(limit=5" in plan
     below_lists = plan.split("collect_list", 1)[1]
-    assert "BroadcastHashJoin" in below_lists
+    assert "BroadcastHashJoin" in below_lists or "SortMergeJoin" in below_lists
+
+
+def test_transactions_read_and_shuffle_their_lines_once(data):
+    plan = plan_of(split_documents(assemble_transactions(data["changes"])), final=False)
+    assert plan.count("FileScan") == shuffles(plan) == 1
+    assert "Limit" not in plan and "Broadcast" not in plan
 
 
 def test_history_before_the_oldest_count_is_not_read(data, spark):
