@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,8 +26,8 @@ from shelfstream.storage import work_dir
 END_ID = 2
 #: A file is closed once it holds this many ids; a document is never cut.
 IDS_PER_FILE = 1 << 23
-#: Pieces of text whose ids a worker remembers.
-CACHED_PIECES = 400_000
+#: Pieces of text whose ids a worker remembers, and as many older ones.
+CACHED_PIECES = 200_000
 
 _MAGIC = b"DACIDS01"
 _BLOCK_BITS = 512
@@ -38,7 +39,7 @@ _CHUNK_BITS = 8
 # border between tokens, and what follows is tokenised as if it stood alone.
 _PIECES = re.compile(r"\s*\S+|\s+")
 # Python takes these four for white space, the pattern does not.
-_NOT_WHITE = re.compile("[\x1c-\x1f]")
+_NOT_WHITE = "\x1c\x1d\x1e\x1f"
 _PIECES_STRICT = re.compile(r".+?(?<=\S)(?=[ \n])|.+", re.DOTALL)
 
 
@@ -167,59 +168,110 @@ class TokenFile:
 # ---------------------------------------------------------------- encoding
 
 
+class _Recent:
+    """Values of the keys used of late: two generations of at most ``limit`` keys."""
+
+    def __init__(self, limit: int, make):
+        self._limit, self._make = limit, make
+        self.now: dict = {}
+        self._before: dict = {}
+
+    def get(self, key):
+        value = self.now.get(key)
+        if value is None:
+            value = self._before.get(key)
+            if value is None:
+                value = self._make(key)
+            self.now[key] = value
+        return value
+
+    def turn(self) -> None:
+        if len(self.now) > self._limit:
+            self._before, self.now = self.now, {}
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter a byte-level vocabulary writes for each byte, for ``str.translate``.
+
+    Printable bytes of Latin-1 stand for themselves, the others for the letters from 256 on.
+    """
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class PieceEncoder:
     """Ids of whole texts by the tokenizers library, each distinct piece encoded once.
 
     A text is cut where a token border is certain, so the ids of its pieces in a row are the
     ids of the text. That bounds memory for texts of any length and spares repeated words.
+    New pieces are split into pre-tokens, and the library's model encodes those not yet known.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, pattern: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
+        import regex
         from tokenizers import Tokenizer
 
-        self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
-        self._known: dict[str, bytes] = {}
+        tokenizer = Tokenizer.from_file(path)
+        if type(tokenizer.pre_tokenizer).__name__ != "ByteLevel" or tokenizer.normalizer:
+            raise ValueError("not a byte-level vocabulary")
+        self._model = tokenizer.model
+        self._tokens = regex.compile(pattern).findall
+        self._letters = _byte_letters()
+        self._known = _Recent(CACHED_PIECES, self._encode_token)
+        self._pieces = _Recent(CACHED_PIECES, self._encode_piece)
+
+    def _encode_token(self, token: str) -> bytes:
+        word = token.encode("utf-8").decode("latin-1").translate(self._letters)
+        return array("I", [t.id for t in self._model.tokenize(word)]).tobytes()
+
+    def _encode_piece(self, piece: str) -> bytes:
+        known = self._known.get
+        if piece[0] == " ":  # mostly a word, or a word and a sign
+            if piece[1:].isalpha():
+                return known(piece)
+            if piece[-1] in ".,;:!?" and piece[1:-1].isalpha():
+                return known(piece[:-1]) + known(piece[-1])
+        return b"".join(map(known, self._tokens(piece)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
-        pieces = [
-            (_PIECES_STRICT if _NOT_WHITE.search(t) else _PIECES).findall(t) for t in texts
-        ]
-        if len(self._known) > CACHED_PIECES:
-            self._known = {}
-        known = self._known
-        new = list({p for row in pieces for p in row if p not in known})
-        for at in range(0, len(new), 512):
-            part = new[at : at + 512]
-            for piece, e in zip(
-                part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True
-            ):
-                known[piece] = np.array(e.ids, dtype="<u4").tobytes()
-        return [b"".join(map(known.__getitem__, row)) for row in pieces]
+        self._pieces.turn()
+        self._known.turn()
+        find, make, out = self._pieces.now.get, self._pieces.get, []
+        for text in texts:
+            strict = any(c in text for c in _NOT_WHITE)
+            pieces = (_PIECES_STRICT if strict else _PIECES).findall(text)
+            ids = list(map(find, pieces))
+            if None in ids:
+                ids = [make(p) if i is None else i for p, i in zip(pieces, ids, strict=True)]
+            out.append(b"".join(ids))
+        return out
 
 
-_ENCODERS: dict[str, PieceEncoder] = {}
+_ENCODERS: dict[tuple[str, str], PieceEncoder] = {}
 
 
-def _encoder(path: str) -> PieceEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+def _encoder(path: str, pattern: str) -> PieceEncoder:
+    if (path, pattern) not in _ENCODERS:
+        _ENCODERS[path, pattern] = PieceEncoder(path, pattern)
+    return _ENCODERS[path, pattern]
 
 
 _MANIFEST = "shard long, part long, file string, n_docs long, n_ids long"
 
 
 def write_tokens(
-    docs: DataFrame, root: str, tokenizer: str, end_id: int = END_ID,
+    docs: DataFrame, root: str, tokenizer: str, pattern: str, end_id: int = END_ID,
     ids_per_file: int = IDS_PER_FILE,
 ) -> DataFrame:
     """Encode the documents and write token files in ascending ``doc_id`` order below ``root``.
 
+    ``tokenizer`` is the file of a byte-level vocabulary, ``pattern`` the one it splits text by.
+
     ``docs`` needs ``doc_id`` (bigint) and ``text``; other columns are ignored. The texts are
     shuffled once, by ranges of the id. A NULL id sorts first; equal ids are ordered by a hash
     of their text, and many equal rows still spread over tasks. A NULL or empty text holds the
@@ -238,7 +290,7 @@ def write_tokens(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, part = TaskContext.get().partitionId(), 0
-        encoder, store = _encoder(tokenizer), Store(root)
+        encoder, store = _encoder(tokenizer, pattern), Store(root)
         doc_ids: list = []
         counts: list[int] = []
         parts: list[bytes] = []
@@ -324,7 +376,8 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     root = work_dir(spark, "tokens")
     manifest = write_tokens(
-        read_table(spark, sf_dir, "documents"), root, public_tokenizers.path("byte_bpe_50k.json")
+        read_table(spark, sf_dir, "documents"), root,
+        public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN,
     )
     return read_tokens(spark, root, manifest).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")

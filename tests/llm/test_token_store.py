@@ -23,6 +23,7 @@ from shelfstream.llm.token_store import (
 from shelfstream.storage import work_dir
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PATTERN = public_tokenizers.PATTERN
 SCHEMA = "doc_id long, text string, ids string, start int"
 
 STRANGE = [
@@ -70,7 +71,7 @@ def test_a_foreign_file_is_refused():
 
 def test_pieces_encode_as_whole_texts(plain):
     texts = [t or "" for t in STRANGE]
-    got = PieceEncoder(TOKENIZER).encode(texts)
+    got = PieceEncoder(TOKENIZER, PATTERN).encode(texts)
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == [plain(t) for t in texts]
 
 
@@ -80,7 +81,7 @@ def test_round_trip_with_strange_rows(spark, plain, ids_per_file):
     rows += [(None, "null id", "", 0), (3, "equal id", "", 0), (3, "equal id", "", 0)]
     docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
     root = work_dir(spark, "tokens")
-    manifest = write_tokens(docs, root, TOKENIZER, ids_per_file=ids_per_file)
+    manifest = write_tokens(docs, root, TOKENIZER, PATTERN, ids_per_file=ids_per_file)
     got = read_tokens(spark, root, manifest).orderBy("start").collect()
     assert sorted((r.doc_id or -1, bytes(r.ids)) for r in got) == sorted(
         (r[0] or -1, np.array([*plain(r[1]), 2], dtype="<u4").tobytes()) for r in rows
@@ -93,7 +94,7 @@ def test_round_trip_with_strange_rows(spark, plain, ids_per_file):
 
 def test_no_documents(spark):
     root = work_dir(spark, "tokens")
-    manifest = write_tokens(spark.createDataFrame([], SCHEMA), root, TOKENIZER)
+    manifest = write_tokens(spark.createDataFrame([], SCHEMA), root, TOKENIZER, PATTERN)
     assert read_tokens(spark, root, manifest).collect() == []
 
 
