@@ -14,6 +14,7 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ from shelfstream.llm.common import keep, read_table, small_batches, texts_of
 CHUNK_CHARS = 1 << 16
 OVERLAP_CHARS = 1 << 10
 #: Pre-tokens whose ids a worker remembers, and the longest of them.
-CACHED_TOKENS = 500_000
+CACHED_TOKENS = 400_000
 CACHED_LENGTH = 64
 
 # The pattern looks at most this far past the end of a pre-token ("'re" after "'").
@@ -132,6 +133,11 @@ def _encoder(path: str, pattern: str) -> Encoder:
     return _ENCODERS[path, pattern]
 
 
+@lru_cache(4)
+def _words(path: str) -> dict[int, bytes]:
+    return {rank: word for word, rank in read_ranks(path).items()}
+
+
 def _id_lists(rows: list[bytes]) -> pa.ListArray:
     offsets = np.concatenate([[0], np.cumsum([len(r) // 4 for r in rows])]).astype(np.int32)
     values = np.frombuffer(b"".join(rows), "<i4")
@@ -286,15 +292,13 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     carried = [c for c in encoded.columns if c != "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = read_ranks(ranks_path)
-        words = {rank: word for word, rank in ranks.items()}
+        words = _words(ranks_path)
         for batch in small_batches(batches, 500):
+            # A slice shares the values of its whole batch: take each row's own.
             column = batch.column("ids")
-            values = column.values.to_pylist()
-            offsets = column.offsets.to_pylist()
             made = [
-                b"".join(map(words.__getitem__, values[a:b])) if ok else None
-                for a, b, ok in zip(offsets, offsets[1:], column.is_valid().to_pylist(), strict=False)
+                b"".join(map(words.__getitem__, ids.values.to_pylist())) if ids.is_valid else None
+                for ids in column
             ]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in carried), pa.array(made, pa.binary())],
