@@ -48,22 +48,28 @@ def malformed_changes(changes: DataFrame) -> DataFrame:
 
 
 def dedup_changes(
-    changes: DataFrame, delay: str = "1 hour", mode: str = "bounded"
+    changes: DataFrame, delay: str = "1 hour", mode: str = "exact"
 ) -> DataFrame:
     """One change per (trans_id, item_id).
 
     On a batch the change with the least (date_time, quantity) is kept, dated ones first.
     Copies are dropped before the shuffle.
 
-    On a stream rows later than ``delay`` are dropped. ``mode="bounded"`` lets go of a key
-    once its time has passed and takes dated changes only (see :func:`malformed_changes`);
-    ``mode="reference"`` remembers every key for ever.
+    On a stream the first to arrive is kept. ``mode="exact"`` keeps one row per key whatever
+    the time of a resend, undated ones included, and drops nothing for being late; its state
+    has one entry per key, on the executors' disks, and grows as the output does.
+    ``mode="watermark"`` is the same but for rows later than ``delay``, which are dropped.
+    ``mode="bounded"`` also lets go of a key once its time has passed, for sources that
+    resend within ``delay`` only, and takes dated changes only (see
+    :func:`malformed_changes`).
     """
-    if mode not in ("bounded", "reference"):
+    if mode not in ("exact", "watermark", "bounded"):
         raise ValueError(f"unknown mode {mode!r}")
     if not changes.isStreaming:
         return _least_per_key(changes)
-    if mode == "reference":
+    if mode == "exact":
+        return changes.dropDuplicates(CHANGE_KEY)
+    if mode == "watermark":
         return changes.withWatermark("date_time", delay).dropDuplicates(CHANGE_KEY)
     dated = changes.filter(F.col("date_time").isNotNull())
     return dated.withWatermark("date_time", delay).dropDuplicatesWithinWatermark(CHANGE_KEY)

@@ -50,13 +50,12 @@ def _nearest(points: DataFrame, by: list[str], forward: bool) -> DataFrame:
     )
 
 
-def event_gaps(txns: DataFrame, speed: int = 10, by_store: bool = False) -> DataFrame:
+def event_gaps(txns: DataFrame, by_store: bool = False) -> DataFrame:
     """Seconds between each transaction and the one before it.
 
     Order is (date_time, trans_id) over all stores, or per store. ``gap_seconds`` is in
-    whole seconds, 0 for the first transaction and for all but the first of one moment;
-    ``delay_seconds`` is the gap played back ``speed`` times faster. Rows of one
-    transaction, such as its lines, count once.
+    whole seconds, 0 for the first transaction and for all but the first of one moment.
+    Rows of one transaction, such as its lines, count once.
     """
     by = ["store_id"] if by_store else []
     # Only the first transaction of a moment has a gap.
@@ -82,16 +81,7 @@ def event_gaps(txns: DataFrame, speed: int = 10, by_store: bool = False) -> Data
     )
     own = [] if by_store else [F.min("store_id").alias("store_id")]
     gap = F.max("gap").alias("gap_seconds")
-    return (
-        merged.groupBy(*by, *TXN)
-        .agg(*own, gap)
-        .select(
-            "store_id",
-            *TXN,
-            "gap_seconds",
-            F.floor(F.col("gap_seconds") / speed).alias("delay_seconds"),
-        )
-    )
+    return merged.groupBy(*by, *TXN).agg(*own, gap).select("store_id", *TXN, "gap_seconds")
 
 
 def snapshot_times(snapshots: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from shelfstream.plans.retail import (
     name_streamed_datasets,
     read_raw_stream,
     read_silver_changes,
+    read_silver_snapshots,
     refresh_dimensions,
     refresh_gold,
     silver_changes,
@@ -24,6 +25,7 @@ __all__ = [
     "name_streamed_datasets",
     "read_raw_stream",
     "read_silver_changes",
+    "read_silver_snapshots",
     "refresh_dimensions",
     "refresh_gold",
     "silver_changes",

@@ -13,7 +13,6 @@ from shelfstream.operators.changes import (
     dedup_changes,
     effective_changes,
     flatten_events,
-    malformed_changes,
     parse_events,
 )
 from shelfstream.operators.inventory import (
@@ -21,14 +20,13 @@ from shelfstream.operators.inventory import (
     inventory_for_bi,
     recent_changes,
 )
-from shelfstream.operators.snapshots import SEQUENCE, SNAPSHOT_KEY, TIE_BREAK
+from shelfstream.operators.snapshots import latest_snapshot
 from shelfstream.sinks.tables import save_dataset, save_view
-from shelfstream.sources.files import read_change_type, read_item, read_store
+from shelfstream.sources.files import MAX_FILES, read_change_type, read_item, read_store
 from shelfstream.sources.messages import read_change_stream
 from shelfstream.storage import child_names, make_dir
 from shelfstream.streaming.changes import append_stream
 from shelfstream.streaming.refresh import refresh_every
-from shelfstream.streaming.snapshots import compact_latest, read_latest, upsert_latest
 
 # Dataset names and quality levels. The comments are ours.
 DATASETS = {
@@ -45,8 +43,6 @@ DATASETS = {
 # How often datasets are refreshed.
 DIMENSION_INTERVAL = "24 hours"
 GOLD_INTERVAL = "1 minute"
-# Ours: how often the folders of the latest counts are folded.
-COMPACTION_INTERVAL = "1 hour"
 
 
 @dataclass(frozen=True)
@@ -63,25 +59,18 @@ class Layout:
     def changes(self) -> str:
         return f"{self.root}/inventory_change"
 
-    @property
-    def malformed(self) -> str:
-        return f"{self.root}/inventory_change_malformed"
-
     @property
     def snapshots(self) -> str:
         return f"{self.root}/inventory_snapshot"
 
-    @property
-    def latest(self) -> str:
-        return f"{self.root}/latest_inventory_snapshot"
-
     def checkpoint(self, dataset: str) -> str:
         return f"{self.root}/_checkpoints/{dataset}"
 
 
-def _save(df: DataFrame, database: str, dataset: str) -> None:
+def _save(df: DataFrame, database: str, dataset: str, location: str | None = None) -> None:
     comment, quality = DATASETS[dataset]
-    save_dataset(df, f"{database}.{dataset}", comment, {"quality": quality})
+    place = f"{location}/{dataset}" if location else None
+    save_dataset(df, f"{database}.{dataset}", comment, {"quality": quality}, place)
 
 
 def refresh_dimensions(
@@ -111,8 +100,10 @@ def start_raw_stream(
 
 
 def read_raw_stream(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The stored messages; a micro-batch reads ``MAX_FILES`` files of them at most."""
     make_dir(spark, layout.raw)
-    return read_change_stream(spark, "parquet", {"path": layout.raw})
+    options = {"path": layout.raw, "maxFilesPerTrigger": str(MAX_FILES)}
+    return read_change_stream(spark, "parquet", options)
 
 
 def start_change_streams(
@@ -122,10 +113,10 @@ def start_change_streams(
     keep_event: bool = False,
     write_tasks: int | None = None,
 ) -> list[StreamingQuery]:
-    """Deduplicated changes, and messages without a usable time in a table of their own.
+    """Changes, each (transaction, item) once whatever the time of a resend.
 
     The change table is partitioned by event date, so that a refresh of current inventory
-    reads from the oldest latest count on.
+    reads from the oldest latest count on. Undated changes are a partition of their own.
     """
     flat = flatten_events(parse_events(raw), keep_event)
     return [
@@ -136,33 +127,18 @@ def start_change_streams(
             interval,
             ["event_date"],
             write_tasks,
-        ),
-        append_stream(
-            malformed_changes(flat),
-            layout.malformed,
-            layout.checkpoint("inventory_change_malformed"),
-            interval,
-        ),
+        )
     ]
 
 
 def start_snapshot_streams(
     snapshots: DataFrame, layout: Layout, interval: str | None = None
 ) -> list[StreamingQuery]:
-    """Counts, kept twice: all of them, and the latest per (store, item)."""
+    """All counts, as they come; the latest are taken from them."""
     return [
         append_stream(
             snapshots, layout.snapshots, layout.checkpoint("inventory_snapshot"), interval
-        ),
-        upsert_latest(
-            snapshots,
-            layout.latest,
-            SNAPSHOT_KEY,
-            SEQUENCE,
-            layout.checkpoint("latest_inventory_snapshot"),
-            TIE_BREAK,
-            interval,
-        ),
+        )
     ]
 
 
@@ -200,14 +176,12 @@ def start_refreshes(
     change_types: str,
     dimension_interval: str = DIMENSION_INTERVAL,
     gold_interval: str = GOLD_INTERVAL,
-    compaction_interval: str = COMPACTION_INTERVAL,
     compact: bool = False,
 ) -> list[StreamingQuery]:
     """Keep the dimension and the gold tables up to date until the queries are stopped.
 
-    The folders of the latest counts are compacted from time to time.
-
-    The dimensions are read once before, since gold needs them.
+    They may start before any stream has written a row. The dimensions are read once
+    before, since gold needs them.
     """
 
     def dimensions() -> None:
@@ -216,18 +190,10 @@ def start_refreshes(
     def gold() -> None:
         refresh_gold(spark, database, layout, compact)
 
-    def compaction() -> None:
-        compact_latest(
-            spark, layout.latest, schemas.SNAPSHOT, SNAPSHOT_KEY, SEQUENCE, TIE_BREAK
-        )
-
     dimensions()
     return [
         refresh_every(spark, dimensions, layout.checkpoint("dimensions"), dimension_interval),
         refresh_every(spark, gold, layout.checkpoint("gold"), gold_interval),
-        refresh_every(
-            spark, compaction, layout.checkpoint("compaction"), compaction_interval
-        ),
     ]
 
 
@@ -245,7 +211,18 @@ def name_streamed_datasets(spark: SparkSession, database: str, layout: Layout) -
 
 
 def read_silver_changes(spark: SparkSession, layout: Layout) -> DataFrame:
-    return spark.read.parquet(layout.changes)
+    """The streamed changes; none before the first has come."""
+    return _read_streamed(spark, layout.changes, f"{schemas.CHANGE}, event_date date")
+
+
+def read_silver_snapshots(spark: SparkSession, layout: Layout) -> DataFrame:
+    """All streamed counts; none before the first has come."""
+    return _read_streamed(spark, layout.snapshots, schemas.SNAPSHOT)
+
+
+def _read_streamed(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    make_dir(spark, path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def gold_datasets(
@@ -265,9 +242,10 @@ def gold_datasets(
 
 
 def refresh_gold(
-    spark: SparkSession, database: str, layout: Layout, compact: bool = False
+    spark: SparkSession, database: str, layout: Layout, compact: bool = False,
+    location: str | None = None,
 ) -> None:
-    """Rewrite the gold tables from silver (every minute).
+    """Rewrite the gold tables from silver (every minute), below ``location`` if given.
 
     Current inventory is stored first and the report reads the stored table, so it is
     computed once. The report grows with the number of changes; ``compact`` stores a count
@@ -275,15 +253,13 @@ def refresh_gold(
     """
     name_streamed_datasets(spark, database, layout)
     changes = read_silver_changes(spark, layout)
-    latest = read_latest(
-        spark, layout.latest, schemas.SNAPSHOT, SNAPSHOT_KEY, SEQUENCE, TIE_BREAK
-    )
-    _save(latest, database, "latest_inventory_snapshot")
+    latest = latest_snapshot(read_silver_snapshots(spark, layout))
+    _save(latest, database, "latest_inventory_snapshot", location)
     latest = spark.table(f"{database}.latest_inventory_snapshot")
     stores = spark.table(f"{database}.store")
     change_types = spark.table(f"{database}.inventory_change_type")
     gold = gold_datasets(changes, latest, stores, change_types)
-    _save(gold["inventory_current"], database, "inventory_current")
+    _save(gold["inventory_current"], database, "inventory_current", location)
     current = spark.table(f"{database}.inventory_current")
     report = inventory_for_bi(current, changes, change_types, compact)
-    _save(report, database, "inventory_current_transformed")
+    _save(report, database, "inventory_current_transformed", location)

@@ -41,6 +41,10 @@ _TABLES = {
           ts AS date_time,
           cast(floor(value) AS int) AS quantity
         FROM events WHERE event_type = 'view'""",
+    "snap_seconds": """SELECT item_id, employee_id, store_id,
+          date_trunc('second', date_time) AS date_time, quantity FROM snap""",
+    "snap_days": """SELECT item_id, employee_id, store_id,
+          cast(date_trunc('day', date_time) AS timestamp) AS date_time, quantity FROM snap""",
     "latest": """SELECT item_id, employee_id, store_id, date_time, quantity FROM (
           SELECT *, row_number() OVER (PARTITION BY store_id, item_id
             ORDER BY date_time DESC, quantity DESC, employee_id DESC) AS rn
@@ -97,6 +101,8 @@ _TABLES = {
 }
 
 _NEEDS = {
+    "snap_seconds": ["snap"],
+    "snap_days": ["snap"],
     "latest": ["snap"],
     "booked": ["store", "ict"],
     "effective": ["chg", "booked"],
@@ -151,13 +157,20 @@ _LINES = _with("SELECT * FROM lines", "lines")
 _DEDUP = _with("SELECT * FROM dedup", "dedup")
 
 
+_ITEMS = """SELECT cast(p_partkey AS int) AS item_id, p_name AS name,
+    cast(p_partkey % 100 AS int) AS supplier_id, p_size AS safety_stock_quantity FROM part"""
+# The streamed changes: every seventh has no time; what is sent again does not count.
+_UNDATED = """SELECT trans_id, store_id,
+    CASE WHEN cast(trans_id AS bigint) % 7 <> 0 THEN date_time END AS date_time,
+    change_type_id, item_id, quantity FROM chg"""
+
+
 def _gap(by: str) -> str:
     keys = f"{by}date_time, trans_id"
     store = "" if by else "min(store_id) AS store_id, "
     partition = "PARTITION BY store_id " if by else ""
     return _with(
-        f"""SELECT store_id, date_time, trans_id, cast(gap AS bigint) AS gap_seconds,
-          cast(floor(gap / 10) AS bigint) AS delay_seconds FROM (
+        f"""SELECT store_id, date_time, trans_id, cast(gap AS bigint) AS gap_seconds FROM (
             SELECT *, greatest(coalesce(date_sub('second',
               lag(date_time) OVER ({partition}ORDER BY date_time, trans_id),
               date_time), 0), 0) AS gap
@@ -166,6 +179,13 @@ def _gap(by: str) -> str:
     )
 
 
+def _streamed(select: str, table: str) -> str:
+    """``select`` over the changes as they were streamed."""
+    return _with(select, table).replace("chg AS (", "sent_chg AS (").replace(
+        "\nbooked AS (", f"\nchg AS ({_UNDATED.replace('FROM chg', 'FROM sent_chg')}),\nbooked AS ("
+    )
+
+
 ORACLE_SQL: dict[str, str] = {
     "inventory_current": _CURRENT,
     "inventory_current_by_quantity": _with(
@@ -242,21 +262,47 @@ ORACLE_SQL: dict[str, str] = {
     "fn_document_time": "SELECT o_orderkey, o_orderdate AS date_time FROM orders",
     "fn_timestamp": "SELECT event_id, ts AS date_time FROM events",
     "src_change_files": _with("SELECT * FROM raw_lines", "raw_lines"),
-    "src_snapshot_files": _with(
-        """SELECT item_id, employee_id, store_id,
-          date_trunc('second', date_time) AS date_time, quantity FROM snap""",
-        "snap",
+    "src_snapshot_files": _with("SELECT * FROM snap_seconds", "snap_seconds"),
+    "src_item_file": _ITEMS,
+    "src_store_file": "SELECT cast(s_suppkey AS int) AS store_id, s_name AS name FROM supplier",
+    "src_change_type_file": """SELECT cast(n_nationkey AS int) AS change_type_id,
+        n_name AS change_type FROM nation""",
+    "snk_snapshot_files": _with("SELECT * FROM snap_seconds", "snap_seconds"),
+    "snk_snapshot_files_twice": _with(
+        f"SELECT * FROM snap_days WHERE store_id = {LOOKUP_STORE_ID}", "snap_days"
     ),
-    "src_item_file": """SELECT cast(p_partkey AS int) AS item_id, p_name AS name,
-        cast(p_partkey % 100 AS int) AS supplier_id, p_size AS safety_stock_quantity
-        FROM part""",
-    "snk_snapshot_files": _with(
-        """SELECT item_id, employee_id, store_id,
-          cast(date_trunc('day', date_time) AS timestamp) AS date_time, quantity
-        FROM snap""",
-        "snap",
+    "snapshot_of_moment": _with(
+        f"""SELECT * FROM snap_days WHERE store_id = {LOOKUP_STORE_ID} AND date_time =
+          (SELECT min(date_time) FROM snap_days WHERE store_id = {LOOKUP_STORE_ID})""",
+        "snap_days",
     ),
     "snk_inventory_table": _CURRENT,
+    "snk_table_refresh": _with("SELECT * FROM effective", "effective"),
+    "snk_database": _ITEMS,
+    "src_inspect_tables": _with(
+        f"""SELECT 'item' AS dataset, count(*) AS n FROM ({_ITEMS})
+        UNION ALL SELECT 'inventory_change', count(*) FROM chg
+        UNION ALL SELECT 'inventory_snapshot', count(*) FROM snap
+        UNION ALL SELECT 'latest_inventory_snapshot', count(*) FROM latest
+        UNION ALL SELECT 'inventory_current', count(*) FROM current_stock
+        UNION ALL SELECT 'store', count(*) FROM store
+        UNION ALL SELECT 'inventory_change_type', count(*) FROM ict""",
+        "current_stock",
+    ),
+    "src_table_stream": _with("SELECT * FROM chg", "chg"),
+    "inventory_newest_first": _with(
+        """SELECT *, cast(row_number() OVER (
+          ORDER BY date_time DESC NULLS LAST, store_id, item_id) AS int) AS position
+        FROM current_stock""",
+        "current_stock",
+    ),
+    "stream_rate_limit": _with(
+        """SELECT count(*) AS n FROM snap, (SELECT (floor(epoch(min(date_time)))
+          + floor(epoch(max(date_time)))) / 2 AS cut FROM snap)
+        GROUP BY epoch(date_time) >= cut""",
+        "snap",
+    ),
+    "stream_refresh_trigger": _LATEST,
     "snk_publish_text": _LINES,
     "stream_change_dedup": _DEDUP,
     # The earlier part is late but for what lies within an hour of the newest change.
@@ -274,5 +320,7 @@ ORACLE_SQL: dict[str, str] = {
         """SELECT trans_id AS key, document AS value, 'inventory_change' AS topic,
           date_time AS "timestamp", 0 AS "timestampType", true AS no_headers FROM sent""",
     ),
-    "stream_inventory_current": _CURRENT,
+    "stream_change_resend": _with(_UNDATED, "chg"),
+    "stream_inventory_current": _streamed("SELECT * FROM current_stock", "current_stock"),
+    "stream_inventory_bi": _streamed("SELECT * FROM report", "report"),
 }

@@ -9,7 +9,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfstream import fixtures, functions, schemas, session
@@ -20,30 +20,37 @@ from shelfstream.operators import timeline as tm
 from shelfstream.operators import transactions as tx
 from shelfstream.plans.retail import (
     Layout,
-    gold_datasets,
     read_silver_changes,
+    refresh_gold,
+    start_change_streams,
     start_raw_stream,
     start_snapshot_streams,
     start_streams,
 )
 from shelfstream.sinks import (
     create_database,
+    drop_database,
     publish,
     save_dataset,
     to_envelope,
+    use_database,
     write_snapshot_files,
 )
 from shelfstream.sources import (
     read_change_stream,
+    read_change_type,
     read_changes,
     read_dataset,
+    read_dataset_stream,
     read_item,
     read_landed_snapshots,
     read_snapshot_stream,
     read_snapshots,
+    read_store,
 )
-from shelfstream.storage import work_dir
-from shelfstream.streaming import append_stream, change_stream, read_latest, upsert_latest
+from shelfstream.storage import child_names, work_dir
+from shelfstream.streaming import append_stream, change_stream, refresh_with
+from shelfstream.streaming.changes import triggered
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -298,34 +305,51 @@ def fn_timestamp(spark, sf_dir):
 # -- files and tables ---------------------------------------------------------
 
 
+def _files(df: DataFrame, label: str) -> list[str]:
+    """``df`` as CSV files with a header line, one folder per store; their paths."""
+    root = work_dir(df.sparkSession, label)
+    written = df.withColumn("folder", F.col("store_id"))
+    written.write.partitionBy("folder").option("header", True).csv(root)
+    names = child_names(df.sparkSession, root)
+    return [f"{root}/{name}" for name in names if name.startswith("folder=")]
+
+
 @_query
 def src_change_files(spark, sf_dir):
-    root = work_dir(spark, "change-files")
     lines = fixtures.lines(spark, sf_dir).select(
         "trans_id", "item_id", "store_id",
         functions.as_second_text("date_time").alias("date_time"),
         "quantity", "change_type_id",
     )
-    paths = []
-    for store_id, _ in fixtures.STORES:
-        paths.append(f"{root}/{store_id}")
-        of_store = lines.filter(F.col("store_id") == store_id)
-        of_store.write.option("header", True).csv(paths[-1])
-    return read_changes(spark, paths)
+    return read_changes(spark, _files(lines, "change-files"))
 
 
 @_query
 def src_snapshot_files(spark, sf_dir):
-    root = work_dir(spark, "count-files")
     counts = fixtures.snapshots(spark, sf_dir).withColumn(
         "date_time", functions.as_second_text("date_time")
     )
-    paths = []
-    for store_id, _ in fixtures.STORES:
-        paths.append(f"{root}/{store_id}")
-        of_store = counts.filter(F.col("store_id") == store_id)
-        of_store.write.option("header", True).csv(paths[-1])
-    return read_snapshots(spark, paths)
+    return read_snapshots(spark, _files(counts, "count-files"))
+
+
+@_query
+def src_store_file(spark, sf_dir):
+    path = work_dir(spark, "store-file")
+    suppliers = fixtures.table(spark, sf_dir, "supplier").selectExpr(
+        "cast(s_suppkey AS int) AS store_id", "s_name AS name"
+    )
+    suppliers.write.option("header", True).csv(path)
+    return read_store(spark, path)
+
+
+@_query
+def src_change_type_file(spark, sf_dir):
+    path = work_dir(spark, "type-file")
+    nations = fixtures.table(spark, sf_dir, "nation").selectExpr(
+        "cast(n_nationkey AS int) AS change_type_id", "n_name AS change_type"
+    )
+    nations.write.option("header", True).csv(path)
+    return read_change_type(spark, path)
 
 
 @_query
@@ -335,28 +359,117 @@ def src_item_file(spark, sf_dir):
     return read_item(spark, path)
 
 
+def _cut_times(df: DataFrame, unit: str) -> DataFrame:
+    return df.withColumn("date_time", F.date_trunc(unit, "date_time"))
+
+
 @_query
 def snk_snapshot_files(spark, sf_dir):
     path = work_dir(spark, "landed-counts")
-    daily = fixtures.snapshots(spark, sf_dir).withColumn(
-        "date_time", F.date_trunc("day", "date_time")
-    )
-    write_snapshot_files(daily, path)
+    write_snapshot_files(_cut_times(fixtures.snapshots(spark, sf_dir), "second"), path)
     return read_landed_snapshots(spark, path)
 
 
 @_query
-def snk_inventory_table(spark, sf_dir):
+def snk_snapshot_files_twice(spark, sf_dir):
+    path = work_dir(spark, "landed-counts")
+    counts = _cut_times(fixtures.snapshots(spark, sf_dir), "day")
+    write_snapshot_files(counts, path)
+    write_snapshot_files(sn.snapshot_of_store(counts, LOOKUP_STORE_ID), path)
+    return read_landed_snapshots(spark, path)
+
+
+@_query
+def snapshot_of_moment(spark, sf_dir):
+    path = work_dir(spark, "landed-counts")
+    counts = _cut_times(fixtures.snapshots(spark, sf_dir), "day")
+    write_snapshot_files(counts, path)
+    of_store = sn.snapshot_of_store(counts, LOOKUP_STORE_ID)
+    first = of_store.agg(functions.as_second_text(F.min("date_time"))).first()[0]
+    return read_landed_snapshots(spark, path, LOOKUP_STORE_ID, first)
+
+
+def _database(spark: SparkSession) -> tuple[str, str]:
+    """A new database, and the folder of its tables."""
     root = work_dir(spark, "tables")
-    database = "shelfstream_check"
-    name = f"{database}.inventory_current_{root[-32:]}"
-    create_database(spark, database, f"{root}/database")
+    name = f"shelfstream_check_{root[-32:]}"
+    create_database(spark, name, f"{root}/database")
+    return name, root
+
+
+@_query
+def snk_inventory_table(spark, sf_dir):
+    database, root = _database(spark)
+    name = f"{database}.inventory_current"
     save_dataset(
         _current(spark, sf_dir), name, "current inventory", {"quality": "gold"}, root
     )
+    found = spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+    assert ("quality", "gold") in [(r.key, r.value) for r in found]
     return read_dataset(spark, name)
 
 
+@_query
+def snk_table_refresh(spark, sf_dir):
+    database, root = _database(spark)
+    name = f"{database}.effective"
+    for rows in (_effective(spark, sf_dir).filter("store_id = 0"), _effective(spark, sf_dir)):
+        save_dataset(rows, name, "effective changes", {"quality": "gold"}, root)
+    return read_dataset(spark, name)
+
+
+@_query
+def snk_database(spark, sf_dir):
+    database, root = _database(spark)
+    before = spark.catalog.currentDatabase()
+    use_database(spark, database)
+    fixtures.items(spark, sf_dir).write.option("path", f"{root}/item").saveAsTable("item")
+    use_database(spark, before)
+    copy = work_dir(spark, "items")
+    read_dataset(spark, f"{database}.item").write.parquet(copy)
+    drop_database(spark, database)
+    assert not spark.catalog.databaseExists(database)
+    return spark.read.parquet(copy)
+
+
+@_query
+def src_inspect_tables(spark, sf_dir):
+    database, root = _database(spark)
+    tables = {
+        "item": fixtures.items(spark, sf_dir),
+        "inventory_change": fixtures.changes(spark, sf_dir),
+        "inventory_snapshot": fixtures.snapshots(spark, sf_dir),
+        "latest_inventory_snapshot": _latest(spark, sf_dir),
+        "inventory_current": _current(spark, sf_dir),
+        "store": fixtures.stores(spark),
+        "inventory_change_type": fixtures.change_types(spark),
+    }
+    counts = []
+    for name, rows in tables.items():
+        save_dataset(rows, f"{database}.{name}", name, {}, f"{root}/{name}")
+        counted = read_dataset(spark, f"{database}.{name}").agg(F.count(F.lit(1)).alias("n"))
+        counts.append(counted.select(F.lit(name).alias("dataset"), "n"))
+    return functools.reduce(DataFrame.unionByName, counts)
+
+
+@_query
+def src_table_stream(spark, sf_dir):
+    database, root = _database(spark)
+    fixtures.changes(spark, sf_dir).write.option("path", f"{root}/c").saveAsTable(f"{database}.c")
+    stream = read_dataset_stream(spark, f"{database}.c")
+    append_stream(stream, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/out")
+
+
+@_query
+def inventory_newest_first(spark, sf_dir):
+    # The place of each row in the order presented, from 1 on.
+    ordered = inv.newest_first(_current(spark, sf_dir)).withColumn(
+        "position", F.monotonically_increasing_id()
+    )
+    return ordered.withColumn("position", F.row_number().over(Window.orderBy("position")))
+
+
 @_query
 def snk_publish_text(spark, sf_dir):
     path = work_dir(spark, "published")
@@ -368,12 +481,13 @@ def snk_publish_text(spark, sf_dir):
 
 
 def _halves(df: DataFrame) -> list[DataFrame]:
-    """The earlier and the later part of ``df`` by event time."""
+    """The earlier part of ``df`` by event time, undated rows with it, and the later part."""
     span = df.agg(F.min("date_time").alias("lo"), F.max("date_time").alias("hi")).select(
         F.timestamp_seconds((F.unix_seconds("lo") + F.unix_seconds("hi")) / 2).alias("cut")
     )
     cut = F.lit(span.first()["cut"])
-    return [df.filter(F.col("date_time") < cut), df.filter(F.col("date_time") >= cut)]
+    earlier = F.col("date_time").isNull() | (F.col("date_time") < cut)
+    return [df.filter(earlier), df.filter(F.col("date_time") >= cut)]
 
 
 def _send(documents: DataFrame, path: str) -> None:
@@ -408,32 +522,59 @@ def stream_late_changes(spark, sf_dir):
     # The earlier part is sent last, hours behind the watermark.
     for changes in reversed(_halves(fixtures.changes(spark, sf_dir))):
         _send(tx.to_documents(tx.assemble_transactions(changes), _MICROS), raw)
-        stream = change_stream(read_change_stream(spark, "parquet", {"path": raw}))
+        messages = read_change_stream(spark, "parquet", {"path": raw})
+        stream = change_stream(messages, mode="watermark")
         append_stream(stream, out, checkpoint).awaitTermination()
     return spark.read.parquet(out).select(*ch.CHANGE_COLUMNS)
 
 
+def _with_undated(changes: DataFrame) -> DataFrame:
+    """Every seventh change has no time."""
+    undated = F.col("trans_id").cast("bigint") % 7 == 0
+    return changes.withColumn("date_time", F.when(~undated, F.col("date_time")))
+
+
+def _resent(changes: DataFrame) -> DataFrame:
+    """Every third change once more, hours later."""
+    again = changes.filter(F.col("trans_id").cast("bigint") % 3 == 0)
+    return again.withColumn("date_time", F.expr("date_time + INTERVAL 9 HOURS"))
+
+
+@_query
+def stream_change_resend(spark, sf_dir):
+    layout = Layout(f"{work_dir(spark, 'resent-changes')}/silver")
+    sent = f"{layout.root}/sent"
+    changes = _with_undated(fixtures.changes(spark, sf_dir))
+    for some in (changes, _resent(changes)):
+        _send(tx.to_documents(tx.assemble_transactions(some), _MICROS), sent)
+        stream = read_change_stream(spark, "parquet", {"path": sent})
+        for query in start_change_streams(stream, layout):
+            query.awaitTermination()
+    return read_silver_changes(spark, layout).drop("event_date")
+
+
 @_query
 def stream_latest_snapshot(spark, sf_dir):
     root = work_dir(spark, "count-stream")
-    landed, latest, checkpoint = f"{root}/landed", f"{root}/latest", f"{root}/checkpoint"
-    rules = (sn.SNAPSHOT_KEY, sn.SEQUENCE)
+    landed, history, checkpoint = f"{root}/landed", f"{root}/history", f"{root}/checkpoint"
     # Newer counts arrive before older ones.
     for counts in reversed(_halves(fixtures.snapshots(spark, sf_dir))):
         _land(counts, landed)
-        stream = read_snapshot_stream(spark, landed)
-        upsert_latest(stream, latest, *rules, checkpoint, sn.TIE_BREAK).awaitTermination()
-    return read_latest(spark, latest, schemas.SNAPSHOT, *rules, sn.TIE_BREAK)
+        append_stream(read_snapshot_stream(spark, landed), history, checkpoint).awaitTermination()
+    return sn.latest_snapshot(spark.read.schema(schemas.SNAPSHOT).parquet(history))
 
 
 def _run_streams(spark: SparkSession, sf_dir: str) -> Layout:
-    """All streams over changes and counts, in two runs on one checkpoint."""
+    """All streams over changes and counts, in two runs on one checkpoint, with resends."""
     root = work_dir(spark, "retail")
     layout = Layout(f"{root}/silver")
     sent, landed = f"{root}/sent", f"{root}/landed"
-    changes = fixtures.changes(spark, sf_dir)
-    counts = fixtures.snapshots(spark, sf_dir)
-    for some_changes, some_counts in zip(_halves(changes), _halves(counts), strict=True):
+    changes = _with_undated(fixtures.changes(spark, sf_dir))
+    earlier, later = _halves(changes)
+    counts = _halves(fixtures.snapshots(spark, sf_dir))
+    for some_changes, some_counts in zip(
+        [earlier, later.unionByName(_resent(earlier))], counts, strict=True
+    ):
         _send(tx.to_documents(tx.assemble_transactions(some_changes), _MICROS), sent)
         _land(some_counts, landed)
         started = start_streams(
@@ -473,16 +614,69 @@ def stream_raw_changes(spark, sf_dir):
     )
 
 
+def _by_batch(stream: DataFrame, root: str) -> DataFrame:
+    """The rows of ``stream`` with the number of the micro-batch they came in."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").parquet(
+            f"{root}/batches/id={batch_id}"
+        )
+
+    writer = stream.writeStream.foreachBatch(write).option(
+        "checkpointLocation", f"{root}/checkpoint"
+    )
+    triggered(writer, None).start().awaitTermination()
+    return stream.sparkSession.read.parquet(f"{root}/batches").drop("id")
+
+
+@_query
+def stream_rate_limit(spark, sf_dir):
+    root = work_dir(spark, "rate-limit")
+    for counts in _halves(fixtures.snapshots(spark, sf_dir)):
+        _land(counts.coalesce(1), f"{root}/landed")
+    stream = read_snapshot_stream(spark, f"{root}/landed", max_files_per_trigger=1)
+    counted = _by_batch(stream, root).groupBy("batch").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select("n")
+
+
+@_query
+def stream_refresh_trigger(spark, sf_dir):
+    root = work_dir(spark, "trigger")
+    _land(fixtures.snapshots(spark, sf_dir), f"{root}/landed")
+    history, latest = f"{root}/history", f"{root}/latest"
+    stream = read_snapshot_stream(spark, f"{root}/landed")
+    append_stream(stream, history, f"{root}/checkpoint").awaitTermination()
+
+    def recompute() -> None:
+        rows = spark.read.schema(schemas.SNAPSHOT).parquet(history)
+        sn.latest_snapshot(rows).write.mode("overwrite").parquet(latest)
+
+    again = spark.readStream.schema(schemas.SNAPSHOT).parquet(history)
+    refresh_with(again, recompute, f"{root}/refresh", None).awaitTermination()
+    return spark.read.parquet(latest)
+
+
+def _gold(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
+    """A gold table after all streams have run, refreshed before the first row and after."""
+    root = work_dir(spark, "gold")
+    database = f"shelfstream_gold_{root[-32:]}"
+    create_database(spark, database, f"{root}/database")
+    dimensions = {
+        "store": fixtures.stores(spark),
+        "inventory_change_type": fixtures.change_types(spark),
+    }
+    for name, rows in dimensions.items():
+        save_dataset(rows, f"{database}.{name}", name, {}, f"{root}/{name}")
+    refresh_gold(spark, database, Layout(f"{root}/empty"), location=f"{root}/tables")
+    refresh_gold(spark, database, _run_streams(spark, sf_dir), location=f"{root}/tables")
+    return read_dataset(spark, f"{database}.{dataset}")
+
+
 @_query
 def stream_inventory_current(spark, sf_dir):
-    layout = _run_streams(spark, sf_dir)
-    latest = read_latest(
-        spark, layout.latest, schemas.SNAPSHOT, sn.SNAPSHOT_KEY, sn.SEQUENCE, sn.TIE_BREAK
-    )
-    gold = gold_datasets(
-        read_silver_changes(spark, layout),
-        latest,
-        fixtures.stores(spark),
-        fixtures.change_types(spark),
-    )
-    return gold["inventory_current"]
+    return _gold(spark, sf_dir, "inventory_current")
+
+
+@_query
+def stream_inventory_bi(spark, sf_dir):
+    return _gold(spark, sf_dir, "inventory_current_transformed")

@@ -16,8 +16,12 @@ CHANGE_LINE = (
 SNAPSHOT = (
     "item_id int, employee_id int, store_id int, date_time timestamp, quantity int"
 )
+CHANGE = (
+    "trans_id string, store_id int, date_time timestamp, change_type_id int, "
+    "item_id int, quantity int"
+)
 # A landed count file carries a leading row index.
-LANDED_SNAPSHOT = "id int, " + SNAPSHOT
+LANDED_SNAPSHOT = "id bigint, " + SNAPSHOT
 
 # -- messages -------------------------------------------------------------------
 EVENT = (

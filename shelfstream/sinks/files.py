@@ -17,15 +17,16 @@ def write_snapshot_files(snapshots: DataFrame, path: str) -> None:
 
     One Spark write makes all the files. Rows of a folder are brought together; a count
     much larger than the others is rebalanced over several tasks and so has several files.
-    Files have a header and, as first column, a row index that readers drop; store and
-    time stay in the files besides naming the folders.
+    Files have a header and, as first column, a row index that readers drop: the position
+    in the task that wrote it, increasing within a file. Store and time stay in the files
+    besides naming the folders.
     """
     placed = snapshots.hint("rebalance", *_TAKEN)
     position = F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION))
     taken = as_second_text("date_time")
     (
         placed.select(
-            position.cast("int").alias("id"),
+            position.alias("id"),
             "item_id",
             "employee_id",
             "store_id",

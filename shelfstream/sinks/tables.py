@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfstream.storage import child_names, remove_dir
+from shelfstream.storage import child_names, remove_dir, warehouse_dir
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -44,18 +44,17 @@ def save_dataset(
     properties: dict[str, str],
     location: str | None = None,
     partition_by: list[str] | None = None,
-    keep: int = 3,
+    keep_hours: float = 24,
 ) -> None:
     """Write ``df`` as the table ``name``, replacing its rows.
 
     Rows go to a new folder under ``location`` first and the table is pointed at it when
     they are complete: a write that fails, or a query that reads the table meanwhile,
-    finds the rows from before. The last ``keep`` folders stay, for queries that began
-    before a refresh; older ones are removed.
+    finds the rows from before. A folder stays for ``keep_hours`` after the next one replaced
+    it, which must be more than the longest query takes.
     """
     spark = df.sparkSession
-    warehouse = spark.conf.get("spark.sql.warehouse.dir")
-    base = location or f"{warehouse}/datasets/{name}"
+    base = location or f"{warehouse_dir(spark)}/datasets/{name}"
     folder = f"{base}/{_RUN}{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     writer = df.write.mode("errorifexists").format("parquet")
     if partition_by:
@@ -80,8 +79,10 @@ def save_dataset(
     spark.catalog.refreshTable(name)
 
     runs = [child for child in child_names(spark, base) if child.startswith(_RUN)]
-    for old in runs[:-keep]:
-        remove_dir(spark, f"{base}/{old}")
+    limit = time.time_ns() - int(keep_hours * 3600e9)
+    for old, after in zip(runs, runs[1:], strict=False):
+        if int(after.removeprefix(_RUN).split("-")[0]) < limit:
+            remove_dir(spark, f"{base}/{old}")
 
 
 def save_view(

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfstream import schemas
 
+# Files of a micro-batch, so that a backlog comes in parts.
+MAX_FILES = 1_000
+
 
 def _csv(spark: SparkSession, path: str | list[str], schema: str, **options) -> DataFrame:
     return spark.read.csv(path, schema=schema, header=True, **options)
@@ -41,16 +45,29 @@ def read_snapshots(
     return _csv(spark, paths, schemas.SNAPSHOT, timestampFormat=timestamp_format)
 
 
-def read_landed_snapshots(spark: SparkSession, path: str) -> DataFrame:
-    """Counts that were landed one folder per (store, time); the row index is dropped."""
-    landed = _csv(spark, path, schemas.LANDED_SNAPSHOT, recursiveFileLookup=True)
-    return landed.drop("id")
+def read_landed_snapshots(
+    spark: SparkSession, path: str, store_id: int | None = None, date_time: str | None = None
+) -> DataFrame:
+    """Counts that were landed one folder per (store, time); the row index is dropped.
+
+    ``store_id`` and ``date_time`` (in :data:`~shelfstream.schemas.SECOND_FORMAT`) limit what
+    is read to the folders of that store and time.
+    """
+    landed = _csv(spark, path, f"{schemas.LANDED_SNAPSHOT}, store int, taken string")
+    if store_id is not None:
+        landed = landed.filter(F.col("store") == store_id)
+    if date_time is not None:
+        landed = landed.filter(F.col("taken") == date_time)
+    return landed.drop("id", "store", "taken")
 
 
 def read_snapshot_stream(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+    spark: SparkSession, path: str, max_files_per_trigger: int | None = MAX_FILES
 ) -> DataFrame:
-    """Counts as their files arrive, files that are already there included."""
+    """Counts as their files arrive, files that are already there included.
+
+    A micro-batch reads ``max_files_per_trigger`` files at most, None for no limit.
+    """
     reader = (
         spark.readStream.schema(schemas.LANDED_SNAPSHOT)
         .option("header", True)

@@ -12,22 +12,32 @@ KAFKA_SETTINGS = {
     "kafka.security.protocol": "SASL_SSL",
     "kafka.request.timeout.ms": "60000",
     "kafka.session.timeout.ms": "60000",
+}
+# A live sample. It starts at the newest message, goes on if messages were
+# lost, and reads few of them at a time.
+LIVE_SAMPLE = {
     "failOnDataLoss": "false",
     "startingOffsets": "latest",
     "maxOffsetsPerTrigger": "100",
 }
+# All messages from the first on; a loss is an error.
+EVERYTHING = {"failOnDataLoss": "true", "startingOffsets": "earliest"}
 _NEEDED = ("subscribe", "kafka.bootstrap.servers", "kafka.sasl.jaas.config")
 
 
-def kafka_options(options: dict[str, str]) -> dict[str, str]:
-    """Reader options: the settings above under the caller's own.
+def kafka_options(
+    options: dict[str, str], preset: dict[str, str] | None = None
+) -> dict[str, str]:
+    """Reader options: the settings above and a preset, under the caller's own.
+
+    The preset is :data:`EVERYTHING` unless another, such as :data:`LIVE_SAMPLE`, is given.
 
     Topic, servers and login always come from the caller.
     """
     missing = [name for name in _NEEDED if name not in options]
     if missing:
         raise ValueError(f"missing options: {', '.join(missing)}")
-    return {**KAFKA_SETTINGS, **options}
+    return {**KAFKA_SETTINGS, **(EVERYTHING if preset is None else preset), **options}
 
 
 def read_change_stream(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -10,23 +11,34 @@ from pyspark.sql import SparkSession
 
 # The temporary folder of a local session that names none.
 _SCRATCH = "spark.shelfstream.scratch"
+_made: list[tempfile.TemporaryDirectory] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees, as named by ``spark.checkpoint.dir``.
 
     A temporary folder of this machine is used only when the session runs in local
-    mode and names none; on a cluster a missing setting is an error, since a folder
-    of one machine does not survive the loss of that machine.
+    mode and names none, and removed when Python ends; on a cluster a missing setting is an
+    error, since a folder of one machine does not survive the loss of that machine.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(_SCRATCH, None)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="shelfstream-")
-    spark.conf.set(_SCRATCH, made)
-    return made
+    made = tempfile.TemporaryDirectory(prefix="shelfstream-", ignore_cleanup_errors=True)
+    _made.append(made)
+    spark.conf.set(_SCRATCH, made.name)
+    return made.name
+
+
+def warehouse_dir(spark: SparkSession) -> str:
+    """Where tables without a location go; on a cluster it must have been named."""
+    place = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    default = place.removeprefix("file:") == f"{os.getcwd()}/spark-warehouse"
+    if default and not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.sql.warehouse.dir to a folder shared by all executors")
+    return place
 
 
 def work_dir(spark: SparkSession, label: str) -> str:

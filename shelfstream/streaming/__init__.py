@@ -2,17 +2,12 @@
 
 from shelfstream.streaming.changes import append_stream, change_stream
 from shelfstream.streaming.refresh import refresh_every, refresh_with
-from shelfstream.streaming.snapshots import (
-    compact_latest,
-    read_latest,
-    upsert_latest,
-)
+from shelfstream.streaming.snapshots import merge_statement, upsert_latest
 
 __all__ = [
     "append_stream",
     "change_stream",
-    "compact_latest",
-    "read_latest",
+    "merge_statement",
     "refresh_every",
     "refresh_with",
     "upsert_latest",

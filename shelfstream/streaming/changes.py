@@ -8,7 +8,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from shelfstream.operators.changes import dedup_changes, flatten_events, parse_events
 
 
-def change_stream(raw: DataFrame, delay: str = "1 hour", mode: str = "bounded") -> DataFrame:
+def change_stream(raw: DataFrame, delay: str = "1 hour", mode: str = "exact") -> DataFrame:
     """Messages to deduplicated item-level changes."""
     return dedup_changes(flatten_events(parse_events(raw)), delay, mode)
 

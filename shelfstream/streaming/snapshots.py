@@ -1,109 +1,56 @@
-"""The latest row per key, kept from a stream without a row-level table format.
+"""The latest row per key, kept from a stream.
 
-Each micro-batch is reduced to one row per key and written to a folder of its own, named
-by its batch id, so a batch that is run again after a crash overwrites itself. A reader
-reduces all folders once more.
-
-Compaction writes one folder for many, then marks those as folded; readers leave marked
-folders out, and the next compaction removes them. "The greatest per key" gives the same
-answer when a row is seen twice, so a crash anywhere costs space, not rows, and a reader
-that began before a compaction has until the next one to finish.
+Where the catalog has tables with row-level changes, each micro-batch is merged into one.
+Elsewhere the history is kept as it comes, and the latest rows are taken from it when they
+are wanted (:func:`~shelfstream.operators.snapshots.latest_by_key`).
 """
 
 from __future__ import annotations
 
-import re
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfstream.operators.snapshots import latest_by_key
-from shelfstream.storage import child_names, make_dir, remove_dir
 from shelfstream.streaming.changes import triggered
 
-_PART = re.compile(r"part=(?P<run>[0-9a-f-]+)_(?P<kind>batch|base)_(?P<id>\d+)$")
 
+def merge_statement(table: str, source: str, keys: list[str], order: list[str]) -> str:
+    """Replace a row of ``table`` by the row of ``source`` that has its key and beats it.
 
-def _run_id(spark: SparkSession) -> str:
-    # The id of a query is kept in its checkpoint: a stream that starts over with a new
-    # checkpoint counts its batches from 0 and must not overwrite those of another.
-    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "0"
+    Columns of ``order`` decide one after the other; a NULL never beats a value. NULL keys
+    are one key.
+    """
+    same = " AND ".join(f"t.{k} <=> s.{k}" for k in keys)
+    beats = "false"
+    for c in reversed(order):
+        more = f"s.{c} > t.{c} OR (s.{c} IS NOT NULL AND t.{c} IS NULL)"
+        beats = f"({more} OR (s.{c} <=> t.{c} AND {beats}))"
+    return (
+        f"MERGE INTO {table} AS t USING {source} AS s ON {same} "
+        f"WHEN MATCHED AND {beats} THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+    )
 
 
 def upsert_latest(
     stream: DataFrame,
-    path: str,
+    table: str,
     keys: list[str],
     sequence_by: str,
     checkpoint: str,
     tie_break: list[str] | None = None,
     interval: str | None = None,
 ) -> StreamingQuery:
-    """Keep, under ``path``, the row with the greatest ``sequence_by`` per key."""
+    """Keep, in ``table``, the row with the greatest ``sequence_by`` per key.
+
+    The table's format must support MERGE. A micro-batch that is run again changes nothing.
+    """
+    order = [sequence_by, *(tie_break or [])]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        folder = f"{path}/part={_run_id(batch.sparkSession)}_batch_{batch_id}"
-        latest = latest_by_key(batch, keys, sequence_by, tie_break)
-        latest.write.mode("overwrite").parquet(folder)
+        name = f"_latest_{batch_id}"
+        latest_by_key(batch, keys, sequence_by, tie_break).createOrReplaceTempView(name)
+        batch.sparkSession.sql(merge_statement(table, name, keys, order))
+        batch.sparkSession.catalog.dropTempView(name)
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return triggered(writer, interval).start()
-
-
-def _marks(path: str) -> str:
-    return f"{path}/_folded"
-
-
-def _parts(spark: SparkSession, path: str) -> list[re.Match]:
-    folded = set(child_names(spark, _marks(path)))
-    names = [name for name in child_names(spark, path) if name not in folded]
-    return [m for m in map(_PART.fullmatch, names) if m]
-
-
-def read_latest(
-    spark: SparkSession,
-    path: str,
-    schema: str,
-    keys: list[str],
-    sequence_by: str,
-    tie_break: list[str] | None = None,
-) -> DataFrame:
-    """The latest row per key over all that :func:`upsert_latest` has written."""
-    folders = [f"{path}/{m.string}" for m in _parts(spark, path)]
-    if not folders:
-        return spark.createDataFrame([], schema)
-    rows = spark.read.schema(schema).parquet(*folders)
-    return latest_by_key(rows, keys, sequence_by, tie_break)
-
-
-def compact_latest(
-    spark: SparkSession,
-    path: str,
-    schema: str,
-    keys: list[str],
-    sequence_by: str,
-    tie_break: list[str] | None = None,
-) -> None:
-    """Fold the folders written so far into one.
-
-    Run it between micro-batches or beside them, one at a time. The newest batch is left,
-    since it may still be run again.
-    """
-    for name in child_names(spark, _marks(path)):
-        remove_dir(spark, f"{path}/{name}")
-        remove_dir(spark, f"{_marks(path)}/{name}")
-    parts = _parts(spark, path)
-    newest: dict[str, int] = {}
-    for m in parts:
-        if m["kind"] == "batch":
-            newest[m["run"]] = max(newest.get(m["run"], -1), int(m["id"]))
-    settled = [m for m in parts if m["kind"] == "base" or int(m["id"]) < newest[m["run"]]]
-    if len(settled) < 2:
-        return
-    rows = spark.read.schema(schema).parquet(*[f"{path}/{m.string}" for m in settled])
-    next_id = 1 + max([int(m["id"]) for m in parts if m["kind"] == "base"], default=-1)
-    latest_by_key(rows, keys, sequence_by, tie_break).write.mode("overwrite").parquet(
-        f"{path}/part=0_base_{next_id}"
-    )
-    for m in settled:
-        make_dir(spark, f"{_marks(path)}/{m.string}")

@@ -1,12 +1,13 @@
 import re
 
 import pytest
-from conftest import at, rows
+from conftest import at, plan_of, rows
 from pyspark.sql import functions as F
 
 from shelfstream import publish, save_dataset, schemas, storage, write_snapshot_files
 from shelfstream.operators.transactions import assemble_transactions, to_documents
 from shelfstream.sinks import create_database, drop_database, use_database
+from shelfstream.sources.messages import LIVE_SAMPLE
 from shelfstream.sources import (
     kafka_options,
     read_change_stream,
@@ -49,8 +50,10 @@ def test_kafka_options_come_from_the_caller():
     got = kafka_options({**own, "maxOffsetsPerTrigger": "5000"})
     assert got["maxOffsetsPerTrigger"] == "5000"
     assert got["kafka.security.protocol"] == "SASL_SSL"
-    assert got["startingOffsets"] == "latest"
-    assert kafka_options(own)["maxOffsetsPerTrigger"] == "100"
+    assert (got["startingOffsets"], got["failOnDataLoss"]) == ("earliest", "true")
+    assert "maxOffsetsPerTrigger" not in kafka_options(own)
+    few = kafka_options(own, LIVE_SAMPLE)
+    assert (few["maxOffsetsPerTrigger"], few["startingOffsets"]) == ("100", "latest")
     with pytest.raises(ValueError, match="kafka.sasl.jaas.config"):
         kafka_options({"subscribe": "t", "kafka.bootstrap.servers": "h:1"})
 
@@ -77,6 +80,10 @@ def test_count_files(spark, tmp_path):
         head, *body = file.read_text().splitlines()
         assert head == "id,item_id,employee_id,store_id,date_time,quantity"
         assert all(re.match(r"\d+,", line) for line in body)
+    one = read_landed_snapshots(spark, path, 1, "2021-01-01 02:00:00")
+    assert rows(one) == rows(counts.filter("store_id = 1 AND hour(date_time) = 2"))
+    folders = re.search(r"PartitionFilters: \[([^\]]*)\]", plan_of(one)).group(1)
+    assert "store#" in folders and "taken#" in folders
     indexes = [line.split(",")[0] for f in files for line in f.read_text().splitlines()[1:]]
     assert max(map(int, indexes)) < len(data)
 
@@ -128,8 +135,11 @@ def test_saved_dataset(spark, database, tmp_path):
     for n in (1, 2):
         save_dataset(other, name, "third", {}, base, partition_by=["a"])
         assert rows(spark.table(name).select("a", "b")) == [("x", 2.0)]
-        assert len(storage.child_names(spark, base)) == 3
+        assert len(storage.child_names(spark, base)) == 2 + n
         assert rows(running) == [(1, "a")] * 2
+    # Folders go once they have been replaced for longer than they are kept.
+    save_dataset(other, name, "last", {}, base, partition_by=["a"], keep_hours=0)
+    assert len(storage.child_names(spark, base)) == 1
 
 
 def test_failed_refresh_keeps_the_rows_before(spark, database, tmp_path):

@@ -13,7 +13,6 @@ from shelfstream import (
     latest_snapshot,
     parse_events,
     schemas,
-    storage,
 )
 from shelfstream.operators.changes import CHANGE_COLUMNS
 from shelfstream.operators.snapshots import SEQUENCE, SNAPSHOT_KEY, TIE_BREAK
@@ -32,10 +31,8 @@ from shelfstream.sources import read_change_stream, read_dataset_stream, read_sn
 from shelfstream.streaming import (
     append_stream,
     change_stream,
-    compact_latest,
-    read_latest,
+    merge_statement,
     refresh_with,
-    upsert_latest,
 )
 
 
@@ -59,7 +56,7 @@ def send(spark, path, *payloads):
 class Changes:
     """A change stream over files, and the rows that have come out of it."""
 
-    def __init__(self, spark, root, mode="bounded"):
+    def __init__(self, spark, root, mode="exact"):
         self.spark, self.raw, self.mode = spark, root / "raw", mode
         self.out, self.checkpoint = str(root / "out"), str(root / "checkpoint")
         self.raw.mkdir()
@@ -94,10 +91,28 @@ def test_stream_equals_batch(spark, tmp_path):
 
 
 def test_late_changes_are_dropped(spark, tmp_path):
-    got = Changes(spark, tmp_path).run(
+    batches = [
         [document("A", 9, (1, -1))], [document("B", 9, (1, -1))], [document("LATE", 2, (1, -1))]
+    ]
+    got = {}
+    for mode in ("exact", "watermark", "bounded"):
+        (tmp_path / mode).mkdir()
+        got[mode] = [r[0] for r in Changes(spark, tmp_path / mode, mode).run(*batches)]
+    assert got == {"exact": ["A", "B", "LATE"], "watermark": ["A", "B"], "bounded": ["A", "B"]}
+
+
+def test_a_resend_hours_later_is_dropped_and_undated_changes_kept_once(spark, tmp_path):
+    changes = Changes(spark, tmp_path)
+    got = changes.run(
+        [document("A", 1, (1, -1)), "garbage"],
+        [document("B", 9, (1, -1))],
+        [document("A", 10, (1, -1)), "garbage", document("B", 9, (1, -1))],
     )
-    assert [r[0] for r in got] == ["A", "B"]
+    raw = spark.read.parquet(str(changes.raw))
+    assert got == rows(dedup_changes(flatten_events(parse_events(raw))))
+    assert [r[0] for r in got] == [None, "A", "B"]
+    # One entry per key, whatever is sent again.
+    assert changes.state[-1] == 3
 
 
 def test_restart_from_checkpoint_remembers_keys(spark, tmp_path):
@@ -110,22 +125,23 @@ def test_restart_from_checkpoint_remembers_keys(spark, tmp_path):
 def test_state_is_let_go_in_bounded_form_only(spark, tmp_path):
     batches = [[document(f"T{h}", h, (1, -1))] for h in range(0, 10, 2)]
     sizes = {}
-    for mode in ("bounded", "reference"):
+    for mode in ("bounded", "watermark", "exact"):
         (tmp_path / mode).mkdir()
         changes = Changes(spark, tmp_path / mode, mode)
         assert len(changes.run(*batches)) == 5
         sizes[mode] = changes.state[-1]
-    assert sizes == {"bounded": 1, "reference": 5}
+    assert sizes == {"bounded": 1, "watermark": 5, "exact": 5}
 
 
 def test_undated_changes_by_mode(spark, tmp_path):
     batches = [["garbage", "garbage", document("A", 1, (1, -1))], ["garbage"]]
     got = {}
-    for mode in ("bounded", "reference"):
+    for mode in ("bounded", "watermark", "exact"):
         (tmp_path / mode).mkdir()
         got[mode] = Changes(spark, tmp_path / mode, mode).run(*batches)
     dated = ("A", 1, at("01:00:00"), 1, 1, -1)
-    assert got == {"bounded": [dated], "reference": [(None,) * 6, dated]}
+    both = [(None,) * 6, dated]
+    assert got == {"bounded": [dated], "watermark": both, "exact": both}
 
 
 def land(spark, path, data):
@@ -136,92 +152,43 @@ def land(spark, path, data):
     time.sleep(0.02)
 
 
-RULES = (SNAPSHOT_KEY, SEQUENCE)
-
-
-def read_counts(spark, path):
-    return rows(read_latest(spark, str(path), schemas.SNAPSHOT, *RULES, TIE_BREAK))
-
-
 def test_latest_counts_from_a_stream(spark, tmp_path):
-    landed, latest = tmp_path / "landed", tmp_path / "latest"
+    landed, history = tmp_path / "landed", tmp_path / "history"
     landed.mkdir()
 
-    def run(checkpoint="checkpoint"):
+    def run():
         stream = read_snapshot_stream(spark, str(landed), max_files_per_trigger=1)
-        query = upsert_latest(
-            stream, str(latest), *RULES, str(tmp_path / checkpoint), TIE_BREAK
-        )
+        query = append_stream(stream, str(history), str(tmp_path / "checkpoint"))
         query.awaitTermination()
-        return len([p for p in query.recentProgress if p["numInputRows"]])
-
-    def compact():
-        compact_latest(spark, str(latest), schemas.SNAPSHOT, *RULES, TIE_BREAK)
+        kept = spark.read.schema(schemas.SNAPSHOT).parquet(str(history))
+        return len([p for p in query.recentProgress if p["numInputRows"]]), rows(latest_snapshot(kept))
 
-    assert read_counts(spark, latest) == []
     newer = [(1, 5, 0, at("05:00:00"), 50), (2, 5, 0, at("05:00:00"), 20)]
     older = [(1, 5, 0, at("01:00:00"), 99), (3, 5, 1, at("01:00:00"), 7)]
     tie = [(2, 9, 0, at("05:00:00"), 20)]
     land(spark, landed, newer)
     land(spark, landed, older)
     # Files that are already there are read, one per micro-batch.
-    assert run() == 2
-    want = sorted([newer[0], newer[1], older[1]])
-    assert read_counts(spark, latest) == want
-
+    assert run() == (2, sorted([newer[0], newer[1], older[1]]))
     land(spark, landed, tie)
-    assert run() == 1
-    want = sorted([newer[0], tie[0], older[1]])
-    assert read_counts(spark, latest) == want
-
-    def folders():
-        return [n for n in storage.child_names(spark, str(latest)) if n.startswith("part=")]
-
-    running = read_latest(spark, str(latest), schemas.SNAPSHOT, *RULES, TIE_BREAK)
-    compact()
-    # Two batches are folded but stay for readers; the newest may still be run again.
-    assert len(folders()) == 4
-    assert rows(running) == read_counts(spark, latest) == want
-    compact()
-    assert len(folders()) == 2
-    assert read_counts(spark, latest) == want
-
-    last = [(3, 5, 1, at("09:00:00"), 8)]
-    land(spark, landed, last)
-    run()
-    compact()
-    want = sorted([newer[0], tie[0], last[0]])
-    assert read_counts(spark, latest) == want
-
-    # A stream that starts over does not overwrite what the first one wrote.
-    runs = {name.split("_")[0] for name in folders()}
-    run("other-checkpoint")
-    more = {name.split("_")[0] for name in folders()}
-    assert len(more - runs) == 1 and all(len(r) > 30 for r in more - {"part=0"})
-    assert read_counts(spark, latest) == want
-    assert rows(latest_snapshot(read_batch(spark, landed))) == want
-
-
-def read_batch(spark, landed):
-    return spark.read.csv(str(landed), schema=schemas.LANDED_SNAPSHOT, header=True).drop("id")
-
-
-def test_batch_that_is_run_again_overwrites_itself(spark, tmp_path):
-    landed, latest, checkpoint = (tmp_path / n for n in ("landed", "latest", "checkpoint"))
-    landed.mkdir()
-    land(spark, landed, [(1, 5, 0, at("05:00:00"), 50)])
-
-    def run():
-        stream = read_snapshot_stream(spark, str(landed))
-        upsert_latest(stream, str(latest), *RULES, str(checkpoint)).awaitTermination()
-
-    run()
-    # As after a crash between the write and the note that it was made.
-    for file in (checkpoint / "commits").iterdir():
-        file.unlink()
-    run()
-    assert len(storage.child_names(spark, str(latest))) == 1
-    assert read_counts(spark, latest) == [(1, 5, 0, at("05:00:00"), 50)]
+    assert run() == (1, sorted([newer[0], tie[0], older[1]]))
+
+
+def test_merge_beats_by_the_same_order(spark):
+    """The statement parses, and its condition orders rows as the batch operator does."""
+    order = [SEQUENCE, *TIE_BREAK]
+    text = merge_statement("kept", "batch", SNAPSHOT_KEY, order)
+    spark._jsparkSession.sessionState().sqlParser().parsePlan(text)
+    beats = text.split("WHEN MATCHED AND ")[1].split(" THEN ")[0]
+    some = [(1, e, 0, t, q) for e in (5, None) for t in (at("01:00:00"), at("02:00:00"), None)
+            for q in (1, 2, None)]
+    df = spark.createDataFrame(some, schemas.SNAPSHOT)
+    pairs = df.alias("t").join(df.alias("s"), F.expr("true"), "inner").select(
+        F.expr(beats).alias("beats"), F.struct("t.*").alias("t"), F.struct("s.*").alias("s")
+    )
+    rank = lambda r: [(r[c] is not None, r[c] or 0) if c != SEQUENCE else
+                      (r[c] is not None, r[c] or at("00:00:00")) for c in order]
+    assert all(bool(r.beats) == (rank(r.s) > rank(r.t)) for r in pairs.collect())
 
 
 @pytest.fixture
@@ -273,18 +240,18 @@ def test_whole_flow_with_recomputed_gold(spark, tmp_path, database):
     ]
     assert spark.table(f"{database}.inventory_current_transformed").count() == 8
     assert spark.read.parquet(layout.snapshots).count() == 3
-    assert spark.read.parquet(layout.malformed).count() == 1
     assert spark.read.parquet(layout.raw).count() == 6
     kept = spark.read.parquet(layout.changes)
-    assert kept.filter("event.trans_id = trans_id").count() == kept.count() == 4
+    assert kept.filter("event.trans_id = trans_id").count() == 4
+    assert kept.count() == 5 and kept.filter("event_date IS NULL").count() == 1
     one_file_per_day_and_run = list((tmp_path / "silver/inventory_change").rglob("*.parquet"))
-    assert len(one_file_per_day_and_run) == 2
+    assert len(one_file_per_day_and_run) == 3
 
     # Every dataset can be read by its name, with what later runs have added.
     sizes = {name: spark.table(f"{database}.{name}").count() for name in DATASETS}
     assert sizes == {
         "store": 2, "item": 1, "inventory_change_type": 3, "raw_inventory_change": 6,
-        "inventory_change": 4, "inventory_snapshot": 3, "latest_inventory_snapshot": 2,
+        "inventory_change": 5, "inventory_snapshot": 3, "latest_inventory_snapshot": 2,
         "inventory_current": 2, "inventory_current_transformed": 8,
     }
     sale = spark.sql(f"SELECT quantity FROM {database}.inventory_change WHERE trans_id = 'D'")
@@ -336,6 +303,17 @@ def test_tables_are_refreshed_by_the_clock(spark, tmp_path, database):
     ]
 
 
+def test_gold_is_refreshed_before_any_message(spark, tmp_path, database):
+    for name, rows_of in (("store", [(1, "store_001")]), ("inventory_change_type", [(1, "sale")])):
+        key = "store_id" if name == "store" else "change_type_id"
+        label = "name" if name == "store" else "change_type"
+        df = spark.createDataFrame(rows_of, f"{key} int, {label} string")
+        df.write.saveAsTable(f"{database}.{name}")
+    refresh_gold(spark, database, Layout(str(tmp_path / "silver")), location=str(tmp_path / "t"))
+    for name in ("inventory_current", "inventory_current_transformed"):
+        assert spark.table(f"{database}.{name}").count() == 0
+
+
 def test_refresh_follows_a_stream_of_a_table(spark, tmp_path, database):
     name = f"{database}.ticks"
     spark.range(3).write.saveAsTable(name)
