@@ -25,23 +25,29 @@ def recent_changes(changes: DataFrame, latest: DataFrame) -> DataFrame:
     return recent
 
 
-def _movements(latest: DataFrame, effective: DataFrame) -> DataFrame:
-    """Per (store, item): what moved at or after its latest count.
-
-    The latest count is unique per key, so the changes can be summed before they meet the
-    outer join. A small table of counts is broadcast and the changes are summed where they
-    are read. Beyond that both sides are shuffled by the key, the sums and the outer join
-    reuse that partitioning, and a key with a large share of the changes is split by
-    adaptive skew handling: an inner join may split either side, and
-    ``spark.sql.adaptive.forceOptimizeSkewedJoin`` (see :mod:`shelfstream.session`) lets it
-    do so although the sums of the splits then need a shuffle.
+def _movements(counted: DataFrame, effective: DataFrame) -> DataFrame:
+    """Per (store, item): what moved at or after its count, and how much was counted.
+
+    The count is unique per key, so the changes can be summed before they meet the outer
+    join. A small table of counts is broadcast and the changes are summed where they are
+    read. Beyond that both sides are shuffled by the key, the sums and the outer join reuse
+    that partitioning, and a key with a large share of the changes is split by adaptive skew
+    handling: an inner join may split either side, and
+    ``spark.sql.adaptive.forceOptimizeSkewedJoin`` (see :mod:`shelfstream.session`) lets it do
+    so although the sums of the splits then need a shuffle.
     """
-    counted = latest.select(*STOCK_KEY, F.col("date_time").alias("counted_at"))
+    counts = counted.select(
+        *STOCK_KEY, F.col("date_time").alias("counted_at"), F.col("quantity").alias("counted")
+    )
     return (
-        effective.join(counted, STOCK_KEY)
+        effective.join(counts, STOCK_KEY)
         .filter(F.col("date_time") >= F.col("counted_at"))
         .groupBy(*STOCK_KEY)
-        .agg(F.sum("quantity").alias("moved"), F.max("date_time").alias("moved_at"))
+        .agg(
+            F.sum("quantity").alias("moved"),
+            F.max("date_time").alias("moved_at"),
+            F.min("counted").alias("counted"),
+        )
     )
 
 
@@ -50,13 +56,30 @@ def current_inventory(latest: DataFrame, effective: DataFrame) -> DataFrame:
 
     ``latest`` has one row per key. A key that was never counted has no row; one without
     a change keeps its count and the time of the count.
+
+    ``latest`` is used twice with the same columns and rows, so that Spark reads and shuffles
+    the counts under it once. Counts with a NULL in their key match no change and are added
+    by a scan that keeps only them.
     """
+    has_key = F.col("store_id").isNotNull() & F.col("item_id").isNotNull()
+    columns = [*STOCK_KEY, "quantity", "date_time"]
+    counted = latest.filter(has_key).select(*columns)
+    rest = latest.filter(~has_key).select(*columns)
+    nothing = F.lit(None)
+    moved = counted.join(_movements(counted, effective), STOCK_KEY, "left").unionByName(
+        rest.withColumns({
+            "moved": nothing.cast("bigint"),
+            "moved_at": nothing.cast("timestamp"),
+            "counted": nothing.cast("int"),
+        })
+    )
     change = or_zero("moved")
-    return latest.join(_movements(latest, effective), STOCK_KEY, "left").select(
+    count = F.coalesce("counted", "quantity")
+    return moved.select(
         *STOCK_KEY,
-        F.col("quantity").alias("snapshot_quantity"),
+        count.alias("snapshot_quantity"),
         change.alias("change_quantity"),
-        (F.col("quantity") + change).alias("current_inventory"),
+        (count + change).alias("current_inventory"),
         F.greatest("date_time", "moved_at").alias("date_time"),
     )
 

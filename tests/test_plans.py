@@ -93,6 +93,17 @@ def test_few_counts_are_broadcast_and_changes_summed_where_read(data, spark):
     assert shuffles(plan.split("partial_sum(quantity", 1)[1]) == 0
 
 
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_counts_are_read_and_shuffled_once_for_current_inventory(data, conf, threshold):
+    conf(autoBroadcastJoinThreshold=threshold, adaptive__autoBroadcastJoinThreshold=threshold)
+    # A Parquet scan of counts leaves out rows with a NULL in their key; those have their own.
+    plan = plan_of(current_inventory(latest_snapshot(data["counts"]), effective(data)))
+    final = plan.split("== Initial Plan ==")[0]
+    assert "ReusedExchange" in final
+    counts = [x for x in re.findall(r"FileScan parquet \[[^\n]*", final) if "employee_id" in x]
+    assert len([x for x in counts if "isnull(" not in x]) == 1
+
+
 def test_hot_key_of_a_shuffled_join_is_split(data, conf):
     latest = latest_snapshot(data["counts"])
     want = rows(current_inventory(latest, effective(data)))
