@@ -101,6 +101,15 @@ def current_inventory_by_quantity(latest: DataFrame, effective: DataFrame) -> Da
     )
 
 
+def count_changes(changes: DataFrame) -> DataFrame:
+    """Changes per (item, change type), as column ``n``; those of no item do not count."""
+    return (
+        changes.filter(F.col("item_id").isNotNull())
+        .groupBy("item_id", "change_type_id")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 def inventory_for_bi(
     current: DataFrame, changes: DataFrame, change_types: DataFrame, compact: bool = False
 ) -> DataFrame:
@@ -110,11 +119,16 @@ def inventory_for_bi(
     repeated by that count at the very end. ``compact`` keeps the count as column ``n``
     instead. An item without changes has one row with a NULL change type.
     """
-    counted = (
-        changes.filter(F.col("item_id").isNotNull())
-        .groupBy("item_id", "change_type_id")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    return inventory_for_bi_of_counts(current, count_changes(changes), change_types, compact)
+
+
+def inventory_for_bi_of_counts(
+    current: DataFrame, counted: DataFrame, change_types: DataFrame, compact: bool = False
+) -> DataFrame:
+    """As :func:`inventory_for_bi`, of counts as :func:`count_changes` gives them.
+
+    Several counts of one (item, change type) are added up.
+    """
     by_type = (
         counted.join(
             change_types.select("change_type_id", "change_type"), "change_type_id", "left"

@@ -5,6 +5,7 @@ from shelfstream.plans.retail import (
     Layout,
     gold_datasets,
     name_streamed_datasets,
+    read_change_counts,
     read_raw_stream,
     read_silver_changes,
     read_silver_snapshots,
@@ -23,6 +24,7 @@ __all__ = [
     "Layout",
     "gold_datasets",
     "name_streamed_datasets",
+    "read_change_counts",
     "read_raw_stream",
     "read_silver_changes",
     "read_silver_snapshots",

@@ -18,6 +18,7 @@ from shelfstream.operators.changes import (
 from shelfstream.operators.inventory import (
     current_inventory,
     inventory_for_bi,
+    inventory_for_bi_of_counts,
     recent_changes,
 )
 from shelfstream.operators.snapshots import latest_snapshot
@@ -25,7 +26,7 @@ from shelfstream.sinks.tables import save_dataset, save_view
 from shelfstream.sources.files import MAX_FILES, read_change_type, read_item, read_store
 from shelfstream.sources.messages import read_change_stream
 from shelfstream.storage import child_names, make_dir
-from shelfstream.streaming.changes import append_stream
+from shelfstream.streaming.changes import append_stream, count_stream
 from shelfstream.streaming.refresh import refresh_every
 
 # Dataset names and quality levels. The comments are ours.
@@ -45,6 +46,9 @@ DIMENSION_INTERVAL = "24 hours"
 GOLD_INTERVAL = "1 minute"
 
 
+_CHANGE_TABLE = f"{schemas.CHANGE}, event_date date"
+
+
 @dataclass(frozen=True)
 class Layout:
     """Folders of the streamed datasets, below one shared folder."""
@@ -59,6 +63,10 @@ class Layout:
     def changes(self) -> str:
         return f"{self.root}/inventory_change"
 
+    @property
+    def change_counts(self) -> str:
+        return f"{self.root}/inventory_change_counts"
+
     @property
     def snapshots(self) -> str:
         return f"{self.root}/inventory_snapshot"
@@ -113,22 +121,33 @@ def start_change_streams(
     keep_event: bool = False,
     write_tasks: int | None = None,
 ) -> list[StreamingQuery]:
-    """Changes, each (transaction, item) once whatever the time of a resend.
+    """Changes, each (transaction, item) once whatever the time of a resend, and their counts.
 
     The change table is partitioned by event date, so that a refresh of current inventory
-    reads from the oldest latest count on. Undated changes are a partition of their own.
+    reads from the oldest latest count on. Undated changes are a partition of their own. The
+    counts per (item, change type) follow the table, so that the report need not read it.
     """
     flat = flatten_events(parse_events(raw), keep_event)
-    return [
-        append_stream(
-            _dated(dedup_changes(flat)),
-            layout.changes,
-            layout.checkpoint("inventory_change"),
-            interval,
-            ["event_date"],
-            write_tasks,
-        )
-    ]
+    changes = append_stream(
+        _dated(dedup_changes(flat)),
+        layout.changes,
+        layout.checkpoint("inventory_change"),
+        interval,
+        ["event_date"],
+        write_tasks,
+    )
+    if interval is None:
+        changes.awaitTermination()
+    spark = raw.sparkSession
+    make_dir(spark, layout.changes)
+    stored = spark.readStream.schema(_CHANGE_TABLE).option("maxFilesPerTrigger", MAX_FILES)
+    counts = count_stream(
+        stored.parquet(layout.changes),
+        layout.change_counts,
+        layout.checkpoint("inventory_change_counts"),
+        interval,
+    )
+    return [changes, counts]
 
 
 def start_snapshot_streams(
@@ -212,7 +231,13 @@ def name_streamed_datasets(spark: SparkSession, database: str, layout: Layout) -
 
 def read_silver_changes(spark: SparkSession, layout: Layout) -> DataFrame:
     """The streamed changes; none before the first has come."""
-    return _read_streamed(spark, layout.changes, f"{schemas.CHANGE}, event_date date")
+    return _read_streamed(spark, layout.changes, _CHANGE_TABLE)
+
+
+def read_change_counts(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Streamed changes per (item, change type), in parts that are to be added up."""
+    schema = "item_id int, change_type_id int, n bigint, batch bigint"
+    return _read_streamed(spark, layout.change_counts, schema).drop("batch")
 
 
 def read_silver_snapshots(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -248,8 +273,9 @@ def refresh_gold(
     """Rewrite the gold tables from silver (every minute), below ``location`` if given.
 
     Current inventory is stored first and the report reads the stored table, so it is
-    computed once. The report grows with the number of changes; ``compact`` stores a count
-    in place of repeated rows.
+    computed once. The report takes its changes from the streamed counts, not from the
+    history; it grows with the number of changes, and ``compact`` stores a count in place of
+    repeated rows.
     """
     name_streamed_datasets(spark, database, layout)
     changes = read_silver_changes(spark, layout)
@@ -261,5 +287,6 @@ def refresh_gold(
     gold = gold_datasets(changes, latest, stores, change_types)
     _save(gold["inventory_current"], database, "inventory_current", location)
     current = spark.table(f"{database}.inventory_current")
-    report = inventory_for_bi(current, changes, change_types, compact)
+    counted = read_change_counts(spark, layout)
+    report = inventory_for_bi_of_counts(current, counted, change_types, compact)
     _save(report, database, "inventory_current_transformed", location)

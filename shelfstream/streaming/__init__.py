@@ -1,12 +1,13 @@
 """Structured Streaming forms of the operators."""
 
-from shelfstream.streaming.changes import append_stream, change_stream
+from shelfstream.streaming.changes import append_stream, change_stream, count_stream
 from shelfstream.streaming.refresh import refresh_every, refresh_with
 from shelfstream.streaming.snapshots import merge_statement, upsert_latest
 
 __all__ = [
     "append_stream",
     "change_stream",
+    "count_stream",
     "merge_statement",
     "refresh_every",
     "refresh_with",

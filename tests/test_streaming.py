@@ -10,6 +10,7 @@ from shelfstream import (
     dedup_changes,
     effective_changes,
     flatten_events,
+    inventory_for_bi,
     latest_snapshot,
     parse_events,
     schemas,
@@ -264,7 +265,12 @@ def test_whole_flow_with_recomputed_gold(spark, tmp_path, database):
     compact = spark.table(f"{database}.inventory_current_transformed")
     assert compact.select(F.sum("n")).first()[0] == 8
 
+    # The report is the one the whole history gives.
     changes = read_silver_changes(spark, layout)
+    current, types = (
+        spark.table(f"{database}.{n}") for n in ("inventory_current", "inventory_change_type")
+    )
+    assert rows(compact) == rows(inventory_for_bi(current, changes, types, compact=True))
     stores, types = (spark.table(f"{database}.{n}") for n in ("store", "inventory_change_type"))
     latest = spark.table(f"{database}.latest_inventory_snapshot")
     gold = gold_datasets(changes, latest, stores, types)["inventory_current"]
