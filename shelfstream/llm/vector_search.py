@@ -285,10 +285,12 @@ def _blocks(sizes: dict[int, int], most: int):
 
 def _dealt(rows: DataFrame, key: str, own, others, own_name: str, other_name: str) -> DataFrame:
     """Rows with the block of their own, once for each block of the other side."""
+    # Both sides are grouped by these: of one type, or equal numbers hash apart.
+    last = (others - 1).cast("long")
     return rows.select(
         "*",
-        F.pmod(F.xxhash64(key), own).alias(own_name),
-        F.explode(F.sequence(F.lit(0), others - 1)).alias(other_name),
+        F.pmod(F.xxhash64(key), own).cast("long").alias(own_name),
+        F.explode(F.sequence(F.lit(0).cast("long"), last)).alias(other_name),
     )
 
 

@@ -139,7 +139,9 @@ def test_many_equal_vectors(spark):
         assert own == [i for i in range(1, 22) if i != q][:20]
 
 
-def test_calibration_widens_until_recall(spark):
+@pytest.mark.parametrize("coalesce", ["true", "false"])
+def test_calibration_widens_until_recall(spark, conf, coalesce):
+    conf(adaptive__coalescePartitions__enabled=coalesce, shuffle__partitions="16")
     rng = np.random.default_rng(8)
     rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(1500, 12)).astype(np.float32))]
     table = _table(spark, rows)
