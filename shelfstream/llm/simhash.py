@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfstream.llm.common import keep, read_table, small_batches, texts_of
+from shelfstream.llm.common import free_name, keep, read_table, small_batches, texts_of
 from shelfstream.llm.components import components
 
 WORDS_PER_SHINGLE = 4
@@ -314,19 +314,20 @@ def one_per_group(
     one with a NULL id only if there is no other. ``docs`` must be read from files, so that its
     rows come in the same order whenever they are read.
     """
-    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    row = free_name(docs, "_row")
+    rows = docs.withColumn(row, F.monotonically_increasing_id())
     marks = keep(
-        fingerprints(rows.select(F.col("_row").alias("doc_id"), "text"), words_per_shingle), "marks"
+        fingerprints(rows.select(F.col(row).alias("doc_id"), "text"), words_per_shingle), "marks"
     )
     groups = fingerprint_groups(marks, max_bits)
-    ids = rows.select("_row", F.col("doc_id").alias("_id"))
-    order = F.struct(F.col("_id").isNull(), "_id", "_row")
+    ids = rows.select(F.col(row).alias("_at"), F.col("doc_id").cast("long").alias("_id"))
+    order = F.struct(F.col("_id").isNull(), "_id", "_at")
     first = (
-        marks.join(groups, "fp").withColumnRenamed("doc_id", "_row").join(ids, "_row")
+        marks.join(groups, "fp").withColumnRenamed("doc_id", "_at").join(ids, "_at")
         .groupBy("component_id").agg(F.min(order).alias("first"))
-        .select(F.col("first._row").alias("_row"))
+        .select(F.col("first._at").alias(row))
     )
-    return rows.join(first, "_row", "left_semi").select(*docs.columns)
+    return rows.join(first, row, "left_semi").select(*docs.columns)
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
