@@ -31,7 +31,7 @@ BRANCHES = 8
 #: Vectors per leaf, about, and the largest number of leaves.
 LEAF_ROWS = 256
 MAX_LEAVES = 2_048
-#: Of one leaf a task compares this many rows with this many queries at most.
+#: A task compares about this many rows with this many queries at most.
 BLOCK_ROWS = 8_192
 BLOCK_QUERIES = 4_096
 SEED = 3
@@ -115,29 +115,42 @@ class KMeansTree:
 # ---------------------------------------------------------------- comparing
 
 
-def _best(
+def _candidates(
     queries: np.ndarray, q_ids: np.ndarray, points: np.ndarray, ids: np.ndarray, k: int
-) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Per query the ``k`` rows of largest inner product, ties to the smaller id, without its own.
+) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(query, row, score) of all rows that may be among a query's ``k`` best, without its own.
 
-    A matrix product finds who can be among them; those are summed one by one, so that equal
-    vectors have equal scores whatever their place.
+    A matrix product finds who can be among them, all ties included; those are summed one by
+    one, so that equal vectors have equal scores whatever their place.
     """
-    for at in range(0, len(queries), 256):
-        block = queries[at : at + 256]
-        rough = block @ points.T
-        slack = 1e-9 * (1 + np.abs(rough).max(initial=0))
-        for row, q_id, query in zip(rough, q_ids[at : at + 256].tolist(), block, strict=True):
-            row[ids == q_id] = -np.inf
-            bound = np.partition(row, -k)[-k] if len(row) > k else row.min(initial=np.inf)
-            place = np.flatnonzero((row >= bound - slack) & (row > -np.inf))
-            exact = (points[place] * query).sum(axis=1)
-            order = np.lexsort((ids[place], -exact))
-            found, score = ids[place][order], exact[order]
-            if len(found) > 1:  # a repeated row counts once
-                fresh = np.concatenate([[True], (found[1:] != found[:-1]) | (score[1:] != score[:-1])])
-                found, score = found[fresh], score[fresh]
-            yield q_id, found[:k], score[:k]
+    step = max(1, (1 << 20) // max(1, len(points)))
+    for at in range(0, len(queries) if len(points) else 0, step):
+        rough = queries[at : at + step] @ points.T
+        slack = 1e-9 * (1 + np.abs(rough).max())
+        rough[q_ids[at : at + step, None] == ids[None, :]] = -np.inf
+        if len(points) > k:
+            place = len(points) - k
+            bound = np.partition(rough, place, axis=1)[:, place, None] - slack
+        else:
+            bound = np.full((len(rough), 1), -np.inf)
+        q, p = np.nonzero((rough >= bound) & (rough > -np.inf))
+        for part in range(0, len(q), 1 << 16):
+            own, row = q[part : part + (1 << 16)] + at, p[part : part + (1 << 16)]
+            yield own, row, (points[row] * queries[own]).sum(axis=1)
+
+
+def _best(
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], ids: np.ndarray, k: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of (query, row, score) the ``k`` of largest score per query, ties to the smaller id."""
+    if not found:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0)
+    q, row, score = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort((ids[row], -score, q))
+    q, row, score = q[order], row[order], score[order]
+    first = np.flatnonzero(np.concatenate([[True], q[1:] != q[:-1]]))
+    place = np.arange(len(q)) - np.repeat(first, np.diff(np.append(first, len(q))))
+    return q[place < k], row[place < k], score[place < k]
 
 
 _FOUND = "query_id long, vec_id long, score double"
@@ -158,21 +171,22 @@ def exact_neighbours(packed: DataFrame, queries: list[tuple[int, bytes]], k: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            raws = batch.column("v").to_pylist()
-            own = batch.column("vec_id").to_numpy()
-            by_id = dict(zip(own.tolist(), raws, strict=True))
-            for q, found, score in _best(asked, ids, matrix(raws, kind), own, k):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(found), q)), pa.array(found), pa.array(score),
-                     pa.array([by_id[f] for f in found.tolist()], pa.binary())],
-                    ["query_id", "vec_id", "score", "v"],
-                )
+            # A repeated row counts once.
+            rows = batch.to_pandas().drop_duplicates(["vec_id", "v"])
+            own = rows["vec_id"].to_numpy()
+            q, row, score = _best(
+                list(_candidates(asked, ids, matrix(rows["v"], kind), own, k)), own, k
+            )
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[q]), pa.array(own[row]), pa.array(score),
+                 pa.array(rows["v"].to_numpy()[row], pa.binary())],
+                ["query_id", "vec_id", "score", "v"],
+            )
 
     found = packed.select("vec_id", "v").mapInArrow(run, _FOUND + ", v binary")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("_at", F.row_number().over(order)).filter(F.col("_at") <= k).drop("_at")
+    once = found.dropDuplicates(["query_id", "vec_id", "score"])
+    return once.withColumn("_at", F.row_number().over(order)).filter(F.col("_at") <= k).drop("_at")
 
 
 def calibrated_visits(
@@ -229,68 +243,108 @@ def nearest_neighbours(
     # One row per leaf at most: bounded by the size of the tree.
     sizes = {r.leaf: r.n for r in indexed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}
 
+    bins = _Bins(sizes, block_rows)
+
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, leaves = [], []
+            rows, places, lists = [], [], []
             for i, query in enumerate(matrix(batch.column("v").to_pylist(), kind)):
-                met = 0
+                met, by_bin = 0, {}
                 for at, leaf in enumerate(tree.visits(query)):
                     if at >= visits and met >= 2 * k:
                         break
                     if leaf in sizes:
-                        rows.append(i)
-                        leaves.append(leaf)
+                        by_bin.setdefault(bins.of[leaf], []).append(leaf)
                         met += sizes[leaf]
+                rows += [i] * len(by_bin)
+                places += by_bin.keys()
+                lists += by_bin.values()
             taken = batch.take(pa.array(rows, pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [taken.column("vec_id"), taken.column("v"), pa.array(leaves, pa.int64())],
-                ["query_id", "v", "leaf"],
+                [taken.column("vec_id"), taken.column("v"), pa.array(places, pa.int64()),
+                 pa.array(lists, pa.list_(pa.int64()))],
+                ["query_id", "v", "bin", "leaves"],
             )
 
-    visited = keep(
-        queries.select("vec_id", "v").mapInArrow(visit, "query_id long, v binary, leaf long"), "visits"
+    schema = "query_id long, v binary, bin long, leaves array<long>"
+    visited = keep(queries.select("vec_id", "v").mapInArrow(visit, schema), "visits")
+    asked = {r.bin: r.n for r in visited.groupBy("bin").agg(F.count(F.lit(1)).alias("n")).collect()}
+    q_blocks = {x: -(-n // block_queries) for x, n in asked.items()}
+
+    def deal_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = np.array([bins.of[x] for x in batch.column("leaf").to_pylist()], dtype=np.int64)
+            yield _dealt(batch, place, batch.column("vec_id"), bins.blocks, q_blocks, "s", "t")
+
+    def deal_queries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place = batch.column("bin").to_numpy()
+            rest = batch.drop_columns(["bin"])
+            yield _dealt(rest, place, batch.column("query_id"), q_blocks, bins.blocks, "t", "s")
+
+    left = indexed.mapInArrow(deal_rows, "vec_id long, v binary, leaf long, bin long, s long, t long")
+    right = visited.mapInArrow(
+        deal_queries, "query_id long, v binary, leaves array<long>, bin long, t long, s long"
     )
-    asked = {r.leaf: r.n for r in visited.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}
-    blocks = _blocks(sizes, block_rows)
-    q_blocks = _blocks(asked, block_queries)
-    left = _dealt(indexed, "vec_id", blocks, q_blocks, "s", "t")
-    right = _dealt(visited, "query_id", q_blocks, blocks, "t", "s")
 
     def search(rows, quests):
         import pandas as pd
 
-        out = [(q, found, score) for q, found, score in _best(
-            matrix(quests["v"], kind), quests["query_id"].to_numpy(),
-            matrix(rows["v"], kind), rows["vec_id"].to_numpy(), k,
-        )] if len(rows) and len(quests) else []
-        return pd.DataFrame({
-            "query_id": np.repeat([q for q, _, _ in out], [len(f) for _, f, _ in out]).astype("int64"),
-            "vec_id": np.concatenate([f for _, f, _ in out] or [np.zeros(0, dtype="int64")]),
-            "score": np.concatenate([s for _, _, s in out] or [np.zeros(0)]),
-        })
-
-    by = ["leaf", "s", "t"]
+        rows = rows.drop_duplicates(["vec_id", "v"])  # a repeated row counts once
+        found, ids = [], rows["vec_id"].to_numpy()
+        q_ids = quests["query_id"].to_numpy()
+        if len(rows) and len(quests):
+            points, asking = matrix(rows["v"], kind), matrix(quests["v"], kind)
+            lists = quests["leaves"].to_list()
+            who = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+            wanted, leaf = np.concatenate(lists), rows["leaf"].to_numpy()
+            for one in np.unique(leaf):
+                q, own = who[wanted == one], np.flatnonzero(leaf == one)
+                found += [
+                    (q[i], own[row], score)
+                    for i, row, score in _candidates(asking[q], q_ids[q], points[own], ids[own], k)
+                ]
+        q, row, score = _best(found, ids, k)
+        return pd.DataFrame({"query_id": q_ids[q], "vec_id": ids[row], "score": score})
+
+    by = ["bin", "s", "t"]
     found = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(search, _FOUND)
     return _ranked(found.distinct(), k)
 
 
-def _blocks(sizes: dict[int, int], most: int):
-    """An expression of ``leaf``: into how many blocks its rows are cut."""
-    large = {leaf: -(-n // most) for leaf, n in sizes.items() if n > most}
-    if not large:
-        return F.lit(1)
-    table = F.create_map(*[F.lit(x) for leaf, b in sorted(large.items()) for x in (leaf, b)])
-    return F.coalesce(table[F.col("leaf")], F.lit(1))
+class _Bins:
+    """Neighbouring leaves put together until they hold about a task's rows.
 
+    A leaf with more is a bin of its own and is cut into blocks. There are no more bins than
+    leaves, whose number is bounded.
+    """
 
-def _dealt(rows: DataFrame, key: str, own, others, own_name: str, other_name: str) -> DataFrame:
-    """Rows with the block of their own, once for each block of the other side."""
-    # Both sides are grouped by these: of one type, or equal numbers hash apart.
-    last = (others - 1).cast("long")
-    return rows.select(
-        "*",
-        F.pmod(F.xxhash64(key), own).cast("long").alias(own_name),
-        F.explode(F.sequence(F.lit(0).cast("long"), last)).alias(other_name),
+    def __init__(self, sizes: dict[int, int], most: int):
+        self.of: dict[int, int] = {}
+        self.blocks: dict[int, int] = {}
+        number, held = 0, 0
+        for leaf, n in sorted(sizes.items()):
+            if held and held + n > most:
+                number, held = number + 1, 0
+            self.of[leaf] = number
+            held += n
+            self.blocks[number] = -(-held // most)
+
+
+def _dealt(
+    batch: pa.RecordBatch, place: np.ndarray, ids: pa.Array, own: dict[int, int],
+    others: dict[int, int], own_name: str, other_name: str,
+) -> pa.RecordBatch:
+    """Rows with their bin and block, once for each block of the other side of the bin."""
+    mixed = ids.to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)
+    block = mixed.astype(np.int64) % np.array([own.get(x, 1) for x in place.tolist()] or [1])[: len(place)]
+    times = np.array([others.get(x, 0) for x in place.tolist()], dtype=np.int64)
+    row = np.repeat(np.arange(len(place)), times)
+    other = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+    taken = batch.take(pa.array(row))
+    return pa.RecordBatch.from_arrays(
+        [*taken.columns, pa.array(place[row]), pa.array(block[row]), pa.array(other)],
+        [*batch.schema.names, "bin", own_name, other_name],
     )
 
 

@@ -121,6 +121,10 @@ def test_search_with_every_leaf_equals_brute_force(spark, blocks):
 
 
 def test_ties_repeats_and_few_candidates(spark):
+    copies = [(6, [0.5, 0.5])] * 30 + [(i, [0.1, 0.1]) for i in range(50, 70)] + [(40, [1.0, 1.0])]
+    got = nearest_neighbours(_table(spark, copies), F.col("vec_id") % 20 == 0).collect()
+    first = sorted((r["rank"], r.vec_id) for r in got if r.query_id == 40)
+    assert first == list(enumerate([6, *range(50, 69)], 1))
     rows = [(20, [1.0, 0.0]), (20, [1.0, 0.0]), (3, [1.0, 1.0]), (3, [1.0, 1.0]), (2, [1.0, -1.0]), (8, [-1.0, 0.0])]
     got = nearest_neighbours(_table(spark, rows), F.col("vec_id") % 20 == 0).collect()
     assert sorted(map(tuple, got)) == [(20, 1, 2, 1.0), (20, 2, 3, 1.0), (20, 3, 8, -1.0)]
@@ -174,4 +178,5 @@ def test_visits_come_out_best_bin_first_and_all():
     order = list(tree.visits(points[0]))
     assert sorted(order) == list(range(tree.n_leaves)) and tree.n_leaves > 8
     assert set(tree.leaf(points)) <= set(order)
-    assert vector_search._blocks({1: 5}, 10) is not None
+    bins = vector_search._Bins({0: 5, 1: 4, 2: 30, 3: 2, 7: 9}, 10)
+    assert bins.of == {0: 0, 1: 0, 2: 1, 3: 2, 7: 3} and bins.blocks == {0: 1, 1: 3, 2: 1, 3: 1}
