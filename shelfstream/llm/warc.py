@@ -17,12 +17,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfstream.llm.common import Store, keep, read_table, small_batches
+from shelfstream.llm.common import Store, keep, read_table, share_by_hash, small_batches
 from shelfstream.storage import work_dir
 
 #: A file is closed once it holds this many bytes.
 BYTES_PER_FILE = 256 << 20
-#: The dictionary is trained on this many pages at most, this many characters of each.
+#: The dictionary is trained on about this many pages, this many characters of each.
 SAMPLE_PAGES = 400
 SAMPLE_CHARS = 8_192
 DICTIONARY_BYTES = 32 << 10
@@ -118,20 +118,16 @@ def parse_record(raw: bytes) -> dict:
 def train_dictionary(pages: DataFrame) -> bytes:
     """A dictionary of :data:`DICTIONARY_BYTES` from a bounded sample; empty if that is too small.
 
-    The sample is the pages of least id hash, so it is the same at every run.
+    The sample is chosen by the hash of id and address, twice :data:`SAMPLE_PAGES` at the very
+    most, and each partition sends its share of it only.
     """
     import zstandard
 
-    sample = (
-        pages.select(
-            F.xxhash64("page_id", "url").alias("_at"),
-            F.substring("html", 1, SAMPLE_CHARS).alias("html"),
-        )
-        .filter("html is not null")
-        .orderBy("_at", "html")
-        .limit(SAMPLE_PAGES)
+    chosen = pages.filter(
+        F.col("html").isNotNull() & share_by_hash(["page_id", "url"], SAMPLE_PAGES, pages.count())
     )
-    texts = [r.html.encode() for r in sample.select("html").collect()]
+    starts = chosen.select(F.substring("html", 1, SAMPLE_CHARS).alias("html"))
+    texts = sorted(r.html.encode() for r in starts.limit(2 * SAMPLE_PAGES).collect())
     if sum(map(len, texts)) < 16 * DICTIONARY_BYTES:
         return b""
     return zstandard.train_dictionary(DICTIONARY_BYTES, texts).as_bytes()
