@@ -63,3 +63,9 @@ def plan_of(df, final: bool = True) -> str:
     if final:
         df.collect()
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    """The smallest of the driver's tables."""
+    return "/root/testdata/sf0.001"
