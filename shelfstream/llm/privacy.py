@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime
 import hashlib
+import math
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -30,14 +31,14 @@ ROUNDS = 8
 def _round(key: bytes, label: bytes, number: int, half: int, modulus: int) -> int:
     text = b"%s|%d|%d|%d" % (label, number, half, modulus)
     digest = hashlib.blake2b(text, key=key, digest_size=24).digest()
+    while len(digest) * 8 < modulus.bit_length() + 64:  # long values need more than one digest
+        digest += hashlib.blake2b(b"%s|%d" % (text, len(digest)), key=key, digest_size=24).digest()
     return int.from_bytes(digest, "big") % modulus
 
 
 def _network(x: int, n: int, key: bytes, label: bytes, forward: bool) -> int:
     """A permutation of 0..a*b-1, the least such rectangle that holds 0..n-1."""
-    a = max(1, int(n**0.5))
-    while a * a < n:
-        a += 1
+    a = math.isqrt(n - 1) + 1
     b = -(-n // a)
     left, right = divmod(x, b)
     for number in range(ROUNDS) if forward else reversed(range(ROUNDS)):
@@ -287,21 +288,37 @@ class Mail(Kind):
 
 
 class Secret(Kind):
-    """Access keys by their fixed beginnings, and values given to a password or the like."""
+    """Access keys by their fixed beginnings, and values given to a password or the like.
+
+    A value follows its name on the same line, after ``=``, ``:``, ``:=``, ``==`` or ``=>``, with or
+    without blanks and quotes. Quoted, it goes on to the closing quote.
+    """
 
     name = "secret"
+    _GIVEN = (
+        r"(?i:(?:password|passwd|pwd|secret|token|api[_-]?key)(?:\\?[\"'])?[^\S\r\n]*(?:=>|:=|==?|:)[^\S\r\n]*)"
+    )
     pattern = (
         r"(?<!\w)(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_\w{20,}|sk-[\w-]{16,}|xox[abprs]-[\w-]{10,})(?!\w)"
-        r"|(?i:(?<![A-Za-z])(?:password|passwd|pwd|secret|token|api[_-]?key)[=:])[^\s\"',;]{3,}[A-Za-z0-9]"
+        rf"|(?<![A-Za-z]){_GIVEN}"
+        r"(?:\\?\"[^\"\r\n]{3,200}?[^\"\\\r\n](?=\\?\")|\\?'[^'\r\n]{3,200}?[^'\\\r\n](?=\\?')"
+        r"|(?:\\?[\"'])?[^\s\"',;]{3,}[A-Za-z0-9])"
     )
-    _KEPT = re.compile(r"AKIA|ASIA|gh[pousr]_|sk-|xox[abprs]-|(?i:password|passwd|pwd|secret|token|api[_-]?key)[=:]")
+    _KEPT = re.compile(rf"AKIA|ASIA|gh[pousr]_|sk-|xox[abprs]-|{_GIVEN}(?:\\?[\"'])?")
+
+    def own(self, text: str) -> int:
+        """Where the part to replace begins."""
+        return self._KEPT.match(text).end()
+
+    def is_given(self, text: str) -> bool:
+        """Whether a name stands before the value."""
+        return text[self.own(text) - 1] not in "A_-"
 
     def valid(self, text: str) -> bool:
-        rest = text[self._KEPT.match(text).end() :]
-        return sum(c in _LOWER or c in _UPPER or c in "0123456789" for c in rest) >= 4
+        return sum(c in _LOWER or c in _UPPER or c in "0123456789" for c in text[self.own(text) :]) >= 4
 
     def change(self, text: str, key: bytes, inverse: bool) -> str:
-        at = self._KEPT.match(text).end()
+        at = self.own(text)
         return text[:at] + _letters(text[at:], key, self.name, inverse)
 
 
@@ -342,14 +359,25 @@ class Pseudonymizer:
         while match := self._pattern.search(text, at):
             kind = match.lastgroup or next(k for k, v in match.groupdict().items() if v is not None)
             if _BY_NAME[kind].valid(match[0]):
-                yield match.start(), match.end(), kind
-                at = match.end()
+                found = (kind == "secret" and self._given(text, match)) or (match.start(), match.end(), kind)
+                yield found
+                at = found[1]
                 continue
             other = self._other(text, match.start())
             if other:
                 yield other
             at = other[1] if other else match.start() + 1
 
+    def _given(self, text: str, match: re.Match) -> tuple[int, int, str] | None:
+        """The value given to a name if it is an access key, or one of another kind that ends later."""
+        secret = _BY_NAME["secret"]
+        if not secret.is_given(match[0]):
+            return None
+        other = self._other(text, match.start() + secret.own(match[0]))
+        if other and (other[1] > match.end() or other[1] == match.end() and other[2] == "secret"):
+            return other
+        return None
+
     def _other(self, text: str, start: int) -> tuple[int, int, str] | None:
         """A valid value of any kind that begins at ``start``."""
         for kind in self._kinds:
