@@ -143,23 +143,39 @@ class Social(Kind):
 
 
 class Phone(Kind):
-    """North American number: area and exchange from 200, with or without +1."""
+    """North American number, with or without +1.
+
+    After +1, or 1 and parentheses, any area and exchange will do; else both are from 200. The
+    two sorts share no value, and each stays within its own.
+    """
 
     name = "phone"
     pattern = r"(?<![\w.])(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-]|\.\d)"
+    _ASSIGNED = 800 * 800 * 10_000  # both from 200
+    _OTHER = 10**10 - _ASSIGNED
 
     def valid(self, text: str) -> bool:
-        d = _digits(text)[-10:]
-        return d[0] in "23456789" and d[3] in "23456789"
+        digits = _digits(text)
+        d = digits[-10:]
+        sure = text[0] == "+" or len(digits) == 11 and "(" in text
+        return sure or d[0] in "23456789" and d[3] in "23456789"
 
     def change(self, text: str, key: bytes, inverse: bool) -> str:
         digits = _digits(text)
         lead, d = digits[:-10], digits[-10:]
-        x = ((int(d[:3]) - 200) * 800 + int(d[3:6]) - 200) * 10_000 + int(d[6:])
-        x = permute(x, 800 * 800 * 10_000, key, self.name, inverse)
+        area, exchange, line = int(d[:3]), int(d[3:6]), int(d[6:])
+        if area >= 200 and exchange >= 200:
+            x = ((area - 200) * 800 + exchange - 200) * 10_000 + line
+            x = permute(x, self._ASSIGNED, key, self.name, inverse)
+            x, line = divmod(x, 10_000)
+            area, exchange = divmod(x, 800)
+            return _refill(text, f"{lead}{area + 200}{exchange + 200}{line:04d}")
+        # areas under 200 with any exchange, then the others with exchanges under 200
+        x = area * 1000 + exchange if area < 200 else 200_000 + (area - 200) * 200 + exchange
+        x = permute(x * 10_000 + line, self._OTHER, key, f"{self.name}0", inverse)
         x, line = divmod(x, 10_000)
-        area, exchange = divmod(x, 800)
-        return _refill(text, f"{lead}{area + 200}{exchange + 200}{line:04d}")
+        area, exchange = divmod(x, 1000) if x < 200_000 else divmod(x - 200_000 + 200 * 200, 200)
+        return _refill(text, f"{lead}{area:03d}{exchange:03d}{line:04d}")
 
 
 class Address4(Kind):

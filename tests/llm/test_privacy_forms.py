@@ -63,3 +63,31 @@ def test_the_given_documents_keep_no_secret(spark):
         n += len(given)
         assert not [g for g in given if len(g) >= 8 and g in new]
     assert n > 100
+
+
+@pytest.mark.parametrize("phone", [
+    "+1 (017) 555-7713", "+1 (132) 555-1352", "1 (112) 555-0100", "+1 212 055 0100", "+1.000.000.0000", "+1-999-199-9999",
+])
+def test_a_sure_phone_number_may_have_any_area(phone):
+    new, kinds = _replaced(f"call {phone} now")
+    assert kinds == ["phone"] and phone not in new
+    area, exchange = (re.sub(r"\D", "", new)[i : i + 3] for i in (1, 4))
+    assert area < "200" or exchange < "200"
+
+
+def test_phone_numbers_of_both_sorts_stay_apart():
+    worker = Pseudonymizer(KEY)
+    old = [f"+1 ({a:03d}) {e:03d}-0042" for a in range(0, 1000, 37) for e in range(0, 1000, 41)]
+    new = [worker.replace(p)[0] for p in old]
+    assert len(set(new)) == len(old) and [Pseudonymizer(KEY, inverse=True).replace(p)[0] for p in new] == old
+    assert not any(a == b for a, b in zip(old, new, strict=True))
+
+
+def test_the_given_documents_keep_no_phone_number(spark):
+    worker, n = Pseudonymizer(KEY), 0
+    for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter("text like '%+1 (%'").collect():
+        old = re.findall(r"\+1 \(\d{3}\) \d{3}-\d{4}", r.text)
+        new = worker.replace(r.text)[0]
+        n += len(old)
+        assert not [p for p in old if p in new]
+    assert n > 100
