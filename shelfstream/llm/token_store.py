@@ -206,9 +206,11 @@ class PieceEncoder:
     A text is cut where a token border is certain, so the ids of its pieces in a row are the
     ids of the text. That bounds memory for texts of any length and spares repeated words.
     New pieces are split into pre-tokens, and the library's model encodes those not yet known.
+    With ``added``, the added tokens of the file that stand in a text are one id each, as the
+    library's ``encode(text, add_special_tokens=False)`` has it; without, they are plain text.
     """
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, added: bool = False):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task per core
@@ -218,6 +220,12 @@ class PieceEncoder:
         tokenizer = Tokenizer.from_file(path)
         if type(tokenizer.pre_tokenizer).__name__ != "ByteLevel" or tokenizer.normalizer:
             raise ValueError("not a byte-level vocabulary")
+        tokens = tokenizer.get_added_tokens_decoder() if added else {}
+        if any(t.single_word or t.lstrip or t.rstrip for t in tokens.values()):
+            raise ValueError("added tokens that depend on what is around them")
+        self._added = {t.content: array("I", [i]).tobytes() for i, t in tokens.items()}
+        longest_first = sorted(self._added, key=len, reverse=True)
+        self._cut = re.compile(f"({'|'.join(map(re.escape, longest_first))})").split
         self._model = tokenizer.model
         self._tokens = regex.compile(pattern).findall
         self._letters = _byte_letters()
@@ -241,24 +249,32 @@ class PieceEncoder:
         """Per text its ids as little-endian unsigned 32-bit integers."""
         self._pieces.turn()
         self._known.turn()
-        find, make, out = self._pieces.now.get, self._pieces.get, []
+        out = []
         for text in texts:
-            strict = any(c in text for c in _NOT_WHITE)
-            pieces = (_PIECES_STRICT if strict else _PIECES).findall(text)
-            ids = list(map(find, pieces))
-            if None in ids:
-                ids = [make(p) if i is None else i for p, i in zip(pieces, ids, strict=True)]
-            out.append(b"".join(ids))
+            if any(token in text for token in self._added):
+                parts = self._cut(text)
+                out.append(b"".join(self._added.get(part) or self._ids(part) for part in parts))
+            else:
+                out.append(self._ids(text))
         return out
 
+    def _ids(self, text: str) -> bytes:
+        """The ids of a text without added tokens."""
+        strict = any(c in text for c in _NOT_WHITE)
+        pieces = (_PIECES_STRICT if strict else _PIECES).findall(text)
+        ids = list(map(self._pieces.now.get, pieces))
+        if None in ids:
+            ids = [self._pieces.get(p) if i is None else i for p, i in zip(pieces, ids, strict=True)]
+        return b"".join(ids)
 
-_ENCODERS: dict[tuple[str, str], PieceEncoder] = {}
 
+_ENCODERS: dict[tuple[str, str, bool], PieceEncoder] = {}
 
-def _encoder(path: str, pattern: str) -> PieceEncoder:
-    if (path, pattern) not in _ENCODERS:
-        _ENCODERS[path, pattern] = PieceEncoder(path, pattern)
-    return _ENCODERS[path, pattern]
+
+def _encoder(path: str, pattern: str, added: bool) -> PieceEncoder:
+    if (path, pattern, added) not in _ENCODERS:
+        _ENCODERS[path, pattern, added] = PieceEncoder(path, pattern, added)
+    return _ENCODERS[path, pattern, added]
 
 
 _MANIFEST = "shard long, part long, file string, n_docs long, n_ids long"
@@ -266,11 +282,12 @@ _MANIFEST = "shard long, part long, file string, n_docs long, n_ids long"
 
 def write_tokens(
     docs: DataFrame, root: str, tokenizer: str, pattern: str, end_id: int = END_ID,
-    ids_per_file: int = IDS_PER_FILE,
+    ids_per_file: int = IDS_PER_FILE, added: bool = False,
 ) -> DataFrame:
     """Encode the documents and write token files in ascending ``doc_id`` order below ``root``.
 
     ``tokenizer`` is the file of a byte-level vocabulary, ``pattern`` the one it splits text by.
+    ``added`` makes one id of each added token of the file that stands in a text.
 
     ``docs`` needs ``doc_id`` (bigint) and ``text``; other columns are ignored. The texts are
     shuffled once, by ranges of the id. A NULL id sorts first; equal ids are ordered by a hash
@@ -290,7 +307,7 @@ def write_tokens(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, part = TaskContext.get().partitionId(), 0
-        encoder, store = _encoder(tokenizer, pattern), Store(root)
+        encoder, store = _encoder(tokenizer, pattern, added), Store(root)
         doc_ids: list = []
         counts: list[int] = []
         parts: list[bytes] = []
@@ -377,7 +394,7 @@ def op1_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark, "tokens")
     manifest = write_tokens(
         read_table(spark, sf_dir, "documents"), root,
-        public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN,
+        public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, added=True,
     )
     return read_tokens(spark, root, manifest).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
