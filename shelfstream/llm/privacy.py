@@ -99,27 +99,47 @@ class Kind:
     def valid(self, text: str) -> bool:
         raise NotImplementedError
 
+    def size(self, text: str) -> int:
+        """Length of the value that ``text``, a match of the pattern, begins with; 0 for none."""
+        return len(text) if self.valid(text) else 0
+
     def change(self, text: str, key: bytes, inverse: bool) -> str:
         raise NotImplementedError
 
 
 class Card(Kind):
-    """Payment card: 13 to 19 digits, in groups or not, with a Luhn check digit."""
+    """Payment card: 13 to 19 digits, in groups or not, with a Luhn check digit.
+
+    Where the digits that follow make no longer card, a card in the usual groups is found before
+    them. A pseudonym keeps the check sum its digits have when an odd number of digits follows, so
+    that it makes a longer card with what follows exactly if the value does.
+    """
 
     name = "card"
     pattern = r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?![\w-])"
+    _USUAL = re.compile(r"\d{13,19}|\d{4}([ -])(?:\d{4}\1\d{4}\1\d{4}(?:\1\d{1,3})?|\d{6}\1\d{4,5}|\d{3}\1\d{3}\1\d{3})")
 
     def valid(self, text: str) -> bool:
         digits = _digits(text)
         return len(set(digits)) > 1 and luhn_digit(digits[:-1]) == digits[-1]
 
+    def size(self, text: str) -> int:
+        if self.valid(text):
+            return len(text)
+        for border in reversed(list(re.finditer("[ -]", text))):
+            if self._USUAL.fullmatch(text, 0, border.start()) and self.valid(text[: border.start()]):
+                return border.start()
+        return 0
+
     def change(self, text: str, key: bytes, inverse: bool) -> str:
-        body = _digits(text)[:-1]
-        new = permute(int(body), 10 ** len(body), key, f"card{len(body)}", inverse)
-        digits = f"{new:0{len(body)}d}"
-        if len(set(digits + luhn_digit(digits))) == 1:  # no card: the next value along
-            return self.change(_refill(text, digits + luhn_digit(digits)), key, inverse)
-        return _refill(text, digits + luhn_digit(digits))
+        digits = _digits(text)
+        n, odd = len(digits) - 1, luhn_digit(digits)
+        while True:  # on to the next value that is a card and has the same sum
+            new = permute(int(digits[:-1]), 10**n, key, f"card{n}", inverse)
+            digits = f"{new:0{n}d}"
+            digits += luhn_digit(digits)
+            if len(set(digits)) > 1 and luhn_digit(digits) == odd:
+                return _refill(text, digits)
 
 
 class Social(Kind):
@@ -237,9 +257,23 @@ class Date(Kind):
 
 
 class Iban(Kind):
-    """International account number with valid check digits; country and letters' places stay."""
+    """International account number with valid check digits; country and letters' places stay.
+
+    One of its country's length is found before whatever follows it, one of another country
+    up to the last border between groups where its check digits are right.
+    """
 
     name = "iban"
+    #: Characters by country, of the registry of ISO 13616.
+    _LENGTHS = {c: int(n) for n, countries in (
+        row.split(":") for row in (
+            "15:NO", "16:BE", "18:DK FI FK FO GL NL SD", "19:MK SI", "20:AT BA EE KZ LT LU MN XK",
+            "21:CH HR LI LV", "22:BG BH CR DE GB GE IE ME RS", "23:AE GI IL IQ OM SO TL",
+            "24:AD CZ ES MD PK RO SA SE SK TN VG", "25:LY PT ST", "26:IS TR", "27:BI DJ FR GR IT MC MR SM",
+            "28:AL AZ BY CY DO GT HN HU LB NI PL SV", "29:BR EG PS QA UA", "30:JO KW MU YE", "31:MT SC",
+            "32:LC", "33:RU",
+        )
+    ) for c in countries.split()}
     pattern = r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]){11,30}(?!\w)"
 
     @staticmethod
@@ -251,6 +285,16 @@ class Iban(Kind):
         plain = text.replace(" ", "")
         return plain[2:4] == self._check(plain[:2], plain[4:])
 
+    def size(self, text: str) -> int:
+        ends = [m.start() for m in re.finditer(" ", text)] + [len(text)]
+        length = self._LENGTHS.get(text[:2])
+        own = [e for e in ends if e - text.count(" ", 0, e) == length]
+        others = [e for e in reversed(ends) if length is None and e - text.count(" ", 0, e) >= 15]
+        for end in own + [len(text)] + others:
+            if self.valid(text[:end]):
+                return end
+        return 0
+
     def change(self, text: str, key: bytes, inverse: bool) -> str:
         plain = text.replace(" ", "")
         country, body = plain[:2], plain[4:]
@@ -373,16 +417,16 @@ class Pseudonymizer:
         """(start, end, kind) of each valid value; one that is not valid is passed over."""
         at = 0
         while match := self._pattern.search(text, at):
+            start = match.start()
             kind = match.lastgroup or next(k for k, v in match.groupdict().items() if v is not None)
-            if _BY_NAME[kind].valid(match[0]):
-                found = (kind == "secret" and self._given(text, match)) or (match.start(), match.end(), kind)
+            size = _BY_NAME[kind].size(match[0])
+            if size:
+                found = (kind == "secret" and self._given(text, match)) or (start, start + size, kind)
+            else:
+                found = self._other(text, start)
+            if found:
                 yield found
-                at = found[1]
-                continue
-            other = self._other(text, match.start())
-            if other:
-                yield other
-            at = other[1] if other else match.start() + 1
+            at = found[1] if found else start + 1
 
     def _given(self, text: str, match: re.Match) -> tuple[int, int, str] | None:
         """The value given to a name if it is an access key, or one of another kind that ends later."""
@@ -398,8 +442,9 @@ class Pseudonymizer:
         """A valid value of any kind that begins at ``start``."""
         for kind in self._kinds:
             match = re.compile(kind.pattern).match(text, start)
-            if match and kind.valid(match[0]):
-                return match.start(), match.end(), kind.name
+            size = kind.size(match[0]) if match else 0
+            if size:
+                return start, start + size, kind.name
         return None
 
     def replace(self, text: str) -> tuple[str, list[tuple[int, int, str]]]:

@@ -91,3 +91,36 @@ def test_the_given_documents_keep_no_phone_number(spark):
         n += len(old)
         assert not [p for p in old if p in new]
     assert n > 100
+
+
+CARD, IBAN = "4111 1111 1111 1111", "DE89 3704 0044 0532 0130 00"
+
+
+@pytest.mark.parametrize(("kind", "value", "rest"), [
+    ("card", CARD, " 12/27"), ("card", "4111111111111111", " 123"), ("card", CARD, " 123 456"), ("card", CARD, "-123"),
+    ("card", "4111-1111-1111-1111", " 12 2027"), ("card", "3400 000000 00009", " 1234"), ("card", "4222222222222", " 99"),
+    ("iban", IBAN, " BIC COBADEFF"), ("iban", "DE89370400440532013000", " BIC COBADEFFXXX"), ("iban", IBAN, " 1234 5678"),
+    ("iban", "GB82 WEST 1234 5698 7654 32", " AND MORE"), ("iban", "NO93 8601 1117 947", " KID 12345"),
+])
+def test_a_value_is_found_before_more_digits_or_capitals(kind, value, rest):
+    new, kinds = _replaced(f"pay {value}{rest} now")
+    assert kinds == [kind] and new == f"pay {Pseudonymizer(KEY).replace(value)[0]}{rest} now"
+    assert value not in new
+
+
+def test_a_card_before_a_code_is_turned_back_whatever_the_code():
+    worker, back = Pseudonymizer(KEY), Pseudonymizer(KEY, inverse=True)
+    for code in range(1000):
+        text = f"{CARD} {code:03d}"
+        new, spans = worker.replace(text)
+        assert back.replace(new) == (text, spans) and CARD not in new
+
+
+def test_a_card_after_other_digits_is_still_found():
+    worker = Pseudonymizer(KEY)
+    made, whole = worker.replace(CARD)[0], 0
+    for before in (f"{n:02d}" for n in range(100)):
+        new, spans = worker.replace(f"{before} {CARD}")
+        whole += spans == [(0, len(new), "card")]  # all digits make a card
+        assert spans[-1][1] == len(new) and (spans[0][0] == 0 or new == f"{before} {made}")
+    assert whole == 10
