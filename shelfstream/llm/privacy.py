@@ -220,11 +220,16 @@ class Date(Kind):
     """A day from 1900 to 2099: year-month-day, or day and month first, by one separator.
 
     With the year last the day is read as day/month/year where that is a date, else as
-    month/day/year; the two share no value, and each stays within its own.
+    month/day/year; the two share no value, and each stays within its own. Day and month have one
+    or two digits; a pseudonym has them with as many, so equal days written with other numbers of
+    digits have other pseudonyms, but for ones of two digits each. A time may follow after a T.
     """
 
     name = "date"
-    pattern = r"(?<![\w.:/-])(?:\d{4}([-/.])\d{2}\1\d{2}|\d{2}([-/.])\d{2}\2\d{4})(?![\w-]|[./]\d)"
+    pattern = (
+        r"(?<![\w.:/-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4})"
+        r"(?:(?=T\d\d)|(?![\w-]|[./]\d))"
+    )
 
     def _read(self, text: str) -> tuple[str, datetime.date] | None:
         parts = list(map(int, re.split(r"[-/.]", text)))
@@ -241,19 +246,21 @@ class Date(Kind):
         return None
 
     def valid(self, text: str) -> bool:
-        return len(re.split(r"[-/.]", text)[0]) in (2, 4) and self._read(text) is not None
+        return self._read(text) is not None
 
     def change(self, text: str, key: bytes, inverse: bool) -> str:
         order, day = self._read(text)
         sign = re.search(r"[-/.]", text)[0]
+        sizes = [len(p) for p in re.split(r"[-/.]", text)]
+        label = f"date{order}" if sizes.count(2) == 2 else f"date{order}{sizes}"
         x = day.toordinal() - _FIRST_DAY
-        while True:  # a month-first date goes on until its pseudonym reads as one again
-            x = permute(x, _DAYS, key, f"date{order}", inverse)
+        while True:  # on until the pseudonym is written with as many digits and reads in the same order
+            x = permute(x, _DAYS, key, label, inverse)
             day = datetime.date.fromordinal(x + _FIRST_DAY)
-            if order != "mdy" or day.day > 12:
-                break
-        form = {"ymd": f"%Y{sign}%m{sign}%d", "dmy": f"%d{sign}%m{sign}%Y", "mdy": f"%m{sign}%d{sign}%Y"}
-        return day.strftime(form[order])
+            parts = {"y": day.year, "m": day.month, "d": day.day}
+            made = [f"{parts[p]:0{2 if n > 1 else 1}d}" for p, n in zip(order, sizes, strict=True)]
+            if [len(p) for p in made] == sizes and (order != "mdy" or day.day > 12):
+                return sign.join(made)
 
 
 class Iban(Kind):

@@ -124,3 +124,29 @@ def test_a_card_after_other_digits_is_still_found():
         whole += spans == [(0, len(new), "card")]  # all digits make a card
         assert spans[-1][1] == len(new) and (spans[0][0] == 0 or new == f"{before} {made}")
     assert whole == 10
+
+
+@pytest.mark.parametrize("date", [
+    "3/5/1980", "1980-3-5", "03/5/1980", "3/05/1980", "1/31/1999", "31.1.1999", "1980/12/1", "1900.1.1", "12/1/2099",
+])
+def test_dates_of_one_digit_days_or_months(date):
+    new, kinds = _replaced(f"born {date}.")
+    form = lambda t: re.sub(r"\d", "0", t)
+    assert kinds == ["date"] and date not in new and form(new) == form(f"born {date}.")
+
+
+@pytest.mark.parametrize("rest", ["T10:00:00Z", "T10:00", " 10:00", "T1000"])
+def test_a_date_before_its_time_is_the_date(rest):
+    plain = Pseudonymizer(KEY).replace("1980-03-05")[0]
+    assert _replaced(f"at 1980-03-05{rest}") == (f"at {plain}{rest}", ["date"])
+
+
+def test_short_dates_differ():
+    worker = Pseudonymizer(KEY)
+    days = [f"{d}/{m}/{y}" for y in (1950, 1980) for m in range(1, 13) for d in range(1, 29)]
+    assert len({worker.replace(d)[0] for d in days}) == len(days)
+
+
+@pytest.mark.parametrize("text", ["1.2.3", "0/5/1980", "1980-0-5", "1980-13-1", "32/1/2000", "1980-03-05Tuesday", "3/5/80"])
+def test_other_short_numbers_stay(text):
+    assert Pseudonymizer(KEY).replace(f"a {text} b") == (f"a {text} b", [])
