@@ -17,7 +17,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfstream.llm.common import read_table
+from shelfstream.llm.common import free_name, keep, read_table
+from shelfstream.llm.simhash import simhash_groups
 
 #: Length of a sequence, in the unit of the documents' length.
 CAPACITY = 8_192
@@ -121,6 +122,22 @@ def pack_documents(
     return pieces.repartition(groups).mapInArrow(run, _PACKED)
 
 
+def with_cluster(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with ``cluster``, a number that near copies share (:mod:`.simhash`).
+
+    ``docs`` must be read from files, so that its rows come in the same order whenever they are read.
+    """
+    row = free_name(docs, "_row")
+    rows = docs.withColumn(row, F.monotonically_increasing_id())
+    groups = simhash_groups(rows.select(F.col(row).alias("doc_id"), "text"))
+    groups = groups.select(F.col("doc_id").alias(row), F.col("component_id").alias("cluster"))
+    return rows.drop("cluster").join(groups, row).drop(row)
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document packed into sequences."""
-    return pack_documents(read_table(spark, sf_dir, "documents"))
+    """Every document packed into sequences that hold no two near copies."""
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id", "source", "text", F.octet_length("text").alias("size")
+    )
+    sized = keep(with_cluster(docs).drop("text"), "clusters")
+    return pack_documents(sized, length=F.col("size"), cluster=F.col("cluster"))
