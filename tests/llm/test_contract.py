@@ -15,7 +15,7 @@ ROOT = Path(__file__).resolve().parents[2]
 
 def test_one_query_per_operator_and_the_pipeline():
     names = [n for n in contract.queries() if re.match(r"op\d+_", n)]
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names) == list(range(1, 14))
     assert contract.queries()["pipeline"] is corpus_pipeline.run
     assert "op4_warc" in contract.oracle_sql() and "pipeline" not in contract.oracle_sql()
 
