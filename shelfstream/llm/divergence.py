@@ -52,7 +52,8 @@ def _steps(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     cuts = [0, *(np.flatnonzero(np.diff(step)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:], strict=False):
         if b > a:
-            yield batch.slice(a, b - a)
+            # A copy: the kernel for lower case misreads the offsets of a slice.
+            yield batch.take(pa.array(np.arange(a, b)))
 
 
 def count_terms(batch: pa.RecordBatch) -> pa.Table:
@@ -98,8 +99,12 @@ def _folded(tables: list[pa.Table]) -> pa.Table:
     return summed.rename_columns(["lang", "source", "term", "n", "docs"]).select(_ARROW.names)
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """(lang, source, term, n, docs) of all texts; each group also has a row with a NULL term."""
+def term_counts(docs: DataFrame, min_docs: int) -> DataFrame:
+    """(lang, term, n, sources) of each language's terms in at least ``min_docs`` texts.
+
+    ``sources`` lists each source with the term and its count. A row with a NULL term lists all
+    sources of the language. Partial counts are shuffled once, by language and term.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, rows, least = [], 0, 0
@@ -117,8 +122,17 @@ def term_counts(docs: DataFrame) -> DataFrame:
             yield from _folded(held).to_batches()
 
     plain = docs.select(*[F.col(c).cast("string").alias(c) for c in ("text", "lang", "source")])
-    partial = plain.mapInArrow(run, _COUNTS)
-    return partial.groupBy(*_GROUP).agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    return (
+        plain.mapInArrow(run, _COUNTS)
+        .repartition("lang", "term")
+        .groupBy(*_GROUP).agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+        .groupBy("lang", "term").agg(
+            F.sum("n").alias("n"), F.sum("docs").alias("docs"),
+            F.collect_list(F.struct("source", "n")).alias("sources"),
+        )
+        .filter((F.col("docs") >= min_docs) | F.col("term").isNull())
+        .drop("docs")
+    )
 
 
 # -- divergences ----------------------------------------------------------------
@@ -147,23 +161,21 @@ _FOUND = "lang string, source string, part string, item string, value long"
 def _shard(sources: pa.Table, counts: pa.Table) -> Iterator[tuple[str, list, list, list]]:
     """(part, source, item, value): sums over this shard's terms, and the best terms of each source.
 
-    ``counts`` has the language's own count of each term under a NULL source. A row of shares
-    per source, a column per term in the order of the terms' bytes.
+    A row of shares per source, a column per term in the order of the terms' bytes.
     """
     names = sources.column("source").to_pylist()
     block = sources.column("block").to_numpy()
     totals = sources.column("total").to_numpy()
     of_lang, kept, i, j = (sources.column(c)[0].as_py() for c in ("of_lang", "kept", "i", "j"))
-    is_lang = counts.column("source").is_null()
-    whole = counts.filter(is_lang).sort_by("term")
-    terms = whole.column("term").combine_chunks()
-    own = counts.filter(pc.invert(is_lang))
+    counts = counts.sort_by("term").combine_chunks()
+    terms = counts.column("term").combine_chunks()
     row_of = {name: k for k, name in enumerate(names)}
     matrix = np.zeros((len(names), len(terms)), dtype=np.int64)
-    if own.num_rows:
-        own_names = own.column("source").combine_chunks().dictionary_encode()
-        at = np.array([row_of[x] for x in own_names.dictionary.to_pylist()])[own_names.indices.to_numpy()]
-        matrix[at, pc.index_in(own.column("term"), terms).to_numpy()] = own.column("n").to_numpy()
+    for lists in counts.column("sources").chunks:
+        term, own = pc.list_parent_indices(lists).to_numpy(), lists.flatten()
+        own_names = own.field("source").dictionary_encode()
+        at = np.array([row_of[x] for x in own_names.dictionary.to_pylist()], dtype=np.int64)
+        matrix[at[own_names.indices.to_numpy()], term] = own.field("n").to_numpy()
     p = shares(matrix, totals[:, None], kept) if len(terms) else matrix
 
     for k in np.flatnonzero(block == i).tolist():
@@ -176,7 +188,7 @@ def _shard(sources: pa.Table, counts: pa.Table) -> Iterator[tuple[str, list, lis
         yield "pair", [names[k]] * len(their), their, sums
         yield "pair", their, [names[k]] * len(their), sums
     if i == j and len(terms):
-        q = shares(whole.column("n").to_numpy(), np.int64(of_lang), kept)
+        q = shares(counts.column("n").to_numpy(), np.int64(of_lang), kept)
         for k, name in enumerate(names):
             place = np.flatnonzero((matrix[k] > 0) & (p[k] > q))
             value = divergence(p[k, place], q[place])
@@ -200,47 +212,37 @@ def source_divergences(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int
     """
     if not 1 <= top_terms <= TOP_TERMS:
         raise ValueError(f"top_terms from 1 to {TOP_TERMS}")
-    counts = keep(term_counts(docs), "term-counts")
-    of_lang = (
-        counts.filter("term IS NOT NULL").groupBy("lang", "term")
-        .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-        .filter(F.col("docs") >= min_docs).drop("docs")
-    )
-    kept = keep(
-        counts.filter("term IS NOT NULL").drop("docs").join(of_lang.select("lang", "term"), ["lang", "term"])
-        .unionByName(of_lang.withColumn("source", F.lit(None).cast("string"))),
-        "kept-terms",
-    )
-    groups = counts.filter("term IS NULL").select("lang", "source")
-    totals = kept.filter("source IS NOT NULL").groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    counts = keep(term_counts(docs, min_docs), "term-counts")
+    kept = counts.filter("term IS NOT NULL")
+    named = lambda df: df.select("lang", F.inline("sources"))
+    groups = named(counts.filter("term IS NULL")).drop("n")
+    totals = named(kept).groupBy("lang", "source").agg(F.sum("n").alias("total"))
     # One row per language: how much there is of it, and how it is cut.
     langs = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("sources")).join(
-        kept.filter("source IS NULL").groupBy("lang")
-        .agg(F.sum("n").alias("of_lang"), F.count(F.lit(1)).alias("kept")), "lang", "left",
+        kept.groupBy("lang").agg(F.sum("n").alias("of_lang"), F.count(F.lit(1)).alias("kept")),
+        "lang", "left",
     ).na.fill(0, ["of_lang", "kept"]).withColumns({
         "shards": F.greatest(F.ceil(F.col("kept") / SHARD_TERMS), F.lit(1)),
         "blocks": F.ceil(F.col("sources") / BLOCK_SOURCES),
-    })
+    }).drop("sources")
     upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
-    block = F.pmod(F.xxhash64("source"), F.col("blocks"))
+    block_of = lambda source: F.pmod(F.xxhash64(source), F.col("blocks"))
     # A shard holds sources of block i and of block j, i <= j.
-    paired = lambda df: df.withColumn("_other", F.explode(upto("blocks"))).withColumns(
-        {"i": F.least("block", "_other"), "j": F.greatest("block", "_other")}
-    )
+    in_blocks = groups.join(totals, ["lang", "source"], "left").na.fill(0, ["total"]).join(langs, "lang")
     sources = keep(
-        paired(groups.join(totals, ["lang", "source"], "left").na.fill(0, ["total"])
-               .join(langs, "lang").withColumn("block", block))
+        in_blocks.withColumn("block", block_of("source")).withColumn("other", F.explode(upto("blocks")))
+        .withColumns({"i": F.least("block", "other"), "j": F.greatest("block", "other")})
         .select("lang", "i", "j", F.explode(upto("shards")).alias("shard"), "source", "block", "total",
                 "of_lang", "kept"),
         "sources",
     )
-    shard = F.pmod(F.xxhash64("term"), F.col("shards")).alias("shard")
-    cut = kept.join(langs.select("lang", "shards", "blocks"), "lang").withColumn("block", block)
-    everywhere = cut.filter("source IS NULL").withColumn("i", F.explode(upto("blocks"))).withColumn(
-        "j", F.explode(F.sequence(F.col("i"), F.col("blocks") - 1))
+    here = lambda s: block_of(s["source"]).isin(F.col("i"), F.col("j"))
+    dealt = (
+        kept.join(langs.select("lang", "shards", "blocks"), "lang").withColumn("i", F.explode(upto("blocks")))
+        .withColumn("j", F.explode(F.sequence(F.col("i"), F.col("blocks") - 1)))
+        .select("lang", "i", "j", F.pmod(F.xxhash64("term"), F.col("shards")).alias("shard"),
+                "term", "n", F.filter("sources", here).alias("sources"))
     )
-    columns = ["lang", "i", "j", shard, "source", "term", "n"]
-    dealt = paired(cut.filter("source IS NOT NULL")).select(*columns).unionByName(everywhere.select(*columns))
 
     def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
         empty = pa.table({"part": [], "source": [], "item": [], "value": []}, schema=pa.schema(

@@ -107,5 +107,18 @@ def test_only_ascii_letters_change_case():
     assert rows == {("x", "s", None): (0, 0), ("", "s", None): (0, 0), ("x", "s", "Äbc"): (2, 1), ("x", "s", "äbc"): (1, 1)}
 
 
+def test_steps_of_a_batch_hold_its_texts():
+    texts = [None, "Ab" * 50_000, "é" * 30_000, "c D e" * 3] * 40
+    batch = pa.RecordBatch.from_pydict({"text": texts, "lang": ["x"] * 160, "source": ["s"] * 160})
+    steps = list(divergence._steps(batch.slice(3)))
+    assert len(steps) > 1
+    assert [t for s in steps for t in s.column("text").to_pylist()] == texts[3:]
+    got = Counter()
+    for r in divergence._folded([count_terms(s) for s in steps]).to_pylist():
+        got[r["term"]] += r["n"]
+    want = Counter(t for x in texts[3:] for t in _terms(x or ""))
+    assert +got == want
+
+
 def test_query_equals_sql(spark, sf_dir):
     assert rows_of(op13_divergence(spark, sf_dir)) == rows_of_sql(connect(sf_dir), OP13_SQL)
