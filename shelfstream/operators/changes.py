@@ -95,13 +95,25 @@ def effective_changes(
     No broadcast is forced: Spark broadcasts a dimension while its size is under
     ``spark.sql.autoBroadcastJoinThreshold`` and shuffles it beyond.
     """
+    moves = changes.select("store_id", "item_id", "date_time", "quantity", "change_type_id")
+    return _booked_here(moves, stores, change_types).select(
+        "store_id", "item_id", "date_time", "quantity"
+    )
+
+
+def effective_sums(sums: DataFrame, stores: DataFrame, change_types: DataFrame) -> DataFrame:
+    """As :func:`effective_changes`, of sums per (store, item, change type) and day."""
+    return _booked_here(sums, stores, change_types).select(
+        "store_id", "item_id", "event_date", "moved", "moved_at"
+    )
+
+
+def _booked_here(moves: DataFrame, stores: DataFrame, change_types: DataFrame) -> DataFrame:
     booked_elsewhere = (F.col("name") == ONLINE) & (F.col("change_type") == BOPIS)
     return (
-        changes.select("store_id", "item_id", "date_time", "quantity", "change_type_id")
-        .join(stores.select("store_id", "name"), "store_id")
+        moves.join(stores.select("store_id", "name"), "store_id")
         .join(change_types.select("change_type_id", "change_type"), "change_type_id")
         .filter(~booked_elsewhere)
-        .select("store_id", "item_id", "date_time", "quantity")
     )
 
 

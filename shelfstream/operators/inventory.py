@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +27,21 @@ def recent_changes(changes: DataFrame, latest: DataFrame) -> DataFrame:
     return recent
 
 
+def day_sums(changes: DataFrame) -> DataFrame:
+    """What dated changes moved per (store, item, change type) and day, and when last."""
+    return (
+        changes.filter(F.col("date_time").isNotNull())
+        .groupBy("store_id", "item_id", "change_type_id", F.to_date("date_time").alias("event_date"))
+        .agg(F.sum("quantity").alias("moved"), F.max("date_time").alias("moved_at"))
+    )
+
+
+def _counts(latest: DataFrame) -> DataFrame:
+    return latest.select(
+        *STOCK_KEY, F.col("date_time").alias("counted_at"), F.col("quantity").alias("counted")
+    )
+
+
 def _movements(counted: DataFrame, effective: DataFrame) -> DataFrame:
     """Per (store, item): what moved at or after its count, and how much was counted.
 
@@ -36,11 +53,8 @@ def _movements(counted: DataFrame, effective: DataFrame) -> DataFrame:
     ``spark.sql.adaptive.forceOptimizeSkewedJoin`` (see :mod:`shelfstream.session`) lets it do
     so although the sums of the splits then need a shuffle.
     """
-    counts = counted.select(
-        *STOCK_KEY, F.col("date_time").alias("counted_at"), F.col("quantity").alias("counted")
-    )
     return (
-        effective.join(counts, STOCK_KEY)
+        effective.join(_counts(counted), STOCK_KEY)
         .filter(F.col("date_time") >= F.col("counted_at"))
         .groupBy(*STOCK_KEY)
         .agg(
@@ -51,6 +65,35 @@ def _movements(counted: DataFrame, effective: DataFrame) -> DataFrame:
     )
 
 
+def _movements_by_day(counted: DataFrame, sums: DataFrame, of_counted_days: DataFrame) -> DataFrame:
+    """As :func:`_movements`, of whole days after the count and of changes on its day."""
+    counts = _counts(counted).withColumn("counted_on", F.to_date("counted_at"))
+    later = (
+        sums.join(counts, STOCK_KEY).filter(F.col("event_date") > F.col("counted_on"))
+        .select(*STOCK_KEY, "moved", "moved_at", "counted")
+    )
+    same_day = (
+        of_counted_days.join(counts, STOCK_KEY)
+        .filter((F.col("date_time") >= F.col("counted_at")) & (F.to_date("date_time") == F.col("counted_on")))
+        .select(*STOCK_KEY, F.col("quantity").cast("bigint").alias("moved"),
+                F.col("date_time").alias("moved_at"), "counted")
+    )
+    return later.unionByName(same_day).groupBy(*STOCK_KEY).agg(
+        F.sum("moved").alias("moved"), F.max("moved_at").alias("moved_at"), F.min("counted").alias("counted")
+    )
+
+
+def changes_of_counted_days(changes: DataFrame, latest: DataFrame) -> DataFrame:
+    """Changes on the days of the latest counts.
+
+    The days are read first and become a list in the filter, at most one entry per calendar
+    day: on a change table partitioned by ``event_date`` no other day is listed or read.
+    """
+    days = latest.select(F.to_date("date_time").alias("day")).distinct().filter("day IS NOT NULL")
+    on = F.col("event_date") if "event_date" in changes.columns else F.to_date("date_time")
+    return changes.filter(on.isin([r.day for r in days.collect()]))
+
+
 def current_inventory(latest: DataFrame, effective: DataFrame) -> DataFrame:
     """Stock per (store, item): the latest count plus what moved at or after it.
 
@@ -61,12 +104,28 @@ def current_inventory(latest: DataFrame, effective: DataFrame) -> DataFrame:
     the counts under it once. Counts with a NULL in their key match no change and are added
     by a scan that keeps only them.
     """
+    return _stock(latest, lambda counted: _movements(counted, effective))
+
+
+def current_inventory_of_sums(
+    latest: DataFrame, sums: DataFrame, of_counted_days: DataFrame
+) -> DataFrame:
+    """As :func:`current_inventory`, from sums per day and the changes of the counts' days.
+
+    ``sums`` are effective :func:`day_sums`, ``of_counted_days`` effective changes, all those
+    of the days on which a latest count was taken at least. The history before and between
+    is not needed.
+    """
+    return _stock(latest, lambda counted: _movements_by_day(counted, sums, of_counted_days))
+
+
+def _stock(latest: DataFrame, movements: Callable[[DataFrame], DataFrame]) -> DataFrame:
     has_key = F.col("store_id").isNotNull() & F.col("item_id").isNotNull()
     columns = [*STOCK_KEY, "quantity", "date_time"]
     counted = latest.filter(has_key).select(*columns)
     rest = latest.filter(~has_key).select(*columns)
     nothing = F.lit(None)
-    moved = counted.join(_movements(counted, effective), STOCK_KEY, "left").unionByName(
+    moved = counted.join(movements(counted), STOCK_KEY, "left").unionByName(
         rest.withColumns({
             "moved": nothing.cast("bigint"),
             "moved_at": nothing.cast("timestamp"),

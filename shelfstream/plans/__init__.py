@@ -6,6 +6,8 @@ from shelfstream.plans.retail import (
     gold_datasets,
     name_streamed_datasets,
     read_change_counts,
+    read_day_sums,
+    read_latest_snapshots,
     read_raw_stream,
     read_silver_changes,
     read_silver_snapshots,
@@ -17,6 +19,7 @@ from shelfstream.plans.retail import (
     start_refreshes,
     start_snapshot_streams,
     start_streams,
+    streamed_inventory,
 )
 
 __all__ = [
@@ -25,6 +28,8 @@ __all__ = [
     "gold_datasets",
     "name_streamed_datasets",
     "read_change_counts",
+    "read_day_sums",
+    "read_latest_snapshots",
     "read_raw_stream",
     "read_silver_changes",
     "read_silver_snapshots",
@@ -36,4 +41,5 @@ __all__ = [
     "start_refreshes",
     "start_snapshot_streams",
     "start_streams",
+    "streamed_inventory",
 ]

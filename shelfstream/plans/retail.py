@@ -12,22 +12,33 @@ from shelfstream import schemas
 from shelfstream.operators.changes import (
     dedup_changes,
     effective_changes,
+    effective_sums,
     flatten_events,
     parse_events,
 )
 from shelfstream.operators.inventory import (
+    changes_of_counted_days,
     current_inventory,
+    current_inventory_of_sums,
     inventory_for_bi,
     inventory_for_bi_of_counts,
     recent_changes,
 )
-from shelfstream.operators.snapshots import latest_snapshot
+from shelfstream.operators.snapshots import SEQUENCE, SNAPSHOT_KEY, TIE_BREAK
 from shelfstream.sinks.tables import save_dataset, save_view
 from shelfstream.sources.files import MAX_FILES, read_change_type, read_item, read_store
 from shelfstream.sources.messages import read_change_stream
 from shelfstream.storage import child_names, make_dir
-from shelfstream.streaming.changes import append_stream, count_stream
+from shelfstream.streaming.changes import append_stream
 from shelfstream.streaming.refresh import refresh_every
+from shelfstream.streaming.state import (
+    keep_change_counts,
+    keep_day_sums,
+    keep_latest,
+    read_kept_counts,
+    read_kept_sums,
+    read_latest,
+)
 
 # Dataset names and quality levels. The comments are ours.
 DATASETS = {
@@ -51,7 +62,11 @@ _CHANGE_TABLE = f"{schemas.CHANGE}, event_date date"
 
 @dataclass(frozen=True)
 class Layout:
-    """Folders of the streamed datasets, below one shared folder."""
+    """Folders of the streamed datasets, below one shared folder.
+
+    What is kept in the state of a stream lies in its checkpoint: the latest counts, and the
+    numbers and sums of the changes.
+    """
 
     root: str
 
@@ -63,10 +78,6 @@ class Layout:
     def changes(self) -> str:
         return f"{self.root}/inventory_change"
 
-    @property
-    def change_counts(self) -> str:
-        return f"{self.root}/inventory_change_counts"
-
     @property
     def snapshots(self) -> str:
         return f"{self.root}/inventory_snapshot"
@@ -121,11 +132,12 @@ def start_change_streams(
     keep_event: bool = False,
     write_tasks: int | None = None,
 ) -> list[StreamingQuery]:
-    """Changes, each (transaction, item) once whatever the time of a resend, and their counts.
+    """Changes, each (transaction, item) once whatever the time of a resend, and what is kept of them.
 
     The change table is partitioned by event date, so that a refresh of current inventory
-    reads from the oldest latest count on. Undated changes are a partition of their own. The
-    counts per (item, change type) follow the table, so that the report need not read it.
+    reads the days of the latest counts only. Undated changes are a partition of their own. Two
+    streams follow the table: the number of changes per (item, change type), for the report,
+    and their sums per (store, item, change type) and day, for current inventory.
     """
     flat = flatten_events(parse_events(raw), keep_event)
     changes = append_stream(
@@ -139,26 +151,32 @@ def start_change_streams(
     if interval is None:
         changes.awaitTermination()
     spark = raw.sparkSession
-    make_dir(spark, layout.changes)
-    stored = spark.readStream.schema(_CHANGE_TABLE).option("maxFilesPerTrigger", MAX_FILES)
-    counts = count_stream(
-        stored.parquet(layout.changes),
-        layout.change_counts,
-        layout.checkpoint("inventory_change_counts"),
-        interval,
-    )
-    return [changes, counts]
+    stored = _follow(spark, layout.changes, _CHANGE_TABLE)
+    return [
+        changes,
+        keep_change_counts(stored, layout.checkpoint("change_counts"), interval),
+        keep_day_sums(stored, layout.checkpoint("day_sums"), interval),
+    ]
+
+
+def _follow(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The stream of a stored dataset; a micro-batch reads ``MAX_FILES`` files of it at most."""
+    make_dir(spark, path)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", MAX_FILES).parquet(path)
 
 
 def start_snapshot_streams(
     snapshots: DataFrame, layout: Layout, interval: str | None = None
 ) -> list[StreamingQuery]:
-    """All counts, as they come; the latest are taken from them."""
-    return [
-        append_stream(
-            snapshots, layout.snapshots, layout.checkpoint("inventory_snapshot"), interval
-        )
-    ]
+    """All counts, as they come, and the latest per (store, item), kept as they come."""
+    history = append_stream(
+        snapshots, layout.snapshots, layout.checkpoint("inventory_snapshot"), interval
+    )
+    if interval is None:
+        history.awaitTermination()
+    stored = _follow(snapshots.sparkSession, layout.snapshots, schemas.SNAPSHOT)
+    checkpoint = layout.checkpoint("latest_inventory_snapshot")
+    return [history, keep_latest(stored, SNAPSHOT_KEY, SEQUENCE, checkpoint, TIE_BREAK, interval)]
 
 
 def start_streams(
@@ -235,9 +253,19 @@ def read_silver_changes(spark: SparkSession, layout: Layout) -> DataFrame:
 
 
 def read_change_counts(spark: SparkSession, layout: Layout) -> DataFrame:
-    """Streamed changes per (item, change type), in parts that are to be added up."""
-    schema = "item_id int, change_type_id int, n bigint, batch bigint"
-    return _read_streamed(spark, layout.change_counts, schema).drop("batch")
+    """Streamed changes per (item, change type)."""
+    return read_kept_counts(spark, layout.checkpoint("change_counts"))
+
+
+def read_day_sums(spark: SparkSession, layout: Layout) -> DataFrame:
+    """What streamed changes moved per (store, item, change type) and day."""
+    return read_kept_sums(spark, layout.checkpoint("day_sums"))
+
+
+def read_latest_snapshots(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The latest streamed count per (store, item)."""
+    checkpoint = layout.checkpoint("latest_inventory_snapshot")
+    return read_latest(spark, checkpoint, schemas.SNAPSHOT, SNAPSHOT_KEY, SEQUENCE, TIE_BREAK)
 
 
 def read_silver_snapshots(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -272,21 +300,32 @@ def refresh_gold(
 ) -> None:
     """Rewrite the gold tables from silver (every minute), below ``location`` if given.
 
-    Current inventory is stored first and the report reads the stored table, so it is
-    computed once. The report takes its changes from the streamed counts, not from the
-    history; it grows with the number of changes, and ``compact`` stores a count in place of
-    repeated rows.
+    The latest counts, and the numbers and daily sums of the changes, come from the state of
+    their streams. No count of the history is read, and of the changes only those of the days
+    on which a latest count was taken. Current inventory is stored first and the report reads
+    the stored table, so it is computed once; it grows with the number of changes, and
+    ``compact`` stores a count in place of repeated rows.
     """
     name_streamed_datasets(spark, database, layout)
-    changes = read_silver_changes(spark, layout)
-    latest = latest_snapshot(read_silver_snapshots(spark, layout))
-    _save(latest, database, "latest_inventory_snapshot", location)
+    _save(read_latest_snapshots(spark, layout), database, "latest_inventory_snapshot", location)
     latest = spark.table(f"{database}.latest_inventory_snapshot")
     stores = spark.table(f"{database}.store")
     change_types = spark.table(f"{database}.inventory_change_type")
-    gold = gold_datasets(changes, latest, stores, change_types)
-    _save(gold["inventory_current"], database, "inventory_current", location)
+    current = streamed_inventory(spark, layout, latest, stores, change_types)
+    _save(current, database, "inventory_current", location)
     current = spark.table(f"{database}.inventory_current")
     counted = read_change_counts(spark, layout)
     report = inventory_for_bi_of_counts(current, counted, change_types, compact)
     _save(report, database, "inventory_current_transformed", location)
+
+
+def streamed_inventory(
+    spark: SparkSession, layout: Layout, latest: DataFrame, stores: DataFrame, change_types: DataFrame
+) -> DataFrame:
+    """Current inventory from the kept sums, and from the changes of the days of the counts."""
+    days = changes_of_counted_days(read_silver_changes(spark, layout), latest)
+    return current_inventory_of_sums(
+        latest,
+        effective_sums(read_day_sums(spark, layout), stores, change_types),
+        effective_changes(days, stores, change_types),
+    )

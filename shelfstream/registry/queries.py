@@ -20,6 +20,7 @@ from shelfstream.operators import timeline as tm
 from shelfstream.operators import transactions as tx
 from shelfstream.plans.retail import (
     Layout,
+    read_latest_snapshots,
     read_silver_changes,
     refresh_gold,
     start_change_streams,
@@ -556,12 +557,13 @@ def stream_change_resend(spark, sf_dir):
 @_query
 def stream_latest_snapshot(spark, sf_dir):
     root = work_dir(spark, "count-stream")
-    landed, history, checkpoint = f"{root}/landed", f"{root}/history", f"{root}/checkpoint"
+    layout, landed = Layout(f"{root}/silver"), f"{root}/landed"
     # Newer counts arrive before older ones.
     for counts in reversed(_halves(fixtures.snapshots(spark, sf_dir))):
         _land(counts, landed)
-        append_stream(read_snapshot_stream(spark, landed), history, checkpoint).awaitTermination()
-    return sn.latest_snapshot(spark.read.schema(schemas.SNAPSHOT).parquet(history))
+        for query in start_snapshot_streams(read_snapshot_stream(spark, landed), layout):
+            query.awaitTermination()
+    return read_latest_snapshots(spark, layout)
 
 
 def _run_streams(spark: SparkSession, sf_dir: str) -> Layout:

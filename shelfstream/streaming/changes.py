@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from shelfstream.operators.changes import dedup_changes, flatten_events, parse_events
-from shelfstream.operators.inventory import count_changes
 
 
 def change_stream(raw: DataFrame, delay: str = "1 hour", mode: str = "exact") -> DataFrame:
@@ -45,19 +44,3 @@ def append_stream(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     return triggered(writer, interval).start()
-
-
-def count_stream(
-    changes: DataFrame, path: str, checkpoint: str, interval: str | None = None
-) -> StreamingQuery:
-    """Counts of each micro-batch per (item, change type), to be added up by readers.
-
-    A micro-batch writes one folder, named by its number, and overwrites it if it is run
-    again. A new checkpoint needs a new ``path``.
-    """
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        count_changes(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
-
-    writer = changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return triggered(writer, interval).start()

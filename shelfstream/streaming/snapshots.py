@@ -1,8 +1,7 @@
-"""The latest row per key, kept from a stream.
+"""The latest row per key, merged into a table.
 
-Where the catalog has tables with row-level changes, each micro-batch is merged into one.
-Elsewhere the history is kept as it comes, and the latest rows are taken from it when they
-are wanted (:func:`~shelfstream.operators.snapshots.latest_by_key`).
+For catalogs that have tables with row-level changes. Elsewhere the latest rows are kept in
+the state of a stream (:func:`~shelfstream.streaming.state.keep_latest`).
 """
 
 from __future__ import annotations
