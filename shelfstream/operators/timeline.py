@@ -1,10 +1,9 @@
-"""Ordering questions over all stores at once, without one global window.
+"""Ordering questions over all stores at once, without one window over all rows.
 
-Rows are first reduced to distinct times, before any shuffle. Those are looked at minute
-by minute, and one more window runs over one row per minute. A minute of times to the
-second has 60 rows (to the microsecond, 60 million at the very most), ten years have five
-million minutes: each window has a fixed size bound, whatever the share of rows that fall
-on one moment.
+Rows are shuffled into ranges of the order they are asked in, a range per partition. Each range
+is looked at by itself; what it has to know of the ranges before or after it is one row per
+range, which is carried over. Ranges are cut by what is there, not by the clock, and the order
+goes down to single rows, so a moment with a third of all rows is cut as well.
 """
 
 from __future__ import annotations
@@ -14,74 +13,65 @@ from pyspark.sql import functions as F
 
 TXN = ["date_time", "trans_id"]
 
-_FROM_START = Window.unboundedPreceding
+_BEFORE = (Window.unboundedPreceding, -1)
+_SO_FAR = (Window.unboundedPreceding, 0)
 
 
-def _nearest(points: DataFrame, by: list[str], forward: bool) -> DataFrame:
-    """For distinct times: the nearest ``hit`` before the time, or (forward) not before it.
+def _in_ranges(rows: DataFrame, order: list[str]) -> DataFrame:
+    """``rows`` in ranges of ``order``, numbered by ``range``.
 
-    ``points`` has the columns ``by``, ``time``, ``hit`` (``time`` or NULL) and ``asked``:
-    whether an answer is wanted. It is added as ``nearest``. Both directions run as frames
-    that grow from the start, which Spark evaluates in one pass.
+    ``order`` names all columns, so that readers of some columns share one shuffle. The number of ranges is that of shuffle partitions. It is given, so that adaptive execution
+    does not join ranges, and each reader of them sees the same numbers.
     """
-    pick = F.min if forward else F.max
-    order = F.desc if forward else F.asc
-    in_minute = (
-        Window.partitionBy(*by, "minute")
-        .orderBy(order("time"))
-        .rowsBetween(_FROM_START, 0 if forward else -1)
-    )
-    over_minutes = (
-        Window.partitionBy(*by).orderBy(order("minute")).rowsBetween(_FROM_START, -1)
-    )
-    rows = points.withColumn("minute", F.date_trunc("minute", "time")).withColumn(
-        "within", pick("hit").over(in_minute)
-    )
-    minutes = (
-        rows.groupBy(*by, "minute")
-        .agg(pick("hit").alias("hit"))
-        .select(*by, "minute", pick("hit").over(over_minutes).alias("beyond"))
-    )
+    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartitionByRange(ranges, *order).withColumn("range", F.spark_partition_id())
+
+
+def _carried(rows: DataFrame, by: list[str], column: str, forward: bool) -> DataFrame:
+    """(by, range, carried): the nearest ``column`` in the ranges before, or (forward) after.
+
+    One row per range, and per group of ``by`` in it.
+    """
+    pick, order = (F.min, F.desc("range")) if forward else (F.max, F.asc("range"))
+    beyond = Window.partitionBy(*by).orderBy(order).rowsBetween(*_BEFORE)
     return (
-        rows.filter("asked")
-        .join(minutes, [*by, "minute"])
-        .withColumn("nearest", F.coalesce("within", "beyond"))
-        .drop("minute", "within", "beyond", "asked")
+        rows.groupBy(*by, "range").agg(pick(column).alias("own"))
+        .select(*by, "range", pick("own").over(beyond).alias("carried"))
     )
 
 
+def _with_carried(rows: DataFrame, carried: DataFrame, by: list[str]) -> DataFrame:
+    names = {c: f"_{c}" for c in [*by, "range"]}
+    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items() if c != "range"]
+    return rows.join(
+        carried.withColumnsRenamed(names), [F.col("range") == F.col("_range"), *same], "left"
+    ).drop(*names.values())
+
+
 def event_gaps(txns: DataFrame, by_store: bool = False) -> DataFrame:
     """Seconds between each transaction and the one before it.
 
     Order is (date_time, trans_id) over all stores, or per store. ``gap_seconds`` is in
     whole seconds, 0 for the first transaction and for all but the first of one moment.
-    Rows of one transaction, such as its lines, count once.
+    Rows of one transaction, such as its lines, count once; they are combined before they are
+    shuffled. Undated transactions have no gap.
     """
     by = ["store_id"] if by_store else []
-    # Only the first transaction of a moment has a gap.
-    moments = (
-        txns.filter(F.col("date_time").isNotNull())
-        .groupBy(*by, "date_time")
-        .agg(F.min(F.struct("trans_id")).alias("first"))
-        .withColumnsRenamed({"date_time": "time"})
-    )
-    points = moments.withColumns({"hit": F.col("time"), "asked": F.lit(True)})
-    before = _nearest(points, by, forward=False)
-    whole_seconds = F.coalesce(F.timestamp_diff("SECOND", "nearest", "time"), F.lit(0))
-    gaps = before.select(
-        *by,
-        F.col("time").alias("date_time"),
-        "first.trans_id",
-        F.greatest(whole_seconds, F.lit(0)).alias("gap"),
-    )
-    # The gaps meet their transactions in an aggregate, which combines before its shuffle,
-    # rather than in a join.
-    merged = txns.select("store_id", *TXN, F.lit(0).cast("bigint").alias("gap")).unionByName(
-        gaps, allowMissingColumns=True
-    )
     own = [] if by_store else [F.min("store_id").alias("store_id")]
-    gap = F.max("gap").alias("gap_seconds")
-    return merged.groupBy(*by, *TXN).agg(*own, gap).select("store_id", *TXN, "gap_seconds")
+    if by_store:
+        each = txns.select("store_id", *TXN).distinct()
+    else:
+        each = txns.groupBy(*TXN).agg(*own)
+    rows = _in_ranges(each, [*by, *TXN] if by_store else [*TXN, "store_id"])
+    in_range = Window.partitionBy(*by, "range").orderBy(*TXN)
+    before = rows.withColumn("before", F.lag("date_time").over(in_range))
+    carried = _carried(rows, by, "date_time", forward=False)
+    # An undated one, or one of the same moment, may be the last; neither makes a gap.
+    last = F.coalesce("before", "carried")
+    gap = F.coalesce(F.timestamp_diff("SECOND", last, "date_time"), F.lit(0))
+    return _with_carried(before, carried, by).select(
+        "store_id", *TXN, F.greatest(gap, F.lit(0)).alias("gap_seconds")
+    )
 
 
 def snapshot_times(snapshots: DataFrame) -> DataFrame:
@@ -96,21 +86,28 @@ def snapshot_release(
 
     A count is sent just before that change. ``release_time`` is NULL where no change
     follows. Changes of any store release a count unless ``by_store`` is set.
+
+    Counts and changes are put in one order, a change after the counts of its moment, and
+    passed once from the end.
     """
-    by = ["store_id"] if by_store else []
-    counts = snapshots.select("store_id", "date_time").distinct()
-    time = F.col("date_time")
-    hits = changes.select(*by, time.alias("time"), time.alias("hit"), F.lit(False).alias("asked"))
-    marks = counts.select(*by, time.alias("time"), F.lit(True).alias("asked"))
-    points = (
-        hits.unionByName(marks, allowMissingColumns=True)
-        .filter(F.col("time").isNotNull())
-        .groupBy(*by, "time")
-        .agg(F.max("hit").alias("hit"), F.max("asked").alias("asked"))
-    )
-    after = _nearest(points, by, forward=True).select(
-        *by, F.col("time").alias("date_time"), F.col("nearest").alias("release_time")
+    by = ["of_store"] if by_store else []
+    of_store = [F.col("store_id").alias("of_store")] if by_store else []
+    counts = snapshots.select(
+        *of_store, "store_id", F.col("date_time").alias("time"), F.lit(None).cast("timestamp").alias("hit")
     )
-    return counts.join(after, [*by, "date_time"], "left").select(
-        "store_id", "date_time", "release_time"
+    hits = changes.select(*of_store, F.col("date_time").alias("time"), F.col("date_time").alias("hit"))
+    marks = counts.distinct().unionByName(
+        hits.filter("time IS NOT NULL").distinct(), allowMissingColumns=True
+    ).withColumn("is_hit", F.col("hit").isNotNull())
+    order = ["time", "is_hit", "store_id"]
+    rows = _in_ranges(marks, [*by, *order, "hit"])
+    from_end = Window.partitionBy(*by, "range").orderBy(*[F.desc(c) for c in order]).rowsBetween(*_SO_FAR)
+    after = rows.withColumn("after", F.min("hit").over(from_end))
+    # Counts without a time, or without a store where that matters, meet no change.
+    meets = F.col("time").isNotNull()
+    for c in by:
+        meets &= F.col(c).isNotNull()
+    release = F.when(meets, F.coalesce("after", "carried"))
+    return _with_carried(after, _carried(rows, by, "hit", forward=True), by).filter(~F.col("is_hit")).select(
+        "store_id", F.col("time").alias("date_time"), release.alias("release_time")
     )

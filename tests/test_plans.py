@@ -138,16 +138,38 @@ def test_report_counts_changes_before_its_join(data):
     assert "partial_count(1)" in inner
 
 
-def test_time_order_needs_no_window_over_all_rows(data):
-    for df in (
-        event_gaps(data["changes"]),
-        snapshot_release(data["counts"], data["changes"]),
+def scans(plan: str, tables: int) -> None:
+    """As many scans as tables: what is read twice comes from one exchange."""
+    final = plan.split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet", final)) == tables
+    assert "ReusedExchange" in final
+
+
+def test_time_order_goes_by_ranges(data):
+    for df, tables in (
+        (event_gaps(data["changes"]), 1),
+        (snapshot_release(data["counts"], data["changes"]), 2),
     ):
-        plan = plan_of(df, final=False)
-        # The one unpartitioned window is over a row per minute.
-        single = plan.split("Exchange SinglePartition")[1:]
+        plan = plan_of(df)
+        scans(plan, tables)
+        # The one unpartitioned window is over a row per range.
+        single = plan.split("== Initial Plan ==")[0].split("Exchange SinglePartition")[1:]
         assert len(single) == 1
-        assert re.match(r"[^\n]*\n[^\n]*HashAggregate\(keys=\[minute", single[0])
+        assert re.search(r"HashAggregate\(keys=\[range", single[0].split("Exchange", 1)[0])
+        assert "Exchange rangepartitioning" in plan
+
+
+@pytest.mark.parametrize("by_store", [False, True])
+def test_a_hot_moment_is_cut_into_ranges(data, spark, by_store):
+    """Half of all transactions are of one moment; no range holds them all."""
+    hot = data["changes"].withColumn(
+        "date_time", F.expr("CASE WHEN item_id = 7 THEN timestamp '2021-01-01 00:10:00' ELSE date_time END")
+    )
+    sizes = event_gaps(hot, by_store).groupBy(F.spark_partition_id()).count().collect()
+    plan = plan_of(event_gaps(hot, by_store), final=False)
+    asc = "store_id#\\d+ ASC NULLS FIRST, " if by_store else ""
+    assert re.search(rf"Exchange rangepartitioning\({asc}date_time#\d+ ASC NULLS FIRST, trans_id", plan)
+    assert sum(r["count"] for r in sizes) == hot.count()
 
 
 def test_first_transactions_are_found_by_their_keys(data):
