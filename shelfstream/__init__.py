@@ -28,6 +28,7 @@ from shelfstream.operators.transactions import (
     assemble_transactions,
     first_transactions,
     split_documents,
+    split_lines,
     strip_braces,
     to_documents,
 )
@@ -60,6 +61,7 @@ __all__ = [
     "snapshot_release",
     "snapshot_times",
     "split_documents",
+    "split_lines",
     "strip_braces",
     "to_documents",
     "upsert_latest",

@@ -176,7 +176,7 @@ def txn_json_roundtrip(spark, sf_dir):
 
 @_query
 def txn_split(spark, sf_dir):
-    return tx.to_documents(tx.split_documents(_transactions(spark, sf_dir), SPLIT_OCTETS))
+    return tx.to_documents(tx.split_lines(_lines(spark, sf_dir), SPLIT_OCTETS))
 
 
 @_query

@@ -22,6 +22,7 @@ from shelfstream.operators.transactions import (
     assemble_first_transactions,
     assemble_transactions,
     split_documents,
+    split_lines,
 )
 from shelfstream.sources import read_change_type, read_landed_snapshots, read_store
 
@@ -172,11 +173,23 @@ def test_a_hot_moment_is_cut_into_ranges(data, spark, by_store):
     assert sum(r["count"] for r in sizes) == hot.count()
 
 
-def test_first_transactions_are_found_by_their_keys(data):
+def test_partitions_send_lines_of_first_transactions_only(data, conf):
+    plan = plan_of(assemble_first_transactions(data["changes"], 5), final=False)
+    assert plan.count("FileScan") == 1
+    # A limit under each of both shuffles of lines: of the shares and of all.
+    for shuffle in ("Exchange hashpartitioning(_share", "Exchange SinglePartition"):
+        assert re.match(r"[^\n]*\n[^\n]*WindowGroupLimit [^\n]*dense_rank\([^\n]*, 5, Partial", plan.split(shuffle)[1])
+    conf(optimizer__windowGroupLimitThreshold="4")
     plan = plan_of(assemble_first_transactions(data["changes"], 5), final=False)
     assert "TakeOrderedAndProject(limit=5" in plan
-    below_lists = plan.split("collect_list", 1)[1]
-    assert "BroadcastHashJoin" in below_lists or "SortMergeJoin" in below_lists
+
+
+def test_long_transactions_are_known_before_lists(data):
+    plan = plan_of(split_lines(data["changes"]), final=False)
+    lists, lengths = plan.split("Join", 1)
+    assert "collect_list" in lists and "collect_list" not in lengths
+    assert "partial_sum" in lengths
+    assert re.search(r"Exchange hashpartitioning\(date_time#\d+, trans_id#\d+, _long#\d+, _line", lists)
 
 
 def test_transactions_read_and_shuffle_their_lines_once(data):

@@ -14,9 +14,11 @@ from shelfstream import (
     parse_events,
     schemas,
     split_documents,
+    split_lines,
     strip_braces,
     to_documents,
 )
+from shelfstream.operators import transactions
 from shelfstream.operators.changes import CHANGE_COLUMNS
 from shelfstream.sinks import to_envelope
 
@@ -157,3 +159,53 @@ def test_round_trip_through_messages(spark):
     assert messages.select("partition", "offset").distinct().count() == messages.count()
     got = dedup_changes(flatten_events(parse_events(messages)))
     assert rows(got) == rows(df.select(*CHANGE_COLUMNS))
+
+
+def _some_lines(seed, n=300):
+    rng = random.Random(seed)
+    return [
+        (rng.choice(["A", "B", "Cé", None, "D" * 40]), rng.choice([1, 22, None]), rng.choice([0, 1, None]),
+         rng.choice([T1, T2, None]), rng.choice([-3, 5, None]), rng.choice([1, 2, None]))
+        for _ in range(n)
+    ]
+
+
+@pytest.mark.parametrize("limit", [0, 150, 300, 600, 2_000, 10**6])
+@pytest.mark.parametrize("form", [None, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"])
+def test_lengths_first_gives_the_same_documents(spark, monkeypatch, limit, form):
+    monkeypatch.setattr(transactions, "_REPEATS", 3)
+    df = lines(spark, _some_lines(limit)).repartition(3)
+    want = to_documents(split_documents(assemble_transactions(df), limit, form), form)
+    got = to_documents(split_lines(df, limit, form), form)
+    assert got.columns == want.columns
+    assert rows(got) == rows(want)
+
+
+def test_a_transaction_with_a_third_of_all_lines_never_becomes_a_list(spark, conf):
+    conf(adaptive__coalescePartitions__enabled="false")
+    hot = spark.range(60_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE cast(id AS string) END AS trans_id", "cast(id AS int) AS item_id",
+        "1 AS store_id", "timestamp '2021-01-01' AS date_time", "cast(id % 7 AS int) AS quantity", "1 AS change_type_id",
+    )
+    cut = split_lines(hot, 1_000)
+    sizes = cut.groupBy("trans_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.size("items")).alias("most"))
+    assert rows(sizes.filter("trans_id = 'hot'")) == [("hot", 20_000, 1)]
+    assert sizes.filter("n = 1 AND most = 1").count() == 40_000
+    # Its lines go to several tasks.
+    held = cut.filter("trans_id = 'hot'").groupBy(F.spark_partition_id()).count().collect()
+    assert len(held) == 4 and max(r["count"] for r in held) < 7_000
+
+
+def test_no_lines(spark):
+    assert split_lines(lines(spark, [])).collect() == []
+    assert assemble_first_transactions(lines(spark, []), 3).collect() == []
+
+
+@pytest.mark.parametrize("n", [1, 3, 7, 50])
+def test_first_transactions_with_ties_and_nulls(spark, conf, n):
+    df = lines(spark, _some_lines(n)).repartition(5)
+    want = plain(assemble_transactions(df).orderBy("date_time", "trans_id").limit(n))
+    got = assemble_first_transactions(df, n)
+    assert plain(got) == want
+    conf(optimizer__windowGroupLimitThreshold="2")
+    assert plain(assemble_first_transactions(df, n)) == want
