@@ -247,6 +247,14 @@ ORACLE_SQL: dict[str, str] = {
     "event_gap": _gap(""),
     "event_gap_by_store": _gap("store_id, "),
     "item_count_distinct": "SELECT count(DISTINCT p_partkey) AS items FROM part",
+    "item_count_by_span": _with(
+        " UNION ALL ".join(
+            f"""SELECT '{unit}' AS span, cast(date_trunc('{unit}', date_time) AS date) AS start,
+              count(DISTINCT item_id) AS items, true AS estimate_near FROM chg GROUP BY 2"""
+            for unit in ("day", "month", "year")
+        ),
+        "chg",
+    ),
     "fn_trim_braces": _with(
         """SELECT trans_id AS raw_id, substr(trans_id, 2, length(trans_id) - 2) AS trans_id
         FROM raw_lines""",
@@ -313,6 +321,25 @@ ORACLE_SQL: dict[str, str] = {
         WHERE epoch(date_time) >= cut OR date_time > hi - INTERVAL 1 HOUR""",
         "chg",
     ),
+    # What is sent: each change, sales twice, and a message that is no document for each error.
+    # Those all become one change of nothing. The earlier part comes last and is late but for
+    # what lies within an hour of the newest; undated changes never are.
+    "stream_change_account": _with(
+        f"""SELECT cast(sum(copies + broken) AS bigint) AS messages,
+          cast(sum(broken) AS bigint) AS unparseable,
+          cast(sum(copies + broken) AS bigint) AS changes,
+          cast(sum(CASE WHEN date_time IS NULL THEN copies ELSE 0 END + broken) AS bigint) AS undated,
+          cast(sum(CASE WHEN late THEN copies ELSE 0 END) AS bigint) AS late,
+          cast(sum(CASE WHEN late THEN 0 ELSE copies - 1 END + broken)
+            - least(sum(broken), 1) AS bigint) AS repeated,
+          cast(sum(CASE WHEN late THEN 0 ELSE 1 END) + least(sum(broken), 1) AS bigint) AS kept
+        FROM (SELECT *, CASE change_type_id WHEN 1 THEN 2 ELSE 1 END AS copies,
+            CASE change_type_id WHEN 2 THEN 1 ELSE 0 END AS broken,
+            date_time IS NOT NULL AND epoch(date_time) < cut AND date_time <= hi - INTERVAL 1 HOUR AS late
+          FROM ({_UNDATED}), (SELECT max(date_time) AS hi,
+            (floor(epoch(min(date_time))) + floor(epoch(max(date_time)))) / 2 AS cut FROM ({_UNDATED})))""",
+        "chg",
+    ),
     "stream_latest_snapshot": _LATEST,
     "stream_snapshot_history": _with("SELECT * FROM snap", "snap"),
     "stream_raw_changes": _documents(

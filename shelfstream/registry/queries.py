@@ -6,6 +6,7 @@ as text, so that results compare by value.
 
 from __future__ import annotations
 
+import dataclasses
 import functools
 from collections.abc import Callable
 
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from shelfstream import fixtures, functions, schemas, session
 from shelfstream.operators import changes as ch
+from shelfstream.operators import distinct as di
 from shelfstream.operators import inventory as inv
 from shelfstream.operators import snapshots as sn
 from shelfstream.operators import timeline as tm
@@ -50,7 +52,13 @@ from shelfstream.sources import (
     read_store,
 )
 from shelfstream.storage import child_names, work_dir
-from shelfstream.streaming import append_stream, change_stream, refresh_with
+from shelfstream.streaming import (
+    account_of,
+    accounted_changes,
+    append_stream,
+    change_stream,
+    refresh_with,
+)
 from shelfstream.streaming.changes import triggered
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -253,6 +261,22 @@ def item_count_distinct(spark, sf_dir):
     return inv.distinct_items(fixtures.items(spark, sf_dir))
 
 
+@_query
+def item_count_by_span(spark, sf_dir):
+    # Sketched in two parts, which share a day or more, and merged; next to the exact counts.
+    changes, path = fixtures.changes(spark, sf_dir), work_dir(spark, "sketches")
+    for some in _halves(changes):
+        di.item_sketches(some).write.mode("append").parquet(path)
+    sketches, off = spark.read.parquet(path), di.sketch_error()
+    spans = []
+    for unit in ("day", "month", "year"):
+        about = di.distinct_items_of_sketches(sketches, unit).withColumnRenamed("items", "about")
+        both = di.distinct_items_by(changes, unit).join(about, "start", "full")
+        near = F.abs(F.col("about") - F.col("items")) <= F.col("items") * off
+        spans.append(both.select(F.lit(unit).alias("span"), "start", "items", near.alias("estimate_near")))
+    return functools.reduce(DataFrame.unionByName, spans)
+
+
 @_query
 def fn_trim_braces(spark, sf_dir):
     return fixtures.lines(spark, sf_dir).select(
@@ -529,6 +553,27 @@ def stream_late_changes(spark, sf_dir):
     return spark.read.parquet(out).select(*ch.CHANGE_COLUMNS)
 
 
+@_query
+def stream_change_account(spark, sf_dir):
+    root = work_dir(spark, "change-account")
+    raw, out, checkpoint = f"{root}/raw", f"{root}/changes", f"{root}/checkpoint"
+    found = None
+    # The later part first. Sales are sent twice, and a broken copy of each error.
+    for changes in reversed(_halves(_with_undated(fixtures.changes(spark, sf_dir)))):
+        documents = tx.to_documents(tx.assemble_transactions(changes), _MICROS)
+        broken = documents.filter("change_type_id = 2").withColumn("document", F.concat(F.lit("?"), "document"))
+        _send(documents.unionByName(documents.filter("change_type_id = 1")).unionByName(broken), raw)
+        query = append_stream(
+            accounted_changes(read_change_stream(spark, "parquet", {"path": raw})), out, checkpoint
+        )
+        query.awaitTermination()
+        account = account_of(query.recentProgress)
+        found = account if found is None else found + account
+    assert spark.read.parquet(out).count() == found.kept
+    numbers = dataclasses.asdict(found)
+    return spark.createDataFrame([tuple(numbers.values())], ", ".join(f"{n} bigint" for n in numbers))
+
+
 def _with_undated(changes: DataFrame) -> DataFrame:
     """Every seventh change has no time."""
     undated = F.col("trans_id").cast("bigint") % 7 == 0

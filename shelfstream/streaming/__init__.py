@@ -1,5 +1,6 @@
 """Structured Streaming forms of the operators."""
 
+from shelfstream.streaming.account import Account, account_of, accounted_changes
 from shelfstream.streaming.changes import append_stream, change_stream
 from shelfstream.streaming.refresh import refresh_every, refresh_with
 from shelfstream.streaming.snapshots import merge_statement, upsert_latest
@@ -15,6 +16,9 @@ from shelfstream.streaming.state import (
 )
 
 __all__ = [
+    "Account",
+    "account_of",
+    "accounted_changes",
     "append_stream",
     "change_stream",
     "keep_change_counts",

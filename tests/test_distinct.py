@@ -1,0 +1,65 @@
+"""Sketches of distinct items against exact counts."""
+
+import datetime as dt
+
+import pytest
+from conftest import plan_of, rows
+from pyspark.sql import functions as F
+
+from shelfstream import schemas
+from shelfstream.operators.distinct import (
+    distinct_items_by,
+    distinct_items_of_sketches,
+    item_sketches,
+    sketch_error,
+)
+
+
+@pytest.fixture(scope="module")
+def changes(spark):
+    """40 days of changes; half of them of one item, 60,000 items in all."""
+    return spark.range(200_000).selectExpr(
+        "cast(id AS string) AS trans_id", "1 AS store_id",
+        "timestamp '2021-01-01' + make_interval(0, 0, 0, cast(id % 40 AS int)) AS date_time",
+        "1 AS change_type_id", "cast(CASE WHEN id % 2 = 0 THEN 7 ELSE hash(id) % 30000 END AS int) AS item_id",
+        "1 AS quantity",
+    )
+
+
+@pytest.mark.parametrize("unit", ["day", "month", "year"])
+def test_merged_parts_are_near_the_exact_counts(spark, changes, unit, tmp_path):
+    for part in range(3):
+        some = changes.filter(F.pmod(F.xxhash64("trans_id"), F.lit(3)) == part)
+        item_sketches(some).write.mode("append").parquet(str(tmp_path / "sketches"))
+    about = distinct_items_of_sketches(spark.read.parquet(str(tmp_path / "sketches")), unit)
+    exact = {r.start: r["items"] for r in distinct_items_by(changes, unit).collect()}
+    found = {r.start: r["items"] for r in about.collect()}
+    assert set(found) == set(exact) and len(exact) == {"day": 40, "month": 2, "year": 1}[unit]
+    assert all(abs(found[k] - n) <= n * sketch_error() for k, n in exact.items())
+
+
+def test_parts_merge_to_the_sketch_of_the_whole(changes):
+    some = item_sketches(changes.filter("item_id < 100")).unionByName(item_sketches(changes.filter("item_id >= 100")))
+    whole = distinct_items_of_sketches(item_sketches(changes), "month")
+    merged = {r.start: r["items"] for r in distinct_items_of_sketches(some, "month").collect()}
+    for r in whole.collect():
+        assert abs(merged[r.start] - r["items"]) <= 0.02 * r["items"]
+
+
+def test_more_registers_are_nearer():
+    assert sketch_error(14) < sketch_error(12) < 0.05
+
+
+def test_undated_changes_no_items_and_no_rows(spark):
+    when = dt.datetime(2021, 1, 1, 5)
+    data = [("a", 1, when, 1, 1, 1), ("b", 1, None, 1, 2, 1), ("c", 1, when, 1, None, 1), ("d", 1, when, 1, 1, 1)]
+    df = spark.createDataFrame(data, schemas.CHANGE)
+    assert rows(distinct_items_by(df, "day")) == [(when.date(), 1)]
+    assert rows(distinct_items_of_sketches(item_sketches(df), "day")) == [(when.date(), 1)]
+    assert distinct_items_of_sketches(item_sketches(df.limit(0)), "day").collect() == []
+
+
+def test_a_task_sends_a_sketch_a_day(changes):
+    plan = plan_of(item_sketches(changes), final=False)
+    below = plan.split("Exchange hashpartitioning", 1)[1]
+    assert "partial_hll_sketch_agg" in below
