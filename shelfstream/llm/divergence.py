@@ -217,14 +217,15 @@ def source_divergences(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int
     named = lambda df: df.select("lang", F.inline("sources"))
     groups = named(counts.filter("term IS NULL")).drop("n")
     totals = named(kept).groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    # One row per language: how much there is of it, and how it is cut.
-    langs = groups.groupBy("lang").agg(F.count(F.lit(1)).alias("sources")).join(
+    # One row per language: how much there is of it, and how it is cut. Stored, so that its size is
+    # known and Spark broadcasts it if it is small, in place of dealing the terms out by language.
+    langs = keep(groups.groupBy("lang").agg(F.count(F.lit(1)).alias("sources")).join(
         kept.groupBy("lang").agg(F.sum("n").alias("of_lang"), F.count(F.lit(1)).alias("kept")),
         "lang", "left",
     ).na.fill(0, ["of_lang", "kept"]).withColumns({
         "shards": F.greatest(F.ceil(F.col("kept") / SHARD_TERMS), F.lit(1)),
         "blocks": F.ceil(F.col("sources") / BLOCK_SOURCES),
-    }).drop("sources")
+    }).drop("sources"), "languages")
     upto = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n) - 1)
     block_of = lambda source: F.pmod(F.xxhash64(source), F.col("blocks"))
     # A shard holds sources of block i and of block j, i <= j.
@@ -262,7 +263,9 @@ def source_divergences(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int
 
     tile = ["lang", "i", "j", "shard"]
     found = sources.groupBy(*tile).cogroup(dealt.groupBy(*tile)).applyInArrow(run, _FOUND)
-    summed = found.groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value"))
+    summed = keep(
+        found.groupBy("lang", "source", "part", "item").agg(F.sum("value").alias("value")), "divergences"
+    )
     order = Window.partitionBy("lang", "source", "part").orderBy(F.desc("value"), "item")
     of_part = lambda part: summed.filter(F.col("part") == part).withColumn("rank", F.row_number().over(order))
     # Apart, so that the terms beyond the last rank go before they are shuffled.
