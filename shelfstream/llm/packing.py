@@ -17,8 +17,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfstream.llm.common import free_name, keep, read_table
-from shelfstream.llm.simhash import simhash_groups
+from shelfstream.llm.common import keep, read_table
+from shelfstream.llm.simhash import fingerprints, linked_fingerprints
 
 #: Length of a sequence, in the unit of the documents' length.
 CAPACITY = 8_192
@@ -122,16 +122,18 @@ def pack_documents(
     return pieces.repartition(groups).mapInArrow(run, _PACKED)
 
 
-def with_cluster(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with ``cluster``, a number that near copies share (:mod:`.simhash`).
+def with_cluster(docs: DataFrame, carry: list[str]) -> DataFrame:
+    """(doc_id, the columns ``carry``, cluster) per row of ``docs``, in no order.
 
-    ``docs`` must be read from files, so that its rows come in the same order whenever they are read.
+    ``cluster`` is a number that near copies share (:mod:`.simhash`), a fingerprint of theirs.
+    Texts are read once; what is carried along is joined by the fingerprint, and only with the
+    fingerprints that have a link. A NULL text is an empty one; empty texts are copies.
     """
-    row = free_name(docs, "_row")
-    rows = docs.withColumn(row, F.monotonically_increasing_id())
-    groups = simhash_groups(rows.select(F.col(row).alias("doc_id"), "text"))
-    groups = groups.select(F.col("doc_id").alias(row), F.col("component_id").alias("cluster"))
-    return rows.drop("cluster").join(groups, row).drop(row)
+    marks = keep(fingerprints(docs, carry=carry), "marks")
+    roots = linked_fingerprints(keep(marks.select("fp").distinct(), "fingerprints"))
+    return marks.join(roots, "fp", "left").select(
+        "doc_id", *carry, F.coalesce("root", "fp").alias("cluster")
+    )
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,5 +141,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select(
         "doc_id", "source", "text", F.octet_length("text").alias("size")
     )
-    sized = keep(with_cluster(docs).drop("text"), "clusters")
+    sized = keep(with_cluster(docs, ["source", "size"]), "clusters")
     return pack_documents(sized, length=F.col("size"), cluster=F.col("cluster"))

@@ -58,23 +58,28 @@ def fingerprint_of(text: str, words_per_shingle: int = WORDS_PER_SHINGLE) -> int
     return int.from_bytes(np.packbits(2 * ones > total, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, words_per_shingle: int = WORDS_PER_SHINGLE) -> DataFrame:
-    """(doc_id, fp) per row; ``fp`` is the fingerprint as a signed bigint.
+def fingerprints(
+    docs: DataFrame, words_per_shingle: int = WORDS_PER_SHINGLE, carry: list[str] | None = None
+) -> DataFrame:
+    """(doc_id, fp) per row, and the columns ``carry``; ``fp`` is the fingerprint as a signed bigint.
 
     ``docs`` needs ``doc_id`` and ``text``. A NULL or empty text has fingerprint zero. Long
     texts are hashed in blocks.
     """
+    carry = carry or []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 1000):
             marks = [fingerprint_of(t, words_per_shingle) for t in texts_of(batch, "text")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(np.array(marks, dtype="<u8").view("<i8"))],
-                names=["doc_id", "fp"],
+                [batch.column("doc_id"), pa.array(np.array(marks, dtype="<u8").view("<i8")),
+                 *[batch.column(c) for c in carry]],
+                names=["doc_id", "fp", *carry],
             )
 
-    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return plain.mapInArrow(run, "doc_id long, fp long")
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *carry)
+    more = "".join(f", {c} {plain.schema[c].dataType.simpleString()}" for c in carry)
+    return plain.mapInArrow(run, f"doc_id long, fp long{more}")
 
 
 # ---------------------------------------------------------------- the grid
@@ -261,25 +266,36 @@ def _meet_in_blocks(waiting: DataFrame, max_bits: int, point_rows: int) -> DataF
     return pairs.groupBy("cell", "i", "j").applyInPandas(run, "u long, v long")
 
 
-def fingerprint_groups(
-    marks: DataFrame, max_bits: int = MAX_BITS, point_rows: int = POINT_ROWS
+def linked_fingerprints(
+    distinct: DataFrame, max_bits: int = MAX_BITS, point_rows: int = POINT_ROWS
 ) -> DataFrame:
-    """(fp, component_id) per distinct fingerprint of ``marks`` (doc_id, fp).
+    """(fp, root) for each of the different fingerprints ``distinct`` (fp) that has a link.
 
-    Fingerprints that differ in ``max_bits`` bits or fewer are linked; ``component_id`` is the
-    smallest ``doc_id`` of the documents reachable. Copies are reduced to one row before the
-    first shuffle and never listed as pairs.
+    Fingerprints that differ in ``max_bits`` bits or fewer are linked; those that reach each
+    other have the same root, one of them.
     """
     if not 0 <= max_bits <= 8:
         raise ValueError("max_bits from 0 to 8")
     radius = (max_bits // 2 + 1) // 2
-    distinct = keep(marks.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprints")
     found = keep(_meet(_to_grid(distinct, radius), max_bits, radius, point_rows), "links")
     links = found.filter(~F.col("waits")).select("u", "v")
     waiting = found.filter("waits").select(F.col("u").alias("cell"), F.col("v").alias("fp"))
     if not waiting.isEmpty():
         links = links.unionByName(_meet_in_blocks(waiting, max_bits, point_rows))
-    roots = components(links).withColumnsRenamed({"node": "fp"})
+    return components(links).withColumnsRenamed({"node": "fp"})
+
+
+def fingerprint_groups(
+    marks: DataFrame, max_bits: int = MAX_BITS, point_rows: int = POINT_ROWS
+) -> DataFrame:
+    """(fp, component_id) per distinct fingerprint of ``marks`` (doc_id, fp).
+
+    Fingerprints that differ in ``max_bits`` bits or fewer are linked; ``component_id`` is the
+    smallest ``doc_id`` of the documents reachable. Copies are reduced to one row before the
+    first shuffle and never listed as pairs.
+    """
+    distinct = keep(marks.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprints")
+    roots = linked_fingerprints(distinct, max_bits, point_rows)
     rooted = distinct.join(roots, "fp", "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
