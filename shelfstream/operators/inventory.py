@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfstream.functions import or_zero, store_label
 from shelfstream.operators.fanout import repeat_rows
+from shelfstream.operators.ranking import numbered
 
 STOCK_KEY = ["store_id", "item_id"]
 
@@ -148,7 +149,16 @@ def newest_first(current: DataFrame) -> DataFrame:
 
     The key decides between equal times, so that many equal ones spread over the sort.
     """
-    return current.orderBy(F.desc("date_time"), *STOCK_KEY)
+    return current.orderBy(*_newest_first())
+
+
+def _newest_first() -> list[Column]:
+    return [F.desc("date_time"), *[F.asc(c) for c in STOCK_KEY]]
+
+
+def numbered_newest_first(current: DataFrame) -> DataFrame:
+    """Each row with its place in the order of :func:`newest_first`, from 1 on, as ``position``."""
+    return numbered(current, _newest_first())
 
 
 def current_inventory_by_quantity(latest: DataFrame, effective: DataFrame) -> DataFrame:

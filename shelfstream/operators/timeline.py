@@ -11,22 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfstream.operators.ranking import in_ranges
+
 TXN = ["date_time", "trans_id"]
 
 _BEFORE = (Window.unboundedPreceding, -1)
 _SO_FAR = (Window.unboundedPreceding, 0)
 
 
-def _in_ranges(rows: DataFrame, order: list[str]) -> DataFrame:
-    """``rows`` in ranges of ``order``, numbered by ``range``.
-
-    ``order`` names all columns, so that readers of some columns share one shuffle. The number of ranges is that of shuffle partitions. It is given, so that adaptive execution
-    does not join ranges, and each reader of them sees the same numbers.
-    """
-    ranges = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartitionByRange(ranges, *order).withColumn("range", F.spark_partition_id())
-
-
 def _carried(rows: DataFrame, by: list[str], column: str, forward: bool) -> DataFrame:
     """(by, range, carried): the nearest ``column`` in the ranges before, or (forward) after.
 
@@ -62,7 +54,7 @@ def event_gaps(txns: DataFrame, by_store: bool = False) -> DataFrame:
         each = txns.select("store_id", *TXN).distinct()
     else:
         each = txns.groupBy(*TXN).agg(*own)
-    rows = _in_ranges(each, [*by, *TXN] if by_store else [*TXN, "store_id"])
+    rows = in_ranges(each, [*by, *TXN] if by_store else [*TXN, "store_id"])
     in_range = Window.partitionBy(*by, "range").orderBy(*TXN)
     before = rows.withColumn("before", F.lag("date_time").over(in_range))
     carried = _carried(rows, by, "date_time", forward=False)
@@ -100,7 +92,7 @@ def snapshot_release(
         hits.filter("time IS NOT NULL").distinct(), allowMissingColumns=True
     ).withColumn("is_hit", F.col("hit").isNotNull())
     order = ["time", "is_hit", "store_id"]
-    rows = _in_ranges(marks, [*by, *order, "hit"])
+    rows = in_ranges(marks, [*by, *order, "hit"])
     from_end = Window.partitionBy(*by, "range").orderBy(*[F.desc(c) for c in order]).rowsBetween(*_SO_FAR)
     after = rows.withColumn("after", F.min("hit").over(from_end))
     # Counts without a time, or without a store where that matters, meet no change.

@@ -165,6 +165,14 @@ _UNDATED = """SELECT trans_id, store_id,
     change_type_id, item_id, quantity FROM chg"""
 
 
+def _row_text(columns: str) -> str:
+    """The named columns as one text, times to the microsecond."""
+    text = lambda c: f"strftime({c}, '%Y-%m-%d %H:%M:%S.%f')" if c == "date_time" else c
+    return "concat_ws('|', " + ", ".join(
+        f"coalesce(cast({text(c)} AS varchar), '-')" for c in columns.split()
+    ) + ")"
+
+
 def _gap(by: str) -> str:
     keys = f"{by}date_time, trans_id"
     store = "" if by else "min(store_id) AS store_id, "
@@ -288,19 +296,27 @@ ORACLE_SQL: dict[str, str] = {
     "snk_table_refresh": _with("SELECT * FROM effective", "effective"),
     "snk_database": _ITEMS,
     "src_inspect_tables": _with(
-        f"""SELECT 'item' AS dataset, count(*) AS n FROM ({_ITEMS})
-        UNION ALL SELECT 'inventory_change', count(*) FROM chg
-        UNION ALL SELECT 'inventory_snapshot', count(*) FROM snap
-        UNION ALL SELECT 'latest_inventory_snapshot', count(*) FROM latest
-        UNION ALL SELECT 'inventory_current', count(*) FROM current_stock
-        UNION ALL SELECT 'store', count(*) FROM store
-        UNION ALL SELECT 'inventory_change_type', count(*) FROM ict""",
+        " UNION ALL ".join(
+            f"SELECT '{dataset}' AS dataset, {_row_text(columns)} AS row FROM {table}"
+            for dataset, table, columns in (
+                ("item", f"({_ITEMS})", "item_id name supplier_id safety_stock_quantity"),
+                ("inventory_change", "chg",
+                 "trans_id store_id date_time change_type_id item_id quantity"),
+                ("inventory_snapshot", "snap", "item_id employee_id store_id date_time quantity"),
+                ("latest_inventory_snapshot", "latest",
+                 "item_id employee_id store_id date_time quantity"),
+                ("inventory_current", "current_stock", "store_id item_id snapshot_quantity "
+                 "change_quantity current_inventory date_time"),
+                ("store", "supplier", "s_suppkey s_name"),
+                ("inventory_change_type", "nation", "n_nationkey n_name"),
+            )
+        ),
         "current_stock",
     ),
     "src_table_stream": _with("SELECT * FROM chg", "chg"),
     "inventory_newest_first": _with(
-        """SELECT *, cast(row_number() OVER (
-          ORDER BY date_time DESC NULLS LAST, store_id, item_id) AS int) AS position
+        """SELECT *, row_number() OVER (
+          ORDER BY date_time DESC NULLS LAST, store_id, item_id) AS position
         FROM current_stock""",
         "current_stock",
     ),

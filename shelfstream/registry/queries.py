@@ -10,7 +10,7 @@ import dataclasses
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfstream import fixtures, functions, schemas, session
@@ -457,24 +457,40 @@ def snk_database(spark, sf_dir):
     return spark.read.parquet(copy)
 
 
+def _row_text(df: DataFrame) -> Column:
+    """All columns of a row as one text, times to the microsecond."""
+    texts = []
+    for name, kind in df.dtypes:
+        text = F.date_format(name, "yyyy-MM-dd HH:mm:ss.SSSSSS") if kind == "timestamp" else F.col(name)
+        texts.append(F.coalesce(text.cast("string"), F.lit("-")))
+    return F.concat_ws("|", *texts)
+
+
 @_query
 def src_inspect_tables(spark, sf_dir):
     database, root = _database(spark)
+    current = _current(spark, sf_dir)
+    stores = fixtures.table(spark, sf_dir, "supplier").selectExpr(
+        "cast(s_suppkey AS int) AS store_id", "s_name AS name"
+    )
+    kinds = fixtures.table(spark, sf_dir, "nation").selectExpr(
+        "cast(n_nationkey AS int) AS change_type_id", "n_name AS change_type"
+    )
     tables = {
         "item": fixtures.items(spark, sf_dir),
-        "inventory_change": fixtures.changes(spark, sf_dir),
+        "inventory_change": fixtures.changes(spark, sf_dir).select(*ch.CHANGE_COLUMNS),
         "inventory_snapshot": fixtures.snapshots(spark, sf_dir),
         "latest_inventory_snapshot": _latest(spark, sf_dir),
-        "inventory_current": _current(spark, sf_dir),
-        "store": fixtures.stores(spark),
-        "inventory_change_type": fixtures.change_types(spark),
+        "inventory_current": current,
+        "store": stores,
+        "inventory_change_type": kinds,
     }
-    counts = []
+    found = []
     for name, rows in tables.items():
         save_dataset(rows, f"{database}.{name}", name, {}, f"{root}/{name}")
-        counted = read_dataset(spark, f"{database}.{name}").agg(F.count(F.lit(1)).alias("n"))
-        counts.append(counted.select(F.lit(name).alias("dataset"), "n"))
-    return functools.reduce(DataFrame.unionByName, counts)
+        stored = read_dataset(spark, f"{database}.{name}").select(*rows.columns)
+        found.append(stored.select(F.lit(name).alias("dataset"), _row_text(stored).alias("row")))
+    return functools.reduce(DataFrame.unionByName, found)
 
 
 @_query
@@ -488,11 +504,7 @@ def src_table_stream(spark, sf_dir):
 
 @_query
 def inventory_newest_first(spark, sf_dir):
-    # The place of each row in the order presented, from 1 on.
-    ordered = inv.newest_first(_current(spark, sf_dir)).withColumn(
-        "position", F.monotonically_increasing_id()
-    )
-    return ordered.withColumn("position", F.row_number().over(Window.orderBy("position")))
+    return inv.numbered_newest_first(_current(spark, sf_dir))
 
 
 @_query
