@@ -238,8 +238,8 @@ def scores(stats: DataFrame, model: Model) -> DataFrame:
     return stats.select("doc_id", "x").mapInArrow(run, "doc_id long, score double")
 
 
-def _labelled(stats: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
-    """Statistics with their label, without held-out ids; about ``max_rows`` rows at most."""
+def _known(labels: DataFrame, max_rows: int) -> DataFrame:
+    """(doc_id, y) of labels that may be learned, held-out ids left out; about ``max_rows`` at most."""
     known = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y"))
         .filter(F.col("y").isin(0, 1) & (crc32_of_id("doc_id") % FOLDS != HELD_OUT))
@@ -250,7 +250,12 @@ def _labelled(stats: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
     if n > max_rows:
         places = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
         known = known.filter(places < int(max_rows / n * (1 << 30)))
-    return stats.join(known, "doc_id")
+    return known
+
+
+def _labelled(stats: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
+    """Statistics with their label, without held-out ids; about ``max_rows`` rows at most."""
+    return stats.join(_known(labels, max_rows), "doc_id")
 
 
 def quality_scores(
@@ -278,13 +283,23 @@ def quality_scores(
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, max_fit_rows: int = MAX_FIT_ROWS) -> Model:
-    """A model learned as in :func:`quality_scores`, to score rows of any table with."""
-    stats = keep(document_statistics(docs), "statistics")
-    return fit(keep(_labelled(stats, labels, max_fit_rows), "labelled"))
+    """A model learned as in :func:`quality_scores`, to score rows of any table with.
+
+    Only labelled documents are looked at. Their ids and labels, about ``max_fit_rows`` at most,
+    are broadcast, 12 bytes each, so that no text is shuffled to find them.
+    """
+    known = F.broadcast(_known(labels, max_fit_rows))
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(known.select("doc_id"), "doc_id")
+    stats = keep(document_statistics(ids), "statistics")
+    return fit(keep(stats.join(known, "doc_id"), "labelled"))
 
 
 def good_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose text scores ``threshold`` or more."""
+    """The rows of ``docs``, with all their columns, whose text scores ``threshold`` or more.
+
+    A NULL text is an empty one; very long texts are read whole. Repeated rows stay or go
+    together, other columns may have any name, and no rows give no rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, 500):
