@@ -471,17 +471,19 @@ _SPANS = "array<struct<start: int, end: int, kind: string>>"
 
 
 def pseudonymize(
-    docs: DataFrame, key: str, kinds: list[str] | None = None, inverse: bool = False
+    docs: DataFrame, key: str, kinds: list[str] | None = None, inverse: bool = False,
+    spans_col: str = "spans",
 ) -> DataFrame:
-    """All columns of ``docs`` with ``text`` replaced, and ``spans``: the pseudonyms in it.
+    """All columns of ``docs`` with ``text`` replaced, and ``spans_col``: the pseudonyms in it.
 
     ``kinds`` limits which of :data:`KINDS` are replaced; ``inverse`` turns pseudonyms made with
     the same key back. A NULL text stays NULL and an empty one empty, without spans; repeated
-    rows stay; an input column ``spans`` is replaced; an empty table gives an empty result.
+    rows stay; an input column of the name of ``spans_col``, in any case, is replaced; an empty
+    table gives an empty result. Very long texts are searched whole.
     No rows are shuffled, and what a document becomes depends on it and the key alone.
     """
     secret = hashlib.blake2b(key.encode(), digest_size=32).digest()
-    carried = [c for c in docs.columns if c not in ("text", "spans")]
+    carried = [c for c in docs.columns if c.lower() not in ("text", spans_col.lower())]
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -492,11 +494,11 @@ def pseudonymize(
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in carried), pa.array([t for t, _ in made], pa.string()),
                  pa.array(spans, span)],
-                [*carried, "text", "spans"],
+                [*carried, "text", spans_col],
             )
 
     kinds_of = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    schema = ", ".join([*(f"`{c}` {kinds_of[c]}" for c in carried), "text string", f"spans {_SPANS}"])
+    schema = ", ".join([*(f"`{c}` {kinds_of[c]}" for c in carried), "text string", f"`{spans_col}` {_SPANS}"])
     return docs.select(*carried, "text").mapInArrow(run, schema)
 
 

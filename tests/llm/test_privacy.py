@@ -126,3 +126,27 @@ def test_query_and_the_way_back(spark, sf_dir):
     back = pseudonymize(got.select("doc_id", "text"), "registered query", inverse=True).collect()
     assert {r.doc_id: r.text for r in back} == docs
     assert sum(r.n_replaced for r in found) > 10
+
+
+def test_columns_that_differ_from_ours_by_case_only(spark):
+    import corpus_pipeline
+
+    rows = [(1, "call 212-555-0100", "en", "s", 9, "theirs", 7)]
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string, n_chars long, Spans string, _spans int"
+    )
+    got = pseudonymize(docs, "s")
+    assert got.columns == ["doc_id", "lang", "source", "n_chars", "_spans", "text", "spans"]
+    assert [s.kind for s in got.first().spans] == ["phone"]
+    kept = corpus_pipeline.pii(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert (kept.first().Spans, kept.first()._spans) == ("theirs", 7)
+
+
+def test_a_very_long_text_is_searched_to_its_end(spark):
+    text = "plain words here " * 100_000 + "mail a.person@example.com or 212-555-0100"
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    got = pseudonymize(docs, "s").first()
+    assert [s.kind for s in got.spans] == ["email", "phone"]
+    assert got.text.startswith("plain words here " * 100_000)
+    assert pseudonymize(spark.createDataFrame([(1, got.text)], docs.schema), "s", inverse=True).first().text == text
