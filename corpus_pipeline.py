@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfstream.llm.common import keep, read_table
+from shelfstream.llm.common import free_name, keep, read_table
 from shelfstream.llm.language import documents_in, fit_language
 from shelfstream.llm.packing import pack_documents
 from shelfstream.llm.privacy import pseudonymize
@@ -37,7 +37,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data by pseudonyms."""
-    replaced = pseudonymize(docs, PSEUDONYM_KEY).select(*docs.columns)
+    spans = free_name(docs, "spans")
+    replaced = pseudonymize(docs, PSEUDONYM_KEY, spans_col=spans).select(*docs.columns)
     return replaced.withColumn("n_chars", F.length("text").cast("long"))
 
 
