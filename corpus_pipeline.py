@@ -1,4 +1,8 @@
-"""Documents to packed training sequences, stage by stage."""
+"""Documents to packed training sequences, stage by stage.
+
+Each stage but the last returns the columns it was given, whatever else than those of documents
+they are named, and no rows for an empty table. Very long texts are read whole.
+"""
 
 from __future__ import annotations
 
@@ -21,29 +25,44 @@ PSEUDONYM_KEY = "corpus pipeline"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents the classifier scores below its threshold."""
+    """Rejects documents the classifier scores below its threshold.
+
+    A NULL text is scored as an empty one; a NULL id teaches nothing and is scored.
+    """
     return good_documents(docs, fit_quality(docs, read_table(spark, sf_dir, "labels")))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents in none of the languages known."""
+    """Rejects documents in none of the languages known.
+
+    A NULL text, or one without a letter, is in none.
+    """
     return documents_in(docs, fit_language(docs), MIN_LANGUAGE_SCORE)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group."""
+    """Keeps one document of each group.
+
+    Texts without words, NULL ones too, are one group. Of repeated rows one stays.
+    """
     return one_per_group(docs)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Replaces personal data by pseudonyms."""
+    """Replaces personal data by pseudonyms.
+
+    A NULL text stays NULL; ``n_chars`` is counted anew.
+    """
     spans = free_name(docs, "spans")
     replaced = pseudonymize(docs, PSEUDONYM_KEY, spans_col=spans).select(*docs.columns)
     return replaced.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packs what is left into sequences."""
+    """Packs what is left into sequences.
+
+    A NULL or empty text is a piece of length 0; no NULL source conflicts with another.
+    """
     return pack_documents(docs)
 
 
