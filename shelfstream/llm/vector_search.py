@@ -5,6 +5,10 @@ tree best bin first: a priority queue holds the nodes seen so far, the most prom
 next, and leaves come out in the order they are worth visiting. How many are visited is
 calibrated: it is widened until a sample of queries finds the wanted share of its true
 neighbours, which are found by comparing that sample with all rows.
+
+Vectors of different length have no inner product: each length has a tree of its own, but for
+lengths with less than a leaf of vectors (and those beyond the commonest ``MAX_WIDTHS``), whose
+queries are compared with all vectors of their length.
 """
 
 from __future__ import annotations
@@ -18,7 +22,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfstream.llm.common import keep, read_table, share_by_hash
-from shelfstream.llm.vectors import matrix, packed_vectors, sample_vectors, vector_kind
+from shelfstream.llm.vectors import (
+    common_widths,
+    matrix,
+    packed_vectors,
+    sample_vectors,
+    vector_kind,
+)
 
 NEIGHBOURS = 20
 #: Wanted share of true neighbours among the calibration queries.
@@ -34,6 +44,8 @@ MAX_LEAVES = 2_048
 #: A task compares about this many rows with this many queries at most.
 BLOCK_ROWS = 8_192
 BLOCK_QUERIES = 4_096
+#: Places that lengths without a tree share.
+SHARED_LEAVES = 64
 SEED = 3
 
 
@@ -208,6 +220,58 @@ def calibrated_visits(
     return visits
 
 
+class Index:
+    """A tree and its number of visits for each length that has one; leaves numbered through.
+
+    Other lengths fall into the last ``SHARED_LEAVES`` leaves, each length into one.
+    """
+
+    def __init__(self, trees: dict[int, tuple[KMeansTree, int]]):
+        self.trees, self.first, self.shared = trees, {}, 0
+        for width, (tree, _) in trees.items():
+            self.first[width] = self.shared
+            self.shared += tree.n_leaves
+
+    def leaf(self, raws: list[bytes], kind: str) -> np.ndarray:
+        """The leaf of each packed vector."""
+        widths = _widths(raws, kind)
+        out = self.shared + widths % SHARED_LEAVES
+        for width in np.unique(widths).tolist():
+            if width in self.trees:
+                own = np.flatnonzero(widths == width)
+                out[own] = self.first[width] + self.trees[width][0].leaf(matrix([raws[i] for i in own], kind))
+        return out
+
+    def visits(self, raw: bytes, kind: str, sizes: dict[int, int], enough: int) -> Iterator[int]:
+        """Leaves to compare a query with; more than calibrated until ``enough`` rows are met."""
+        width = int(_widths([raw], kind)[0])
+        if width not in self.trees:
+            yield self.shared + width % SHARED_LEAVES
+            return
+        tree, visits = self.trees[width]
+        met = 0
+        for at, leaf in enumerate(tree.visits(matrix([raw], kind)[0])):
+            if at >= visits and met >= enough:
+                return
+            yield self.first[width] + leaf
+            met += sizes.get(self.first[width] + leaf, 0)
+
+
+def _widths(raws, kind: str) -> np.ndarray:
+    return np.array([len(v) for v in raws], dtype=np.int64) // np.dtype(kind).itemsize
+
+
+def fit_index(packed: DataFrame, is_query, k: int, kind: str, recall: float, leaf_rows: int) -> Index:
+    """Trees of the commonest lengths with more vectors than a leaf; the sample is shared."""
+    widths, trees = common_widths(packed, leaf_rows), {}
+    for width, n in widths.items():
+        own = packed.filter(F.col("width") == width)
+        points = sample_vectors(own, SAMPLE // len(widths), kind)
+        tree = KMeansTree(points, min(MAX_LEAVES, max(1, n // leaf_rows)))
+        trees[width] = tree, calibrated_visits(tree, own, own.filter(is_query), k, kind, recall)
+    return Index(trees)
+
+
 def nearest_neighbours(
     table: DataFrame, is_query, k: int = NEIGHBOURS, recall: float = RECALL,
     leaf_rows: int = LEAF_ROWS, block_rows: int = BLOCK_ROWS, block_queries: int = BLOCK_QUERIES,
@@ -217,30 +281,26 @@ def nearest_neighbours(
     ``table`` has ``vec_id`` and ``embedding``; ``is_query`` is a condition on ``vec_id``. All
     rows but those with the query's id are candidates. Vectors that take no part (see
     :func:`~shelfstream.llm.vectors.packed_vectors`) neither ask nor answer. A repeated row
-    counts once. Ties go to the smaller id; with fewer candidates all are returned. A query
-    also widens its visits until it has met twice as many rows as it wants. Other columns are
-    ignored; no rows give no rows.
+    counts once; only vectors of the query's length answer. Ties go to the smaller id; with
+    fewer candidates all are returned. A query also widens its visits until it has met twice
+    as many rows as it wants. Other columns are ignored; no rows give no rows.
     """
     kind = vector_kind(table)
     packed = keep(packed_vectors(table).filter("key is not null"), "vectors")
-    n = packed.count()
-    points = sample_vectors(packed, SAMPLE, kind) if n else np.zeros((0, 1))
-    tree = KMeansTree(points, min(MAX_LEAVES, max(1, n // leaf_rows)))
+    index = fit_index(packed, is_query, k, kind, recall, leaf_rows)
     queries = packed.filter(is_query)
-    visits = calibrated_visits(tree, packed, queries, k, kind, recall)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                leaf = tree.leaf(matrix(batch.column("v").to_pylist(), kind))
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c) for c in ("vec_id", "v")), pa.array(leaf)], ["vec_id", "v", "leaf"]
-                )
+            leaf = index.leaf(batch.column("v").to_pylist(), kind)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("vec_id", "v")), pa.array(leaf)], ["vec_id", "v", "leaf"]
+            )
 
     indexed = keep(
         packed.select("vec_id", "v").mapInArrow(place, "vec_id long, v binary, leaf long"), "index"
     )
-    # One row per leaf at most: bounded by the size of the tree.
+    # One row per leaf at most: bounded by the size of the trees.
     sizes = {r.leaf: r.n for r in indexed.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).collect()}
 
     bins = _Bins(sizes, block_rows)
@@ -248,14 +308,11 @@ def nearest_neighbours(
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, places, lists = [], [], []
-            for i, query in enumerate(matrix(batch.column("v").to_pylist(), kind)):
-                met, by_bin = 0, {}
-                for at, leaf in enumerate(tree.visits(query)):
-                    if at >= visits and met >= 2 * k:
-                        break
+            for i, query in enumerate(batch.column("v").to_pylist()):
+                by_bin = {}
+                for leaf in index.visits(query, kind, sizes, 2 * k):
                     if leaf in sizes:
                         by_bin.setdefault(bins.of[leaf], []).append(leaf)
-                        met += sizes[leaf]
                 rows += [i] * len(by_bin)
                 places += by_bin.keys()
                 lists += by_bin.values()
@@ -294,16 +351,22 @@ def nearest_neighbours(
         found, ids = [], rows["vec_id"].to_numpy()
         q_ids = quests["query_id"].to_numpy()
         if len(rows) and len(quests):
-            points, asking = matrix(rows["v"], kind), matrix(quests["v"], kind)
             lists = quests["leaves"].to_list()
-            who = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-            wanted, leaf = np.concatenate(lists), rows["leaf"].to_numpy()
-            for one in np.unique(leaf):
-                q, own = who[wanted == one], np.flatnonzero(leaf == one)
-                found += [
-                    (q[i], own[row], score)
-                    for i, row, score in _candidates(asking[q], q_ids[q], points[own], ids[own], k)
-                ]
+            who, wanted = np.repeat(np.arange(len(lists)), [len(x) for x in lists]), np.concatenate(lists)
+            of_row, of_query = _widths(rows["v"], kind), _widths(quests["v"], kind)
+            leaf = rows["leaf"].to_numpy()
+            for width in np.unique(of_query):
+                held, asking = np.flatnonzero(of_row == width), np.flatnonzero(of_query == width)
+                points, asked = matrix(rows["v"].iloc[held], kind), matrix(quests["v"].iloc[asking], kind)
+                for one in np.unique(leaf[held]):
+                    own = np.flatnonzero(leaf[held] == one)
+                    q = np.flatnonzero(np.isin(asking, who[wanted == one]))
+                    found += [
+                        (asking[q[i]], held[own[row]], score)
+                        for i, row, score in _candidates(
+                            asked[q], q_ids[asking[q]], points[own], ids[held[own]], k
+                        )
+                    ]
         q, row, score = _best(found, ids, k)
         return pd.DataFrame({"query_id": q_ids[q], "vec_id": ids[row], "score": score})
 

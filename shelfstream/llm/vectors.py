@@ -7,51 +7,62 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfstream.llm.common import share_by_hash
 
 
+#: Lengths that get an index of their own at most, the commonest of those with enough vectors.
+MAX_WIDTHS = 16
+
+
 def packed_vectors(table: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """(vec_id, key, v) per row of ``table``.
+    """(vec_id, key, v, width) per row of ``table``.
 
     ``v`` holds the components as little-endian bytes, in their own precision, ``key`` a digest
-    of them that equal vectors share. Both are NULL where a vector takes no part: a NULL id, a
-    vector that is NULL, empty or zero, one with a NULL or not finite component, and one whose
-    length is not the most frequent length of the table (the larger of equally frequent ones).
+    of them that equal vectors share, ``width`` is the number of components. Vectors of any
+    length take part, each length in a space of its own. ``key`` and ``v`` are NULL where a
+    vector takes no part: a NULL id, a vector that is NULL, empty or zero, and one with a NULL
+    or not finite component.
     """
-    sizes = (
-        table.select(F.size(vec_col).alias("size")).filter("size > 0").groupBy("size")
-        .agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("size")).limit(1).collect()
-    )
-    width = sizes[0]["size"] if sizes else 0
-    kind = "<f4" if table.schema[vec_col].dataType.elementType.typeName() == "float" else "<f8"
+    kind = vector_kind(table, vec_col)
     vec = F.col(vec_col) if kind == "<f4" else F.col(vec_col).cast("array<double>")
-    whole = F.when((F.size(vec) == width) & ~F.exists(vec, lambda x: x.isNull()), vec)
-    filler = F.array_repeat(F.lit(0).cast("float" if kind == "<f4" else "double"), width)
+    whole = F.when(~F.exists(vec, lambda x: x.isNull()), vec)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            flat = batch.column("v").flatten().to_numpy(zero_copy_only=False)
-            rows = np.ascontiguousarray(flat.reshape(n, width), dtype=kind)
-            rows = rows + np.array(0, dtype=kind)  # one zero, without a sign
-            usable = np.isfinite(rows).all(axis=1) & (rows != 0).any(axis=1)
-            usable &= batch.column("vec_id").is_valid().to_numpy(zero_copy_only=False)
-            raw = [r.tobytes() if ok else None for r, ok in zip(rows, usable.tolist(), strict=True)]
+            column, valid = batch.column("v"), batch.column("vec_id").is_valid().to_numpy(zero_copy_only=False)
+            widths = pc.fill_null(pc.list_value_length(column), 0).to_numpy().astype(np.int64)
+            flat = column.flatten().to_numpy(zero_copy_only=False).astype(kind)
+            flat = flat + np.array(0, dtype=kind)  # one zero, without a sign
+            starts = np.cumsum(widths) - widths
+            raw: list[bytes | None] = [None] * batch.num_rows
+            for width in np.unique(widths[widths > 0]).tolist():
+                own = np.flatnonzero((widths == width) & valid)
+                rows = flat[starts[own, None] + np.arange(width)]
+                usable = np.isfinite(rows).all(axis=1) & (rows != 0).any(axis=1)
+                for i, row in zip(own[usable].tolist(), rows[usable], strict=True):
+                    raw[i] = row.tobytes()
             keys = [None if r is None else hashlib.blake2b(r, digest_size=16).hexdigest() for r in raw]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("vec_id"), pa.array(keys, pa.string()), pa.array(raw, pa.binary())],
-                ["vec_id", "key", "v"],
+                [batch.column("vec_id"), pa.array(keys, pa.string()), pa.array(raw, pa.binary()),
+                 pa.array(widths)],
+                ["vec_id", "key", "v", "width"],
             )
 
-    plain = table.select(
-        F.col(id_col).cast("long").alias("vec_id"), F.coalesce(whole, filler).alias("v")
+    plain = table.select(F.col(id_col).cast("long").alias("vec_id"), whole.alias("v"))
+    return plain.mapInArrow(pack, "vec_id long, key string, v binary, width long")
+
+
+def common_widths(packed: DataFrame, more_than: int) -> dict[int, int]:
+    """Vectors of each length that more than ``more_than`` have, of ``MAX_WIDTHS`` lengths at most."""
+    counts = packed.filter("key is not null").groupBy("width").agg(F.count(F.lit(1)).alias("n"))
+    found = (
+        counts.filter(F.col("n") > more_than).orderBy(F.desc("n"), F.desc("width")).limit(MAX_WIDTHS)
     )
-    return plain.mapInArrow(pack, "vec_id long, key string, v binary")
+    return {r.width: r.n for r in found.collect()}
 
 
 def vector_kind(table: DataFrame, vec_col: str = "embedding") -> str:
@@ -60,7 +71,7 @@ def vector_kind(table: DataFrame, vec_col: str = "embedding") -> str:
 
 
 def matrix(raws, kind: str) -> np.ndarray:
-    """Packed vectors as rows of doubles."""
+    """Packed vectors of one length as rows of doubles."""
     raws = list(raws)
     if not raws:
         return np.zeros((0, 0))

@@ -1,0 +1,112 @@
+"""Vectors of several lengths in one table, and trees that do not grow with it."""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from shelfstream.llm import vectors
+from shelfstream.llm.vector_dedup import Tree, build_forest, duplicate_vectors, spill_width
+from shelfstream.llm.vector_search import nearest_neighbours
+
+SCHEMA = "vec_id long, embedding array<double>"
+
+
+def _mixed(seed, counts):
+    """Pairs of near vectors and loners; ``counts`` of each length, ids dealt at random."""
+    rng = np.random.default_rng(seed)
+    found = []
+    for width, n in counts.items():
+        base = rng.normal(size=(-(-n // 2), width))
+        near = base + rng.normal(size=base.shape) * rng.uniform(0, 0.4, size=(len(base), 1))
+        found += [v.tolist() for v in [*base, *near][:n]]
+    ids = rng.permutation(5 * len(found))[: len(found)].tolist()
+    return list(zip(ids, found, strict=True))
+
+
+def _slow_links(rows):
+    ids = [i for i, _ in rows]
+    linked = np.zeros((len(rows), len(rows)), dtype=bool)
+    for a, (_, v) in enumerate(rows):
+        for b, (_, w) in enumerate(rows):
+            if a != b and len(v) == len(w):
+                linked[a, b] = np.dot(v, w) / math.sqrt(np.dot(v, v) * np.dot(w, w)) >= 0.95
+    comp = np.array(ids)
+    while True:
+        low = np.array([min([comp[k], *comp[linked[k]]]) for k in range(len(ids))])
+        if (low == comp).all():
+            return sorted((i, int(linked[k].sum()), int(comp[k]), i == comp[k]) for k, i in enumerate(ids))
+        comp = low
+
+
+COUNTS = {8: 150, 24: 90, 3: 7, 1: 2, 40: 1}
+
+
+@pytest.mark.parametrize("options", [{}, {"leaf_rows": 25}, {"leaf_rows": 5, "block_rows": 12}])
+def test_links_of_every_length_equal_brute_force(spark, options):
+    rows = _mixed(3, COUNTS)
+    got = duplicate_vectors(spark.createDataFrame(rows, SCHEMA).repartition(4), **options)
+    assert sorted(map(tuple, got.collect())) == _slow_links(rows)
+
+
+def test_lengths_beyond_the_commonest_are_compared_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "MAX_WIDTHS", 1)
+    rows = _mixed(4, {6: 60, 9: 50, 5: 40})
+    table = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = duplicate_vectors(table, leaf_rows=20, block_rows=16)
+    assert sorted(map(tuple, got.collect())) == _slow_links(rows)
+
+
+def test_two_equal_vectors_of_a_rare_length_link(spark):
+    rows = [(1, [1.0, 2.0]), (2, [1.0, 2.0]), (3, [1.0, 0.0, 0.0]), (4, [0.0, 1.0, 0.0]), (5, [0.0, 0.0, 1.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in duplicate_vectors(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (0, 4), 5: (0, 5)}
+
+
+@pytest.mark.parametrize("options", [{}, {"leaf_rows": 20, "block_rows": 15, "block_queries": 4}])
+@pytest.mark.parametrize("most", [1, 16])
+def test_search_of_every_length_equals_brute_force(spark, monkeypatch, options, most):
+    monkeypatch.setattr(vectors, "MAX_WIDTHS", most)
+    rows = _mixed(5, COUNTS)
+    got = nearest_neighbours(
+        spark.createDataFrame(rows, SCHEMA).repartition(4), F.col("vec_id") % 3 == 0, k=6, recall=1.1, **options
+    ).collect()
+    want = []
+    for q, v in rows:
+        if q % 3 == 0:
+            scores = sorted((-float(np.dot(v, w)), i) for i, w in rows if i != q and len(w) == len(v))
+            want += [(q, rank, i) for rank, (_, i) in enumerate(scores[:6], 1)]
+    assert sorted((r.query_id, r["rank"], r.vec_id) for r in got) == sorted(want)
+
+
+def test_a_forest_has_one_size_for_any_number_of_vectors():
+    points = np.random.default_rng(2).normal(size=(2_000, 64))
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    size = {n: sum(t.size for t in build_forest(points, n, 0.95, 8, 1_024)) for n in (10**6, 10**9, 10**15, 10**18, 10**30)}
+    assert size[10**9] < 1.3 * size[10**6] and size[10**15] < 1.6 * size[10**6]
+    assert size[10**18] == size[10**30]
+
+
+@pytest.mark.parametrize("depth, missed_at_most", [(6, 0.001), (12, 0.01), (16, 0.02)])
+def test_pairs_at_the_bound_meet_in_deep_trees(depth, missed_at_most):
+    rng = np.random.default_rng(7)
+    dim, n = 64, 3_000
+    points = rng.normal(size=(n, dim))
+    points /= np.linalg.norm(points, axis=1, keepdims=True)
+    other = rng.normal(size=(n, dim))
+    other -= (other * points).sum(1, keepdims=True) * points
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    pairs = 0.95 * points + math.sqrt(1 - 0.95**2) * other
+    sample = rng.normal(size=(8_192, dim))
+    sample /= np.linalg.norm(sample, axis=1, keepdims=True)
+    missed, copies = np.ones(n, dtype=bool), 0
+    for _ in range(8):
+        tree = Tree(sample, depth, spill_width(0.95, dim), rng)
+        sets = [set(zip(*(x.tolist() for x in tree.leaves(side)), strict=True)) for side in (points, pairs)]
+        copies += len(sets[0]) / n
+        missed[list({row for row, _ in sets[0] & sets[1]})] = False
+    assert missed.mean() <= missed_at_most
+    assert copies <= 8 * 1.5 * 1.07 ** (depth - 3)
