@@ -220,9 +220,12 @@ class Date(Kind):
     """A day from 1900 to 2099: year-month-day, or day and month first, by one separator.
 
     With the year last the day is read as day/month/year where that is a date, else as
-    month/day/year; the two share no value, and each stays within its own. Day and month have one
-    or two digits; a pseudonym has them with as many, so equal days written with other numbers of
-    digits have other pseudonyms, but for ones of two digits each. A time may follow after a T.
+    month/day/year; day and month have one or two digits. A time may follow after a T.
+
+    One day has one pseudonym in every layout. So that each layout can hold it, a day is permuted
+    among those that are written alike: its month keeps its number of digits, its day of the
+    month stays below 10, from 10 to 12, or above (only such days are read month first). The
+    fewest such days are 1,800, of the 10th to 12th of the last three months.
     """
 
     name = "date"
@@ -252,15 +255,17 @@ class Date(Kind):
         order, day = self._read(text)
         sign = re.search(r"[-/.]", text)[0]
         sizes = [len(p) for p in re.split(r"[-/.]", text)]
-        label = f"date{order}" if sizes.count(2) == 2 else f"date{order}{sizes}"
-        x = day.toordinal() - _FIRST_DAY
-        while True:  # on until the pseudonym is written with as many digits and reads in the same order
-            x = permute(x, _DAYS, key, label, inverse)
+        x, alike = day.toordinal() - _FIRST_DAY, self._alike(day)
+        while True:  # on until the pseudonym is written like the day
+            x = permute(x, _DAYS, key, self.name, inverse)
             day = datetime.date.fromordinal(x + _FIRST_DAY)
-            parts = {"y": day.year, "m": day.month, "d": day.day}
-            made = [f"{parts[p]:0{2 if n > 1 else 1}d}" for p, n in zip(order, sizes, strict=True)]
-            if [len(p) for p in made] == sizes and (order != "mdy" or day.day > 12):
-                return sign.join(made)
+            if self._alike(day) == alike:
+                parts = {"y": day.year, "m": day.month, "d": day.day}
+                return sign.join(f"{parts[p]:0{n}d}" for p, n in zip(order, sizes, strict=True))
+
+    @staticmethod
+    def _alike(day: datetime.date) -> tuple[bool, bool, bool]:
+        return day.month < 10, day.day < 10, day.day > 12
 
 
 class Iban(Kind):

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import datetime
 import re
 
 import pytest
 
-from shelfstream.llm.privacy import Pseudonymizer
+from shelfstream.llm.privacy import Date, Pseudonymizer
 
 KEY = b"k" * 32
 
@@ -150,3 +151,26 @@ def test_short_dates_differ():
 @pytest.mark.parametrize("text", ["1.2.3", "0/5/1980", "1980-0-5", "1980-13-1", "32/1/2000", "1980-03-05Tuesday", "3/5/80"])
 def test_other_short_numbers_stay(text):
     assert Pseudonymizer(KEY).replace(f"a {text} b") == (f"a {text} b", [])
+
+
+@pytest.mark.parametrize("layouts", [
+    ["1980-03-05", "05/03/1980", "5.3.1980", "5/03/1980", "1980/3/5", "1980-03-5", "05.3.1980"],
+    ["1999-12-31", "31/12/1999", "12/31/1999", "12-31-1999", "31.12.1999"],
+    ["2001-07-13", "13.7.2001", "7/13/2001", "07/13/2001"],
+    ["1950-10-11", "11/10/1950"],
+])
+def test_a_day_has_one_pseudonym_in_every_layout(layouts):
+    def day(text):
+        return Date()._read(text)[1]
+
+    changed = [Date().change(t, b"key", False) for t in layouts]
+    assert len({day(t) for t in layouts}) == len({day(t) for t in changed}) == 1
+    assert day(changed[0]) != day(layouts[0])
+    assert [re.sub(r"\d", "0", t) for t in changed] == [re.sub(r"\d", "0", t) for t in layouts]
+    assert [Date().change(t, b"key", True) for t in changed] == layouts
+
+
+def test_days_keep_apart_and_within_range():
+    days = [datetime.date(1900, 1, 1) + datetime.timedelta(n) for n in range(0, 73_049, 13)]
+    changed = {Date().change(d.isoformat(), b"key", False) for d in days}
+    assert len(changed) == len(days) and all(Date().valid(t) for t in changed)
