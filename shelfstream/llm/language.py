@@ -306,8 +306,9 @@ def _predict(network: Network, texts: list[str]) -> tuple[list[str], np.ndarray]
 def documents_in(docs: DataFrame, network: Network, min_score: float) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose language is clear.
 
-    Rejected are texts without a letter and those whose best language has a mean probability
-    under ``min_score``.
+    Rejected are texts without a letter, NULL and empty ones too, and those whose best language
+    has a mean probability under ``min_score``. Very long texts are read whole. Repeated rows
+    stay or go together, other columns may have any name, and no rows give no rows.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,7 +324,8 @@ def language_scores(docs: DataFrame, network: Network) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score (its mean probability).
 
     ``docs`` needs ``doc_id`` and ``text``; nothing else is read. A text that is NULL or has no
-    letter is ``und`` with score 0, and so is every text if no language was learned. A NULL id
+    letter is ``und`` with score 0, and so is every text if no language was learned. Of equally
+    probable languages the first by name is predicted. Very long texts are read whole. A NULL id
     is not held out. Repeated rows stay; an empty table gives an empty result.
     """
 

@@ -269,7 +269,8 @@ def quality_scores(
     than 0 by 5; those that leave 0 are ``held_out``. Of several labels of an id the larger
     counts; NULL labels and ids, and labels other than 0 and 1, teach nothing. A NULL id is
     scored and not held out. Empty and NULL texts have all statistics 0 and the score that
-    follows from them. Repeated rows stay; an empty table gives an empty result.
+    follows from them; very long texts are read whole. Repeated rows stay; an empty table gives
+    an empty result.
     """
     stats = keep(document_statistics(docs), "statistics")
     fitted = keep(_labelled(stats, labels, max_fit_rows), "labelled")

@@ -203,7 +203,9 @@ def write_archives(
     Of the rows whose html has the same bytes (NULL: empty), at least ``min_bytes`` of them,
     the one with the largest ``page_id`` becomes a response and the others revisits of it; of
     repeated rows with that id one is the response. A NULL id comes below all others. Other
-    columns are ignored. Returns one row per file; no pages give no files.
+    columns are ignored. Returns one row per file; no pages give no files. Very long pages are
+    written whole. ``pages`` must be read from files, so that its rows come in the same order
+    whenever they are read.
 
     Copies are counted by digest before the shuffle. The join that follows is an inner one by
     digest, whose hot partitions adaptive execution splits.
