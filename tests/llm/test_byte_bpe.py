@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -41,6 +43,49 @@ def test_both_merges_agree():
             assert byte_bpe._merge_short(piece, ranks) == byte_bpe._merge_long(piece, ranks)
 
 
+def test_many_pieces_merge_at_once():
+    """Tokens that are new to a worker share the rounds of their merges."""
+    ranks, rng = byte_bpe.read_ranks(PATH), random.Random(3)
+    pieces = ["".join(rng.choice("aabbcdeést 語") for _ in range(rng.randint(1, 60))).encode()
+              for _ in range(5000)] + [b"a" * n for n in (254, 255, 256, 700)]
+    got = byte_bpe.Merger(ranks).merge(pieces)
+    assert [np.frombuffer(g, "<i4").tolist() for g in got] == [byte_bpe.merge(p, ranks) for p in pieces]
+    few = {b"a": 0, b"b": 1, b"ab": 2, b"aba": 3}
+    assert np.frombuffer(byte_bpe.Merger(few).merge([b"ababb"])[0], "<i4").tolist() == [2, 2, 1]
+
+
+def test_words_are_looked_up_once(library, monkeypatch):
+    """A batch meets each of its words once, and words of earlier batches not again."""
+    rng = random.Random(4)
+    words = ["".join(rng.choices("abcdeé", k=6)) + rng.choice(["", ".", "'s"]) for _ in range(300)]
+    texts = [" ".join(rng.choices(words, k=200)) for _ in range(100)]
+    encoder = byte_bpe.Encoder(PATH, PATTERN)
+    seen = []
+    monkeypatch.setattr(encoder, "_spaced", lambda w, old=encoder._spaced: seen.extend(w) or old(w))
+    for _ in range(2):
+        got = encoder.encode(pa.array([*texts, None, "two  spaces ", " \n x"]))
+        assert got.to_pylist() == [library(t) for t in [*texts, None, "two  spaces ", " \n x"]]
+    assert len(seen) == len(set(seen)) and set(words) <= set(seen)
+
+
+def test_spaces_between_words(library, monkeypatch):
+    """Words cut at spaces have the ids of the whole text, whatever white space is around."""
+    monkeypatch.setattr(byte_bpe, "CACHED_TOKENS", 500)
+    rng, encoder = random.Random(6), byte_bpe.Encoder(PATH, PATTERN)
+    parts = ["a", "re", "'", "'s", " ", " ", "  ", "\n", "42", "é", "語", "?!", "\t", "\x1c", "\x85", "\u3000"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 30))) for _ in range(3000)]
+    for at in range(0, len(texts), 300):
+        part = texts[at : at + 300]
+        assert encoder.encode(pa.array(part)).to_pylist() == [library(t) for t in part]
+
+
+def test_ids_outside_the_vocabulary(spark):
+    for ids in ([5, -1], [10_000_000], [None]):
+        wrong = spark.createDataFrame([(1, [7]), (2, ids)], "n long, ids array<int>")
+        with pytest.raises(Exception, match="vocabulary|out of bounds"):
+            decode(wrong, PATH).collect()
+
+
 def test_strange_rows(spark, library):
     rows = [(i, t, 1, "x") for i, t in enumerate(STRANGE)] + [(None, "null id", 1, ""), (1, "", 1, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, ids int, decoded string")
