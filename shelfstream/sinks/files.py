@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfstream.functions import as_second_text
@@ -12,11 +15,28 @@ _TAKEN = ["store_id", "date_time"]
 _POSITION = (1 << 33) - 1
 
 
+_COALESCE = "spark.sql.adaptive.coalescePartitions.enabled"
+
+
+@contextmanager
+def _apart(spark: SparkSession) -> Iterator[None]:
+    """Small shuffle partitions stay apart meanwhile."""
+    before = spark.conf.get(_COALESCE)
+    spark.conf.set(_COALESCE, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(_COALESCE, before)
+
+
 def write_snapshot_files(snapshots: DataFrame, path: str) -> None:
     """Write counts as CSV, one folder per (store, time), replacing what is there.
 
     One Spark write makes all the files. Rows of a folder are brought together; a count
     much larger than the others is rebalanced over several tasks and so has several files.
+    Many small counts are dealt over all partitions of the shuffle, since each takes a file
+    however few its rows, and every task puts its own files in place: the driver moves none.
+    A write that fails leaves no ``_SUCCESS``, but may leave files.
     Files have a header and, as first column, a row index that readers drop: the position
     in the task that wrote it, increasing within a file. Store and time stay in the files
     besides naming the folders.
@@ -24,7 +44,7 @@ def write_snapshot_files(snapshots: DataFrame, path: str) -> None:
     placed = snapshots.hint("rebalance", *_TAKEN)
     position = F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION))
     taken = as_second_text("date_time")
-    (
+    files = (
         placed.select(
             position.alias("id"),
             "item_id",
@@ -38,5 +58,7 @@ def write_snapshot_files(snapshots: DataFrame, path: str) -> None:
         .write.mode("overwrite")
         .partitionBy("store", "taken")
         .option("header", True)
-        .csv(path)
+        .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
     )
+    with _apart(snapshots.sparkSession):
+        files.csv(path)

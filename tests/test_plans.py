@@ -226,3 +226,21 @@ def test_large_count_is_written_by_several_tasks(data, spark, conf):
     back = read_landed_snapshots(spark, path)
     assert back.columns == [f.name for f in schemas.struct_type(schemas.SNAPSHOT)]
     assert rows(back) == rows(one_time)
+
+
+def test_many_small_counts_are_written_by_many_tasks(data, spark, conf):
+    """A folder costs a file however few its rows: they do not meet in one task."""
+    conf(shuffle__partitions="8", adaptive__coalescePartitions__enabled="true")
+    many = spark.range(60).selectExpr(
+        "cast(id as int) as item_id", "5 as employee_id", "cast(id % 2 as int) as store_id",
+        "timestamp '2021-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id) as date_time",
+        "1 as quantity",
+    )
+    path = str(data["root"] / "landed-many")
+    write_snapshot_files(many, path)
+    files = list((data["root"] / "landed-many").rglob("*.csv"))
+    assert len(files) == 60
+    assert len({f.name.split("-")[1] for f in files}) > 3
+    assert (data["root"] / "landed-many" / "_SUCCESS").exists()
+    assert rows(read_landed_snapshots(spark, path)) == rows(many)
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled") == "true"
