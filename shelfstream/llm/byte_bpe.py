@@ -36,7 +36,7 @@ WORD_PATTERN = (
 )
 
 # Rows and bytes of texts encoded at once.
-_BATCH_ROWS, _BATCH_BYTES = 2000, 1 << 23
+_BATCH_ROWS, _BATCH_BYTES = 2000, 3 << 20
 # Pre-tokens merged at once, and the longest of them in bytes.
 _TOGETHER = 2048
 _TOGETHER_LENGTH = 255
