@@ -16,18 +16,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfstream.llm.common import Store, keep, read_table, small_batches, texts_of
+from shelfstream.llm.common import Store, keep, read_table
 from shelfstream.storage import work_dir
 
 END_ID = 2
 #: A file is closed once it holds this many ids; a document is never cut.
 IDS_PER_FILE = 1 << 23
-#: Pieces of text whose ids a worker remembers, and as many older ones.
-CACHED_PIECES = 200_000
+#: Pieces of text whose ids a worker always remembers, those used last; twice as many at most.
+CACHED_PIECES = 100_000
 
 _MAGIC = b"DACIDS01"
 _BLOCK_BITS = 512
@@ -35,12 +36,27 @@ _BLOCK_BYTES = _BLOCK_BITS // 8
 _CHUNK_BITS = 8
 
 # Where text is cut. A token of the vocabulary's pattern never has white space
-# after anything else, so the place before white space that follows other text is always a
-# border between tokens, and what follows is tokenised as if it stood alone.
-_PIECES = re.compile(r"\s*\S+|\s+")
-# Python takes these four for white space, the pattern does not.
-_NOT_WHITE = "\x1c\x1d\x1e\x1f"
-_PIECES_STRICT = re.compile(r".+?(?<=\S)(?=[ \n])|.+", re.DOTALL)
+# after anything else, nor a sign after a letter or digit, so the place before ASCII white space
+# that follows other text, or before an ASCII sign that follows an ASCII letter or digit, is
+# always a border between tokens, and what follows is tokenised as if it stood alone.
+_WHITE, _WORD, _SIGN = 1, 2, 3
+_KINDS = np.array(
+    [_WHITE if chr(b) in " \t\n\v\f\r" else _WORD if chr(b).isalnum() else _SIGN if 32 < b < 127 else 0
+     for b in range(128)] + [0] * 128, dtype=np.uint8,
+)
+# The last two bytes, in UTF-8, that other white space ends with; a few other characters share them.
+_WHITE_ENDS = np.zeros((256, 256), dtype=bool)
+for _space in "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a" \
+        "\u2028\u2029\u202f\u205f\u3000":
+    _WHITE_ENDS[tuple(_space.encode()[-2:])] = True
+#: Bytes of texts whose pieces are looked up together; a longer text is alone.
+BYTES_AT_ONCE = 4 << 20
+#: Pre-tokens that go to the library's model in one call.
+WORDS_A_CALL = 128
+#: Longer pieces are not remembered.
+REMEMBERED_BYTES = 64
+# Pieces that are one token of the pattern.
+_SINGLE = r"^(?: ?\pL+| ?\pN+)$"
 
 
 # ---------------------------------------------------------------- the file format
@@ -168,28 +184,6 @@ class TokenFile:
 # ---------------------------------------------------------------- encoding
 
 
-class _Recent:
-    """Values of the keys used of late: two generations of at most ``limit`` keys."""
-
-    def __init__(self, limit: int, make):
-        self._limit, self._make = limit, make
-        self.now: dict = {}
-        self._before: dict = {}
-
-    def get(self, key):
-        value = self.now.get(key)
-        if value is None:
-            value = self._before.get(key)
-            if value is None:
-                value = self._make(key)
-            self.now[key] = value
-        return value
-
-    def turn(self) -> None:
-        if len(self.now) > self._limit:
-            self._before, self.now = self.now, {}
-
-
 def _byte_letters() -> dict[int, str]:
     """The letter a byte-level vocabulary writes for each byte, for ``str.translate``.
 
@@ -200,12 +194,56 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+def _bytes_of(texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 of all texts, and where each begins and the last ends."""
+    _, places, data = texts.buffers()
+    if not len(texts):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int32)
+    offsets = np.frombuffer(places, "<i4")[texts.offset : texts.offset + len(texts) + 1]
+    return np.frombuffer(data or b"", np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def _pieces(texts: pa.StringArray) -> tuple[pa.StringArray, np.ndarray]:
+    """The texts cut at certain token borders, and the number of pieces before each text."""
+    data, offsets = _bytes_of(texts)
+    kinds = _KINDS[data]
+    before, after = kinds[:-1], kinds[1:]
+    cut = np.zeros(len(data) + 1, dtype=bool)
+    cut[1:-1] = (after == _WHITE) & (before != _WHITE)
+    cut[1:-1] |= (after == _SIGN) & (before == _WORD)
+    # a blank that may follow white space beyond ASCII is left where it is
+    doubtful = np.flatnonzero(cut[1:-1] & (data[:-1] >= 0x80)) + 1
+    cut[doubtful[_WHITE_ENDS[data[doubtful - 2], data[doubtful - 1]]]] = False
+    cut[offsets] = True
+    borders = np.flatnonzero(cut).astype("<i4")
+    pieces = pa.StringArray.from_buffers(len(borders) - 1, pa.py_buffer(borders), pa.py_buffer(data))
+    return pieces, np.searchsorted(borders, offsets)
+
+
+def _ids_array(ids: np.ndarray, ends: np.ndarray) -> pa.LargeBinaryArray:
+    """Runs of ids as little-endian unsigned 32-bit integers."""
+    places = np.concatenate([[0], ends]).astype("<i8") * 4
+    buffers = [None, pa.py_buffer(places), pa.py_buffer(ids.astype("<u4"))]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), buffers)
+
+
+def _joined(parts: pa.LargeBinaryArray, ends: np.ndarray) -> pa.LargeBinaryArray:
+    """Consecutive parts of an array without NULLs put together, up to each of ``ends``."""
+    _, places, data = parts.buffers()
+    offsets = np.zeros(1, dtype="<i8")
+    if len(parts):
+        offsets = np.frombuffer(places, "<i8")[parts.offset : parts.offset + len(parts) + 1]
+    buffers = [None, pa.py_buffer(offsets[np.concatenate([[0], ends]).astype(np.int64)]), data]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), buffers)
+
+
 class PieceEncoder:
     """Ids of whole texts by the tokenizers library, each distinct piece encoded once.
 
     A text is cut where a token border is certain, so the ids of its pieces in a row are the
-    ids of the text. That bounds memory for texts of any length and spares repeated words.
-    New pieces are split into pre-tokens, and the library's model encodes those not yet known.
+    ids of the text. Arrow finds the distinct pieces of a few texts, looks them up among those
+    used of late, and puts the ids together. New pieces are split into pre-tokens, which the
+    library's model encodes many in a call: between two stands a byte that no merge takes in.
     With ``added``, the added tokens of the file that stand in a text are one id each, as the
     library's ``encode(text, add_special_tokens=False)`` has it; without, they are plain text.
     """
@@ -228,44 +266,99 @@ class PieceEncoder:
         self._cut = re.compile(f"({'|'.join(map(re.escape, longest_first))})").split
         self._model = tokenizer.model
         self._tokens = regex.compile(pattern).findall
-        self._letters = _byte_letters()
-        self._known = _Recent(CACHED_PIECES, self._encode_token)
-        self._pieces = _Recent(CACHED_PIECES, self._encode_piece)
-
-    def _encode_token(self, token: str) -> bytes:
-        word = token.encode("utf-8").decode("latin-1").translate(self._letters)
-        return array("I", [t.id for t in self._model.tokenize(word)]).tobytes()
-
-    def _encode_piece(self, piece: str) -> bytes:
-        known = self._known.get
-        if piece[0] == " ":  # mostly a word, or a word and a sign
-            if piece[1:].isalpha():
-                return known(piece)
-            if piece[-1] in ".,;:!?" and piece[1:-1].isalpha():
-                return known(piece[:-1]) + known(piece[-1])
-        return b"".join(map(known, self._tokens(piece)))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
+        letters = _byte_letters()
+        self._letters = np.array([ord(letters[b]) for b in range(256)], dtype="<u4")
+        # a byte that UTF-8 never has and that the vocabulary has only by itself
+        joint = "".join(tokenizer.get_vocab(with_added_tokens=False))
+        alone = [b for b in (0xFF, 0xFE, 0xC0) if joint.count(letters[b]) == 1]
+        self._words_a_call = WORDS_A_CALL if alone else 1
+        self._between = alone[0] if alone else 0xFF
+        self._border = self._model.token_to_id(letters[alone[0]]) if alone else 0xFFFFFFFF
+        self._known = pa.array([], pa.string())
+        self._known_ids = pa.array([], pa.large_binary())
+        self._used = np.zeros(0, dtype=np.int64)  # when, counted in batches
+        self._now = 0
+
+    def _encode_words(self, words: pa.StringArray) -> pa.LargeBinaryArray:
+        """The ids of pre-tokens, by the library's model."""
+        data, offsets = _bytes_of(words)
+        ends = offsets[1:] + np.arange(len(words))  # with a byte after each word
+        raw = np.full(len(data) + len(words), self._between, dtype=np.uint8)
+        own = np.ones(len(raw), dtype=bool)
+        own[ends] = False
+        raw[own] = data
+        text = self._letters[raw].tobytes().decode("utf-32-le")
+        calls = [*ends[self._words_a_call - 1 : -1 : self._words_a_call].tolist(), *ends[-1:].tolist()]
+        ids: list[int] = []
+        start = 0
+        for end in calls:
+            ids += [t.id for t in self._model.tokenize(text[start:end])]
+            ids.append(self._border)
+            start = end + 1
+        found = np.array(ids, dtype=np.uint32)
+        border = found == self._border
+        return _ids_array(found[~border], np.flatnonzero(border) - np.arange(len(words)))
+
+    def _encode_pieces(self, pieces: pa.StringArray) -> pa.LargeBinaryArray:
+        """The ids of pieces: those of their pre-tokens in a row."""
+        single = pc.match_substring_regex(pieces, _SINGLE)
+        others = list(map(self._tokens, pieces.filter(pc.invert(single)).to_numpy(zero_copy_only=False)))
+        tokens = pa.array([t for ts in others for t in ts], pa.string()).dictionary_encode()
+        parts = self._look_up(tokens.dictionary, self._encode_words).take(tokens.indices)
+        made = [
+            self._encode_words(pieces.filter(single)),
+            _joined(parts, np.cumsum([len(ts) for ts in others], dtype=np.int64)),
+        ]
+        order = np.argsort(~single.to_numpy(zero_copy_only=False), kind="stable")
+        back = np.empty(len(order), dtype=np.int64)
+        back[order] = np.arange(len(order))
+        return pa.concat_arrays(made).take(pa.array(back))
+
+    def _look_up(self, pieces: pa.StringArray, encode) -> pa.LargeBinaryArray:
+        """The ids of distinct pieces, remembered or made by ``encode``."""
+        ids = self._known_ids
+        at = pc.index_in(pieces, value_set=self._known)
+        new = pieces.filter(pc.is_null(at))
+        at = at.fill_null(-1).to_numpy().astype(np.int64)
+        self._used[at[at >= 0]] = self._now
+        if len(new):
+            made = encode(new)
+            at[at < 0] = len(ids) + np.arange(len(new))
+            ids = pa.concat_arrays([ids, made])
+            short = pc.less_equal(pc.binary_length(new), REMEMBERED_BYTES)
+            self._known = pa.concat_arrays([self._known, new.filter(short)])
+            self._known_ids = pa.concat_arrays([self._known_ids, made.filter(short)])
+            self._used = np.pad(self._used, (0, len(self._known) - len(self._used)), constant_values=self._now)
+        return ids.take(pa.array(at))
+
+    def _turn(self) -> None:
+        """Forget the pieces not used for longest, once there are twice as many as wanted."""
+        self._now += 1
+        if len(self._known) > 2 * CACHED_PIECES:
+            stay = np.sort(np.argsort(self._used, kind="stable")[-CACHED_PIECES:])
+            self._known, self._known_ids = (x.take(pa.array(stay)) for x in (self._known, self._known_ids))
+            self._used = self._used[stay]
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Per text its ids as little-endian unsigned 32-bit integers."""
-        self._pieces.turn()
-        self._known.turn()
-        out = []
-        for text in texts:
-            if any(token in text for token in self._added):
-                parts = self._cut(text)
-                out.append(b"".join(self._added.get(part) or self._ids(part) for part in parts))
-            else:
-                out.append(self._ids(text))
-        return out
-
-    def _ids(self, text: str) -> bytes:
-        """The ids of a text without added tokens."""
-        strict = any(c in text for c in _NOT_WHITE)
-        pieces = (_PIECES_STRICT if strict else _PIECES).findall(text)
-        ids = list(map(self._pieces.now.get, pieces))
-        if None in ids:
-            ids = [self._pieces.get(p) if i is None else i for p, i in zip(pieces, ids, strict=True)]
-        return b"".join(ids)
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts.cast(pa.string())
+        texts = texts.fill_null("")
+        if not any(pc.any(pc.match_substring(texts, t)).as_py() for t in self._added):
+            return self._plain(texts)
+        cut = [self._cut(text) for text in texts.to_pylist()]
+        plain = iter(self._plain(pa.array([p for parts in cut for p in parts[::2]], pa.string())))
+        return [
+            b"".join([self._added[p] if i % 2 else next(plain) for i, p in enumerate(parts)])
+            for parts in cut
+        ]
+
+    def _plain(self, texts: pa.StringArray) -> list[bytes]:
+        """The ids of texts without added tokens."""
+        pieces, places = _pieces(texts)
+        coded = pieces.dictionary_encode()
+        ids = self._look_up(coded.dictionary, self._encode_pieces).take(coded.indices)
+        self._turn()
+        return _joined(ids, places[1:]).to_pylist()
 
 
 _ENCODERS: dict[tuple[str, str, bool], PieceEncoder] = {}
@@ -277,6 +370,18 @@ def _encoder(path: str, pattern: str, added: bool) -> PieceEncoder:
     return _ENCODERS[path, pattern, added]
 
 
+def _of_bytes(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Rows with ``most`` bytes of text together, or one longer row."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column("text")).fill_null(0).to_numpy(), dtype=np.int64)
+        first = 0
+        while first < len(ends):
+            before = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, before + most, "right")))
+            yield batch.slice(first, last - first)
+            first = last
+
+
 _MANIFEST = "shard long, part long, file string, n_docs long, n_ids long"
 
 
@@ -322,9 +427,9 @@ def write_tokens(
                 names=["shard", "part", "file", "n_docs", "n_ids"],
             )
 
-        for batch in small_batches(batches, 256):
+        for batch in _of_bytes(batches, BYTES_AT_ONCE):
             for doc_id, ids in zip(
-                batch.column("doc_id").to_pylist(), encoder.encode(texts_of(batch, "text")),
+                batch.column("doc_id").to_pylist(), encoder.encode(batch.column("text")),
                 strict=True,
             ):
                 doc_ids.append(doc_id)
