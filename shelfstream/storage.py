@@ -52,6 +52,14 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(conf), hadoop_path
 
 
+def local_path(spark: SparkSession, path: str) -> str | None:
+    """The name ``path`` has without Hadoop; None when it is not in a local or mounted folder."""
+    fs, hadoop_path = _file_system(spark, path)
+    if fs.getUri().getScheme() != "file":
+        return None
+    return fs.makeQualified(hadoop_path).toUri().getPath()
+
+
 def child_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly below ``path``; empty when it does not exist."""
     fs, hadoop_path = _file_system(spark, path)
@@ -65,6 +73,12 @@ def make_dir(spark: SparkSession, path: str) -> None:
     fs.mkdirs(hadoop_path)
 
 
+def make_file(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    fs, hadoop_path = _file_system(spark, path)
+    fs.create(hadoop_path).close()
+
+
 def remove_dir(spark: SparkSession, path: str) -> None:
     fs, hadoop_path = _file_system(spark, path)
     fs.delete(hadoop_path, True)

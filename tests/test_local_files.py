@@ -1,0 +1,146 @@
+"""Count files that tasks write and read themselves, beside what Spark does."""
+
+import datetime as dt
+
+import pytest
+from conftest import at, rows
+
+from shelfstream import schemas, write_snapshot_files
+from shelfstream.sinks import files as sink
+from shelfstream.sources import files as source
+from shelfstream.sources import read_landed_snapshots
+
+
+def _hadoop_bytes(spark) -> tuple[int, int]:
+    """Bytes that Hadoop's file systems wrote and read so far."""
+    every = list(spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+    return sum(s.getBytesWritten() for s in every), sum(s.getBytesRead() for s in every)
+
+
+def _by_spark(spark, path):
+    """The plain reader, that lists and reads by Hadoop."""
+    landed = source._csv(spark, path, f"{schemas.LANDED_SNAPSHOT}, store int, taken string")
+    return landed.drop("id", "store", "taken")
+
+
+def _contents(root):
+    return sorted((str(f.parent.relative_to(root)), f.read_bytes()) for f in root.rglob("*.csv"))
+
+
+def test_small_files_cost_no_hadoop_file_each(spark, tmp_path):
+    """Hadoop starts processes for each local file: with one per count they took all the time."""
+    data = [(i, 5, i % 2, at("01:00:00") + dt.timedelta(seconds=i), i) for i in range(200)]
+    counts = spark.createDataFrame(data, schemas.SNAPSHOT)
+    path = str(tmp_path / "counts")
+    written, read = _hadoop_bytes(spark)
+    write_snapshot_files(counts, path)
+    back = rows(read_landed_snapshots(spark, path))
+    now = _hadoop_bytes(spark)
+    assert now[0] - written < 200 and now[1] == read
+    assert back == rows(counts)
+    assert len(list((tmp_path / "counts").rglob("*.csv"))) == 200
+    left = {f.name for f in (tmp_path / "counts").iterdir()} - {"._SUCCESS.crc"}
+    assert left == {"store=0", "store=1", "_SUCCESS"}
+
+
+def test_files_are_those_of_spark(spark, tmp_path, monkeypatch):
+    moments = [None, at("01:00:00"), at("01:00:01"), at("0011-02-03 04:05:06")]
+    data = [
+        (i or None, None if i % 3 else i, (None, 0, 1, -7)[i % 4], moments[i // 4 % 4], i % 5 or None)
+        for i in range(64)
+    ] * 2
+    counts = spark.createDataFrame(data, schemas.SNAPSHOT)
+    write_snapshot_files(counts, str(tmp_path / "tasks"))
+    monkeypatch.setattr(sink, "local_path", lambda *_: None)
+    write_snapshot_files(counts, str(tmp_path / "spark"))
+    assert _contents(tmp_path / "tasks") == _contents(tmp_path / "spark")
+    sums = lambda name: sorted(f.read_bytes() for f in (tmp_path / name).rglob("*.csv.crc"))
+    assert sums("tasks") == sums("spark")
+    for name in ("tasks", "spark"):
+        path = str(tmp_path / name)
+        assert rows(read_landed_snapshots(spark, path)) == rows(_by_spark(spark, path))
+        assert rows(read_landed_snapshots(spark, path)) == rows(counts)
+
+
+def test_texts_are_quoted_and_folders_escaped_as_by_spark(spark, tmp_path, monkeypatch):
+    texts = ["a,b", 'say "x"', "", " x ", "a\nb", "ö=%/:?*[]{}^'#\\", None, "\x7f\x01", "-1"]
+    data = [(t, 5, s, at("01:00:00"), t) for t in texts for s in texts]
+    columns = "item_id string, employee_id int, store_id string, date_time timestamp, quantity string"
+    counts = spark.createDataFrame(data, columns)
+    write_snapshot_files(counts, str(tmp_path / "tasks"))
+    monkeypatch.setattr(sink, "local_path", lambda *_: None)
+    write_snapshot_files(counts, str(tmp_path / "spark"))
+    assert _contents(tmp_path / "tasks") == _contents(tmp_path / "spark")
+
+
+@pytest.mark.parametrize("large", [1, 60, 1 << 27])
+def test_rows_are_those_of_spark(spark, tmp_path, monkeypatch, large):
+    head = b"id,item_id,employee_id,store_id,date_time,quantity"
+    row = b"0,1,5,0,2021-01-01 01:00:00,9"
+    found = {
+        "plain": head + b"\n" + row + b"\n",
+        "marked": b"\xef\xbb\xbf" + head + b"\r\n" + row + b"\r\n\r\n \r" + row,
+        "blank": b"\n \n" + head + b"\n\n" + row + b"\n\x0b\n",
+        "odd": head + b"\n" + b"\n".join([
+            b"x,y,5,0,2021-01-01 01:00:00,9", b"0,1", b"0,1,5,0,2021-01-01,9,8,7", b",,,,,",
+            b'0,"2","5",0,"2021-01-01 01:00:00",9', b"0, 3 ,5,0,2021-01-01T01:00:00Z,1.5",
+            b"0,4,5,0,noon,99999999999", b"\xff,\xfe,1,1,,1", "0,5,5,0, ,9".encode(),
+        ]),
+        "header": head,
+        "empty": b"",
+        "_left": head + b"\n" + row,
+        ".left": head + b"\n" + row,
+    }
+    for store in ("0", "-1", "__HIVE_DEFAULT_PARTITION__"):
+        folder = tmp_path / "counts" / f"store={store}" / "taken=2021-01-01 01%3A00%3A00"
+        folder.mkdir(parents=True)
+        for name, content in found.items():
+            (folder / name).write_bytes(content)
+    (tmp_path / "counts" / "_SUCCESS").touch()
+    monkeypatch.setattr(source, "_LARGE", large)
+    path = str(tmp_path / "counts")
+    want = rows(_by_spark(spark, path))
+    assert len(want) == 3 * (1 + 2 + 1 + 9)
+    assert rows(read_landed_snapshots(spark, path)) == want
+    assert read_landed_snapshots(spark, path).count() == len(want)
+
+
+def test_lines_and_sums_across_blocks(spark, tmp_path, monkeypatch):
+    """A file longer than what is held at once; a file that was damaged is not read."""
+    counts = spark.range(100_000).selectExpr(
+        "cast(id as int) as item_id", "5 as employee_id", "1 as store_id",
+        "timestamp '2021-01-01 00:00:00' as date_time", "cast(id % 9 as int) as quantity",
+    )
+    path = str(tmp_path / "counts")
+    write_snapshot_files(counts, path)
+    file = max((tmp_path / "counts").rglob("*.csv"), key=lambda f: f.stat().st_size)
+    assert file.stat().st_size > 3 << 20
+    assert rows(read_landed_snapshots(spark, path)) == rows(_by_spark(spark, path)) == rows(counts)
+    content = file.read_bytes()
+    file.write_bytes(content[:-2] + (b"3\n" if content[-2:] == b"7\n" else b"7\n"))
+    with pytest.raises(Exception, match="checksum error"):
+        read_landed_snapshots(spark, path).collect()
+
+
+def test_other_layouts_are_read_as_before(spark, tmp_path):
+    body = "id,item_id,employee_id,store_id,date_time,quantity\n0,1,5,0,2021-01-01 01:00:00,9\n"
+    (tmp_path / "flat").mkdir()
+    (tmp_path / "flat" / "a.csv").write_text(body)
+    want = [(1, 5, 0, at("01:00:00"), 9)]
+    assert rows(read_landed_snapshots(spark, str(tmp_path / "flat"))) == want
+    (tmp_path / "stores" / "store=0").mkdir(parents=True)
+    (tmp_path / "stores" / "store=0" / "a.csv").write_text(body)
+    assert rows(read_landed_snapshots(spark, str(tmp_path / "stores"))) == want
+    (tmp_path / "none").mkdir()
+    assert rows(read_landed_snapshots(spark, str(tmp_path / "none"))) == []
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_landed_snapshots(spark, str(tmp_path / "missing"))
+
+
+def test_read_counts_are_not_taken_for_small(spark, tmp_path):
+    """The plan holds names of files only: their size must not decide on a broadcast."""
+    path = str(tmp_path / "counts")
+    counts = spark.createDataFrame([(1, 5, 0, at("01:00:00"), 9)], schemas.SNAPSHOT)
+    write_snapshot_files(counts, path)
+    plan = read_landed_snapshots(spark, path)._jdf.queryExecution().optimizedPlan()
+    assert plan.stats().sizeInBytes() > 1 << 40
